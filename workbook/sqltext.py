@@ -1 +1,215 @@
+"""Text projections over the derived log."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from querylode.functions import sqltext as S
+from querylode.functions import tokens as K
+from querylode.operators import duplicates, predicates
+from querylode.plans import templates
+from querylode.sources import catalog, derived
+from workbook import duck as D, query
+
+def _sql():
+    return F.col("sql_text")
+
+
+def _logs(spark, d, *columns):
+    return derived.sql_logs(spark, d).select("sql_id", *columns)
+
+
+@query("t1_literal_masking", D.with_(D.LOGS) + f"SELECT sql_id, {D.mask('sql_text')} AS template_text FROM sql_logs")
+def t1(spark, d):
+    return _logs(spark, d, S.mask_literals(_sql()).alias("template_text"))
+
+
+@query("t2_tables", D.with_(D.LOGS) + f"SELECT sql_id, array_to_string({D.tables('sql_text')}, ',') AS tables FROM sql_logs")
+def t2(spark, d):
+    return _logs(spark, d, F.concat_ws(",", S.tables(_sql())).alias("tables"))
+
+
+@query("t3_select_columns", D.with_(D.LOGS) + f"""
+SELECT sql_id, CASE WHEN NOT list_contains(cols, '') THEN array_to_string(cols, ',') END AS columns,
+  CASE WHEN list_contains(cols, '') THEN 'blank select item' END AS error
+FROM (SELECT sql_id, {D.columns('sql_text')} AS cols FROM sql_logs)""")
+def t3(spark, d):
+    cols = S.select_columns(_sql())
+    return _logs(spark, d, F.array_join(cols["columns"], ",").alias("columns"), cols["error"].alias("error"))
+
+
+@query("t4_where_columns", D.with_(D.LOGS) + rf"""
+SELECT sql_id, array_to_string(list_transform(regexp_extract_all(clause,
+  '(?:^|AND|OR)\s*{D.NAME}\s*(?:=|!=|<>|<|>|<=|>=|IN|LIKE|BETWEEN|IS)', 1, 'i'),
+  lambda c: regexp_extract(c, '([^.]*)$', 1)), ',') AS columns
+FROM (SELECT sql_id, regexp_extract(sql_text,
+  '\bWHERE\s+(.*?)(?:\bORDER\b|\bGROUP\b|\bHAVING\b|\bLIMIT\b|$)', 1, 'is') AS clause FROM sql_logs)""")
+def t4(spark, d):
+    return _logs(spark, d, F.array_join(S.where_columns(_sql()), ",").alias("columns"))
+
+
+@query("t5_template_id", D.with_(D.LOGS) + f"""
+SELECT template_id, CAST(count(*) AS BIGINT) AS log_count, min(sql_id) AS first_sql_id
+FROM (SELECT sql_id, md5({D.mask('sql_text')}) AS template_id FROM sql_logs) GROUP BY template_id""")
+def t5(spark, d):
+    ids = _logs(spark, d, S.template_id(S.mask_literals(_sql())).alias("template_id"))
+    return ids.groupBy("template_id").agg(F.count("*").alias("log_count"), F.min("sql_id").alias("first_sql_id"))
+
+
+@query("t6_canonical_form", D.with_(D.LOGS) + f"SELECT sql_id, {D.canonical('sql_text')} AS canonical FROM sql_logs")
+def t6(spark, d):
+    return _logs(spark, d, S.canonical(_sql()).alias("canonical"))
+
+
+@query("t7_canonical_duplicates", D.with_(D.LOGS, f"""
+h AS (SELECT sql_id, sha256({D.canonical('sql_text')}) AS canonical_hash FROM sql_logs)""") + """
+SELECT sql_id, canonical_hash, min(sql_id) OVER (PARTITION BY canonical_hash) AS first_sql_id,
+  CAST(count(*) OVER (PARTITION BY canonical_hash) AS BIGINT) AS copies FROM h""")
+def t7(spark, d):
+    return duplicates.canonical_duplicates(derived.sql_logs(spark, d)).select(
+        "sql_id", "canonical_hash", "first_sql_id", "copies")
+
+
+_PRED = r"""([A-Za-z_][\w.]*)\s*(<>|!=|>=|<=|=|<|>)\s*(''[^'']*(?:''''[^'']*)*''|-?\d+(?:\.\d+)?|:\w+|[A-Za-z_][\w.]*)"""
+PREDICATES = rf"""predicates AS (SELECT sql_id, sql_text, unnest(regexp_extract_all(clause, '{_PRED}', 1)) AS column_name,
+  unnest(regexp_extract_all(clause, '{_PRED}', 2)) AS op, unnest(regexp_extract_all(clause, '{_PRED}', 3)) AS value
+  FROM (SELECT sql_id, sql_text, array_to_string(regexp_extract_all(sql_text,
+    '\bWHERE\s+(.*?)(?:\bORDER\s+BY\b|\bGROUP\s+BY\b|\bHAVING\b|\bLIMIT\b|\bUNION\b|$)', 1, 'is'), ' AND ') AS clause
+    FROM sql_logs))"""
+JOINS = r"""joins AS (SELECT sql_id, sql_text, upper(CASE WHEN m[1] = '' THEN 'INNER' ELSE m[1] END) AS side,
+  m[2] AS table_name, m[3] AS alias, m[4] AS condition
+  FROM (SELECT sql_id, sql_text, [regexp_extract(sql_text, p, 1, 'is'), regexp_extract(sql_text, p, 2, 'is'),
+    regexp_extract(sql_text, p, 3, 'is'), regexp_extract(sql_text, p, 4, 'is')] AS m, regexp_matches(sql_text, p, 'is') AS hit
+    FROM (SELECT *, '(?:(LEFT|RIGHT|FULL|CROSS|INNER)\s+(?:OUTER\s+)?)?JOIN\s+([A-Za-z_][\w.]*)(?:\s+([A-Za-z_]\w*))?\s+ON\s+(.*?)\s+WHERE' AS p FROM sql_logs))
+  WHERE hit)"""
+
+
+@query("t8_where_predicates", D.with_(D.LOGS, PREDICATES) + "SELECT sql_id, column_name, op, value FROM predicates")
+def t8(spark, d):
+    return predicates.where_predicates(derived.sql_logs(spark, d)).select("sql_id", "column_name", "op", "value")
+
+
+@query("t9_joins", D.with_(D.LOGS, JOINS) + "SELECT sql_id, side, table_name, alias, condition FROM joins")
+def t9(spark, d):
+    return predicates.joins(derived.sql_logs(spark, d)).select("sql_id", "side", "table_name", "alias", "condition")
+
+
+_ITEM = r"(?:[^,()'']|''[^'']*''|\((?:[^()'']|''[^'']*''|\([^()'']*\))*\))+"
+_LIST = r"^\s*SELECT\s+(?:DISTINCT\s+)?((?:[^()'']|''[^'']*''|\((?:[^()'']|''[^'']*''|\([^()'']*\))*\))*?)\s+FROM\b"
+
+
+@query("t10_select_outputs", D.with_(D.LOGS) + rf"""
+SELECT sql_id, array_to_string(list_transform(regexp_extract_all(regexp_extract(sql_text, '{_LIST}', 1, 'is'), '{_ITEM}'),
+  lambda i: CASE WHEN regexp_matches(i, '\sAS\s+[A-Za-z_]\w*\s*$', 'i')
+                 THEN regexp_extract(i, '\sAS\s+([A-Za-z_]\w*)\s*$', 1, 'i')
+                 WHEN regexp_matches(trim(i), '^[A-Za-z_][\w.]*$') THEN regexp_extract(trim(i), '([^.]*)$', 1)
+                 ELSE trim(i) END), ',') AS outputs FROM sql_logs""")
+def t10(spark, d):
+    return _logs(spark, d, F.array_join(S.select_outputs(_sql()), ",").alias("outputs"))
+
+
+@query("t11_keywords", f"""SELECT doc_id, array_to_string(list_sort(list_distinct({D.keywords('text')})), ' ') AS keywords,
+  CAST(len({D.keywords('text')}) AS BIGINT) AS n FROM documents""")
+def t11(spark, d):
+    docs = derived.table(spark, d, "documents").select("doc_id", K.keywords(F.col("text")).alias("k"))
+    return docs.select("doc_id", F.array_join(F.array_sort(F.array_distinct("k")), " ").alias("keywords"),
+                       F.size("k").cast("long").alias("n"))
+
+
+@query("t12_search_tokens", f"SELECT doc_id, array_to_string({D.tokens('text')}, ' ') AS tokens FROM documents")
+def t12(spark, d):
+    docs = derived.table(spark, d, "documents")
+    return docs.select("doc_id", F.array_join(K.search_tokens(F.col("text")), " ").alias("tokens"))
+
+
+_REFERENCED = " || ".join(rf"regexp_extract_all(sql_text, '{w}\s+([A-Za-z0-9_]+)', 1, 'i')"
+                          for w in ("FROM", "JOIN", "INTO", "UPDATE"))
+
+
+@query("t13_known_tables", D.with_(D.LOGS, D.CATALOG) + f"""
+SELECT sql_id, table_name FROM (SELECT sql_id, unnest(list_distinct({_REFERENCED})) AS table_name FROM sql_logs)
+WHERE upper(table_name) IN (SELECT upper(table_name) FROM cat_tables)""")
+def t13(spark, d):
+    return predicates.known_tables(derived.sql_logs(spark, d), catalog.star_tables(spark)).select("sql_id", "table_name")
+
+
+_WORDS = "[" + ", ".join(f"'{w}'" for w in S.SQL_WORDS) + "]"
+
+
+@query("t14_identifier_words", D.with_(D.LOGS) + f"""
+SELECT sql_id, array_to_string(list_filter(regexp_extract_all(sql_text, '([A-Za-z_][A-Za-z0-9_]*)', 1),
+  lambda w: NOT list_contains({_WORDS}, upper(w))), ' ') AS words FROM sql_logs""")
+def t14(spark, d):
+    return _logs(spark, d, F.array_join(S.identifier_words(_sql()), " ").alias("words"))
+
+
+_NAMES = "SELECT unnest(" + _REFERENCED + ") AS table_name FROM sql_logs"
+
+
+@query("t15_table_kind", D.with_(D.LOGS) + f"""
+SELECT table_name, CAST(count(*) AS BIGINT) AS n, CASE WHEN contains(upper(table_name), 'MST') THEN 'master'
+  WHEN contains(upper(table_name), 'HIS') THEN 'history' WHEN contains(upper(table_name), 'INF') THEN 'information'
+  WHEN contains(upper(table_name), 'TRK') THEN 'tracking' ELSE 'data' END AS kind
+FROM ({_NAMES}) GROUP BY table_name""")
+def t15(spark, d):
+    names = derived.sql_logs(spark, d).select(F.explode(F.concat(*[
+        F.regexp_extract_all(_sql(), F.lit(rf"(?i){w}\s+([A-Za-z0-9_]+)"), F.lit(1))
+        for w in ("FROM", "JOIN", "INTO", "UPDATE")])).alias("table_name"))
+    return names.groupBy("table_name").agg(F.count("*").alias("n")).withColumn("kind", S.table_kind(F.col("table_name")))
+
+
+def rule_case(x: str) -> str:
+    whens = " ".join("WHEN " + " OR ".join(f"contains({x}, '{w}')" for w in ws) + f" THEN '{text}'"
+                     for ws, text in S.RULE_DESCRIPTIONS)
+    return f"CASE {whens} ELSE '{S.DEFAULT_DESCRIPTION}' END"
+
+
+@query("t16_rule_description", D.with_(D.LOGS) + f"""
+SELECT description, CAST(count(*) AS BIGINT) AS n FROM (
+  SELECT {rule_case(D.mask('sql_text'))} AS description FROM sql_logs WHERE {D.VALID}) GROUP BY description""")
+def t16(spark, d):
+    rows = templates.log_templates(derived.sql_logs(spark, d))
+    return rows.groupBy(S.rule_description(F.col("template_text")).alias("description")).agg(F.count("*").alias("n"))
+
+
+@query("d2_literal_values", D.with_(D.LOGS, PREDICATES) + rf"""
+SELECT coalesce(CASE WHEN contains(column_name, '.') THEN regexp_extract(sql_text,
+    '(?:FROM|JOIN)\s+(\w+)\s+' || regexp_extract(column_name, '^([^.]*)', 1) || '\b', 1, 'i')
+  ELSE regexp_extract(sql_text, '\bFROM\s+(\w+)', 1, 'i') END, '') AS table_name,
+  regexp_extract(column_name, '([^.]*)$', 1) AS column_name, value, CAST(count(*) AS BIGINT) AS n
+FROM predicates WHERE regexp_matches(value, '^[''0-9-]') GROUP BY 1, 2, 3""")
+def d2(spark, d):
+    found = predicates.literal_values(derived.sql_logs(spark, d))
+    return found.withColumn("table_name", F.coalesce("table_name", F.lit("")))
+
+
+_DANGER = ", ".join(f"'{w}'" for w in S.FORBIDDEN)
+
+
+@query("d21_safety_check", D.with_(D.LOGS) + rf"""
+SELECT sql_id, array_to_string(list_filter([
+  CASE WHEN len(list_filter(string_split(bare, ';'), lambda p: trim(p) <> '')) <> 1 THEN 'not one statement' END,
+  CASE WHEN NOT regexp_matches(bare, '^\s*(SELECT|WITH)\b', 'i') THEN 'not a SELECT' END], lambda x: x IS NOT NULL)
+  || list_sort(list_transform(list_distinct(list_filter(regexp_extract_all(upper(bare), '(\w+)', 1),
+    lambda w: w IN ({_DANGER}))), lambda w: 'forbidden ' || w)), ',') AS reasons
+FROM (SELECT sql_id, regexp_replace(sql_text, '{D.STRING_LITERAL}', '''''', 'g') AS bare FROM sql_logs)""")
+def d21(spark, d):
+    return _logs(spark, d, F.array_join(S.safety_reasons(_sql()), ",").alias("reasons"))
+
+
+@query("t21_entities_topics", f"""
+SELECT lang, source, topic, CAST(count(*) AS BIGINT) AS n FROM (
+  SELECT lang, source, unnest(list_filter([{', '.join(
+      f"CASE WHEN contains(lower(text), '{k}') OR contains(text, '{o}') THEN '{k}' END" for k, (o, _) in K.TOPICS.items())}],
+    lambda x: x IS NOT NULL)
+    || list_distinct(list_transform(regexp_extract_all(text, '(M10|M11|M14|M15|M16)', 1, 'i'), lambda w: upper(w)))
+    || list_distinct(list_filter({D.keywords('text')}, lambda w: length(w) > 12))) AS topic FROM documents)
+GROUP BY lang, source, topic""")
+def t21(spark, d):
+    text = F.col("text")
+    docs = derived.table(spark, d, "documents")
+    long_words = F.filter(K.entities(text), lambda w: (F.length(w) > 12) | w.rlike(r"(?i)^(M10|M11|M14|M15|M16)$"))
+    codes = F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(K.FAB_ID), F.lit(1)), lambda w: F.upper(w)))
+    tags = F.concat(K.topics(text), codes, F.filter(long_words, lambda w: F.length(w) > 12))
+    return (docs.select("lang", "source", F.explode(tags).alias("topic"))
+            .groupBy("lang", "source", "topic").agg(F.count("*").alias("n")))
