@@ -225,12 +225,16 @@ def alias_map(sql: Column) -> Column:
             F.map_concat(m, F.create_map(e["key"], e["value"]))))
 
 
-def owner_table(column: Column, sql: Column) -> Column:
+def main_table(sql: Column) -> Column:
+    """First FROM table, null when there is none."""
+    name = F.regexp_extract(sql, r"(?iU)\bFROM\s+" + TABLE_NAME, 1)
+    return F.when(name != "", name)
+
+
+def owner_table(column: Column, aliases: Column, main: Column) -> Column:
     """Table a possibly qualified column belongs to: its qualifier's table, else the first FROM table."""
     qualifier = F.regexp_extract(column, r"^(.*)\.[^.]*$", 1)
-    first = F.regexp_extract(sql, r"(?iU)\bFROM\s+" + TABLE_NAME, 1)
-    return (F.when(qualifier == "", F.when(first != "", first))
-            .otherwise(F.coalesce(F.element_at(alias_map(sql), qualifier), qualifier)))
+    return F.when(qualifier == "", main).otherwise(F.coalesce(F.element_at(aliases, qualifier), qualifier))
 
 
 def group_by_columns(sql: Column) -> Column:
@@ -244,6 +248,34 @@ def aggregate_columns(sql: Column) -> Column:
     return _all(sql, r"(?iU)\b(?:COUNT|SUM|AVG|MAX|MIN|STDDEV|VARIANCE)\s*\(\s*(?:DISTINCT\s+)?([A-Za-z_][\w.]*)\s*\)")
 
 
+def plain_select_columns(sql: Column) -> Column:
+    """Qualified names of select items that are plain columns, with or without an alias."""
+    item = r"(?iU)^\s*([A-Za-z_][\w.]*)(?:\s+(?:AS\s+)?[A-Za-z_]\w*)?\s*$"
+    names = F.transform(select_items(sql, strict=True), lambda i: F.regexp_extract(i, item, 1))
+    return F.filter(names, lambda n: n != "")
+
+
+def join_equalities(sql: Column) -> Column:
+    """Equalities of two qualified columns in ON conditions: ``array<struct<left, right>>``."""
+    text = F.array_join(F.transform(joins(sql), lambda j: j["condition"]), " AND ")
+    pair = r"(?U)([A-Za-z_]\w*\.\w+)\s*=\s*([A-Za-z_]\w*\.\w+)"
+    return F.arrays_zip(_all(text, pair, 1).alias("left"), _all(text, pair, 2).alias("right"))
+
+
+# Plant and site-process suffixes of table names.
+FAMILY = r"(?i)^(.+)_((?:M\d+|R\d+|WLP\d*|C\d+)|(?:IC|CJ|WX)[A-Z]+)$"
+
+
+def family_stem(table: Column) -> Column:
+    stem = F.regexp_extract(table, FAMILY, 1)
+    return F.when(stem != "", stem)
+
+
+def family_suffix(table: Column) -> Column:
+    suffix = F.regexp_extract(table, FAMILY, 2)
+    return F.when(suffix != "", suffix)
+
+
 def identifier_words(sql: Column) -> Column:
     """All identifier-like words that are no SQL keyword; order and duplicates kept."""
     return F.filter(_all(sql, r"([A-Za-z_][A-Za-z0-9_]*)"), lambda w: ~F.upper(w).isin(*SQL_WORDS))

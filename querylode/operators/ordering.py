@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-_FAN = 32
+_LEVELS = 5
 
 
 def top_k(df: DataFrame, by: list[str], order: list[Column], k: int, out: str = "rank") -> DataFrame:
@@ -23,18 +23,22 @@ def first_per_key(df: DataFrame, keys: list[str], order: Column | str, last: boo
 
 
 def _quantile_bounds(df: DataFrame, value: str) -> Column:
-    """Sorted array of ``_FAN**2`` quantile bounds of a column, as a scalar subquery."""
-    n = _FAN * _FAN
-    shares = F.array(*[F.lit(i / n) for i in range(n)])
-    return df.agg(F.array_sort(F.percentile_approx(value, shares, 20 * n)).alias("b")).scalar()
+    """Sorted array of ``4**_LEVELS`` quantile bounds of a column, as a scalar subquery."""
+    n = 4 ** _LEVELS
+    shares = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: i / n)
+    return df.agg(F.array_sort(F.percentile_approx(value, shares, 4 * n)).alias("b")).scalar()
 
 
-def _slot(bounds: Column, value: Column) -> Column:
-    """How many bounds are smaller than ``value``: a coarse step, then one step inside the coarse slot."""
-    coarse = F.transform(F.sequence(F.lit(0), F.lit(_FAN - 1)), lambda i: F.element_at(bounds, i * _FAN + 1))
-    c = F.size(F.filter(coarse, lambda b: b < value))
-    start = F.greatest(c - 1, F.lit(0)) * _FAN
-    return start + F.size(F.filter(F.slice(bounds, start + 1, F.lit(_FAN)), lambda b: b < value))
+def _with_slot(df: DataFrame, bounds: Column, value: str, out: str) -> DataFrame:
+    """How many bounds are smaller than ``value``, by a four-way search that stays in generated code."""
+    def below(at: Column) -> Column:
+        return F.coalesce((F.get(bounds, at) < F.col(value)).cast("int"), F.lit(0))
+
+    df = df.withColumn(out, F.lit(0))
+    for step in [4 ** i for i in reversed(range(_LEVELS))]:
+        at = F.col(out)
+        df = df.withColumn(out, at + step * sum(below(at + i * step - 1) for i in (1, 2, 3)))
+    return df.withColumn(out, F.col(out) + below(F.col(out)))
 
 
 def running_total(df: DataFrame, by: list[str], value: str, weight: Column, out: str = "running",
@@ -46,15 +50,14 @@ def running_total(df: DataFrame, by: list[str], value: str, weight: Column, out:
     totals are accumulated per group, and only (group, slot) pieces are windowed.  ``value`` and ``tie``
     must be numeric or temporal, and (value, tie) unique within a group.
     """
-    df = df.withColumn("_bounds", _quantile_bounds(df, value)).withColumn("_weight", weight)
-    df = (df.withColumn("_slot", _slot(F.col("_bounds"), F.col(value)))
-          .withColumn("_at_bound", F.array_contains("_bounds", F.col(value)).cast("int")).drop("_bounds"))
-    if tie is None:
-        df = df.withColumn("_piece", F.lit(0))
-    else:
-        df = df.withColumn("_ties", _quantile_bounds(df, tie))
-        df = df.withColumn("_piece", F.when(F.col("_at_bound") == 1, _slot(F.col("_ties"), F.col(tie))).otherwise(0)
-                           ).drop("_ties")
+    bounds = _quantile_bounds(df, value)
+    df = _with_slot(df.withColumn("_weight", weight), bounds, value, "_slot")
+    # The bounds are sorted, so the value is one of them exactly if it is the first bound not below it.
+    df = df.withColumn("_at_bound", F.coalesce(F.get(bounds, F.col("_slot")) == F.col(value), F.lit(False)).cast("int"))
+    if tie is not None:
+        df = _with_slot(df, _quantile_bounds(df, tie), tie, "_tie_slot")
+    piece = F.lit(0) if tie is None else F.when(F.col("_at_bound") == 1, F.col("_tie_slot")).otherwise(0)
+    df = df.withColumn("_piece", piece).drop("_tie_slot")
     pieces = [*by, "_slot", "_at_bound", "_piece"]
     direction = F.desc if descending else F.asc
     across = (W.partitionBy(*(by or [F.lit(0)])).orderBy(direction("_slot"), direction("_at_bound"), "_piece")

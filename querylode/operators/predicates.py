@@ -35,8 +35,10 @@ def _is_literal(value: Column) -> Column:
 
 def literal_values(logs: DataFrame) -> DataFrame:
     """Literals compared per table and column in WHERE clauses and CASE branches, counted, before masking."""
-    found = logs.select(_sql(), F.explode(F.concat(S.where_predicates(_sql()), S.case_predicates(_sql()))).alias("p"))
+    sql = _sql()
+    found = logs.select(S.alias_map(sql).alias("aliases"), S.main_table(sql).alias("main"),
+                        F.explode(F.concat(S.where_predicates(sql), S.case_predicates(sql))).alias("p"))
     rows = found.filter(_is_literal(F.col("p.value"))).select(
-        S.owner_table(F.col("p.column"), _sql()).alias("table_name"),
+        S.owner_table(F.col("p.column"), F.col("aliases"), F.col("main")).alias("table_name"),
         S.last_part(F.col("p.column")).alias("column_name"), F.col("p.value").alias("value"))
     return rows.groupBy("table_name", "column_name", "value").agg(F.count("*").alias("n"))

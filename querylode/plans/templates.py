@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from querylode.functions import sqltext as S
 from querylode.operators import filters, ordering
+from querylode.sizing import salted_join
 
 
 def normalized(logs: DataFrame, strict: bool = False) -> DataFrame:
@@ -70,3 +71,10 @@ def report_text(report: dict, errors: list[dict] | None = None) -> str:
     if errors:
         lines += ["\n=== 에러 목록 ===", *(f"  - {e.get('sql_id', 'N/A')}: {e.get('error', 'Unknown')}" for e in errors)]
     return "\n".join(lines)
+
+
+def link_back(logs: DataFrame, known: DataFrame) -> DataFrame:
+    """Every log with the id of its known template, null for logs the filter drops."""
+    own = logs.withColumn("_id", F.when(filters.valid(), S.template_id(S.mask_literals(F.col("sql_text")))))
+    known = known.select(F.col("template_id").alias("_id"), "template_id").distinct()
+    return salted_join(own, known, ["_id"], F.col("sql_id"), how="left").drop("_id")

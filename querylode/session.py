@@ -20,5 +20,5 @@ def local_session(name: str = "querylode", cpus: str | None = None) -> SparkSess
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
-    spark.sparkContext.setLogLevel("ERROR")
+    spark.sparkContext.setLogLevel("OFF")
     return spark

@@ -16,7 +16,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-_PARTS = ("*", "CAST(event_id AS STRING) AS e", "CAST(user_id AS STRING) AS u",
+PARTS = ("*", "CAST(event_id AS STRING) AS e", "CAST(user_id AS STRING) AS u",
           "CAST(CAST(round(value * 100) AS BIGINT) AS STRING) AS v", "regexp_extract(props, '([0-9]+)', 1) AS k")
 
 LOG_COLUMNS = (
@@ -60,7 +60,7 @@ QUESTION_COLUMNS = (
 
 
 def _rendered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").selectExpr(*_PARTS)
+    return table(spark, sf_dir, "events").selectExpr(*PARTS)
 
 
 def sql_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
