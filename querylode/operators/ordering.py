@@ -25,7 +25,7 @@ def first_per_key(df: DataFrame, keys: list[str], order: Column | str, last: boo
 def _quantile_bounds(df: DataFrame, value: str) -> Column:
     """Sorted array of ``4**_LEVELS`` quantile bounds of a column, as a scalar subquery."""
     n = 4 ** _LEVELS
-    shares = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: i / n)
+    shares = F.expr(f"array({', '.join(f'{i / n}D' for i in range(n))})")
     return df.agg(F.array_sort(F.percentile_approx(value, shares, 4 * n)).alias("b")).scalar()
 
 
