@@ -58,12 +58,12 @@ def char_shingles(text: Column, k: int = 3) -> Column:
     return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(rf"(?s)(?=(.{{{k}}}))"), F.lit(1)))
 
 
-def token_shingles(text: Column, k: int = 5) -> Column:
-    """Distinct runs of k search tokens; the whole token list if it is shorter."""
-    toks = search_tokens(text)
-    starts = F.sequence(F.lit(1), F.greatest(F.size(toks) - (k - 1), F.lit(1)))
-    return F.when(F.size(toks) > 0, F.array_distinct(
-        F.transform(starts, lambda i: F.array_join(F.slice(toks, i, F.lit(k)), " ")))
+def token_shingles(tokens: Column, k: int = 5) -> Column:
+    """Distinct runs of k tokens; the whole list if it is shorter.  ``tokens`` must be a materialised array column:
+    it is sliced once per run."""
+    starts = F.sequence(F.lit(1), F.greatest(F.size(tokens) - (k - 1), F.lit(1)))
+    return F.when(F.size(tokens) > 0, F.array_distinct(
+        F.transform(starts, lambda i: F.array_join(F.slice(tokens, i, F.lit(k)), " ")))
     ).otherwise(F.array().cast("array<string>"))
 
 

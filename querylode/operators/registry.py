@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from querylode.functions import sqltext as S
+from querylode.lineage import cut
 from querylode.operators import filters
 from querylode.operators.ordering import competition_rank, first_per_key
 
@@ -109,7 +110,12 @@ def where_patterns(logs: DataFrame) -> DataFrame:
 
 def enrichment_priority(tables: DataFrame, joins: DataFrame, columns: DataFrame, comments: DataFrame,
                         top_share: float = 0.2, hub_degree: int = 2) -> DataFrame:
-    """Priority 1 to 5 per used column: busy table, missing comment, join hub, busy column, the rest."""
+    """Priority 1 to 5 per used column: busy table, missing comment, join hub, busy column, the rest.
+
+    The registries are read several times, so they are materialised first instead of mining the log again.
+    """
+    tables, joins, columns = cut(tables), cut(joins), cut(columns)
+
     def in_top(df: DataFrame, value: str, keys: list[str], out: str) -> DataFrame:
         ranked = competition_rank(df.select(*keys, value), [], value)
         size = ranked.agg(F.count("*").alias("n")).scalar()
