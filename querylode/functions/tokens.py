@@ -58,12 +58,17 @@ def char_shingles(text: Column, k: int = 3) -> Column:
     return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(rf"(?s)(?=(.{{{k}}}))"), F.lit(1)))
 
 
+def token_run(tokens: Column, at: Column, k: int) -> list[Column]:
+    """The k tokens from position ``at`` (0-based) on, by constant-time access (``slice`` copies the array)."""
+    return [F.get(tokens, at + i) for i in range(k)]
+
+
 def token_shingles(tokens: Column, k: int = 5) -> Column:
     """Distinct runs of k tokens; the whole list if it is shorter.  ``tokens`` must be a materialised array column:
-    it is sliced once per run."""
-    starts = F.sequence(F.lit(1), F.greatest(F.size(tokens) - (k - 1), F.lit(1)))
+    it is read once per run."""
+    starts = F.sequence(F.lit(0), F.greatest(F.size(tokens) - k, F.lit(0)))
     return F.when(F.size(tokens) > 0, F.array_distinct(
-        F.transform(starts, lambda i: F.array_join(F.slice(tokens, i, F.lit(k)), " ")))
+        F.transform(starts, lambda i: F.concat_ws(" ", *token_run(tokens, i, k))))
     ).otherwise(F.array().cast("array<string>"))
 
 

@@ -46,7 +46,7 @@ def _runs(tokens: Column, size: int, first: int = 1, cut_last: int = 0) -> Colum
     """Distinct hashes of runs of ``size`` tokens.  ``tokens`` must be a materialised array column."""
     last = F.size(tokens) - cut_last - (size - 1)
     hashes = F.transform(F.sequence(F.lit(first), F.greatest(last, F.lit(first))),
-                         lambda i: F.xxhash64(F.slice(tokens, i, F.lit(size))))
+                         lambda i: F.xxhash64(*K.token_run(tokens, i - 1, size)))
     return F.when(last >= first, F.array_distinct(hashes)).otherwise(F.array().cast("array<bigint>"))
 
 

@@ -11,7 +11,7 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from querylode.functions import tokens as K
 from querylode.lineage import stored
@@ -132,16 +132,12 @@ def search(terms: DataFrame, index: Index, scores: list[str], k: int, seeds: int
                 else salted_join(index.weights, part, ["term"], F.col("doc"), salts=8))
         return rows.groupBy("query", "doc").agg(F.sum(_product(scores, "")).alias("score"))
 
-    # The terms of one query are few (one row per distinct token), so ordering them is a small per-query aggregate.
-    listed = bounded.groupBy("query").agg(F.sort_array(F.collect_list(F.struct("limit", "term", *q)), asc=False).alias("t"))
-    partial = scored(listed.select("query", F.inline(F.slice("t", 1, seeds))))
+    partial = scored(top_k(bounded, ["query"], [F.desc("limit"), F.asc("term")], seeds))
     floor = (top_k(partial, ["query"], [F.desc("score")], k).groupBy("query")
              .agg(F.when(F.count("*") == k, F.min("score")).otherwise(0.0).alias("floor")))
-    # rest = what a term and all weaker ones can add together.
-    weaker = F.transform("t", lambda x, i: F.struct(
-        x["limit"].alias("limit"), x["term"].alias("term"), *[x[c].alias(c) for c in q],
-        F.aggregate(F.slice("t", i + 1, F.size("t")), F.lit(0.0), lambda acc, y: acc + y["limit"]).alias("rest")))
-    split = listed.join(floor, "query").select("query", "floor", F.inline(weaker)).withColumn(
+    # rest = what a term and all weaker ones can add together; a query has one row per distinct token.
+    weaker = W.partitionBy("query").orderBy("limit", "term").rowsBetween(W.unboundedPreceding, W.currentRow)
+    split = bounded.withColumn("rest", F.sum("limit").over(weaker)).join(floor, "query").withColumn(
         "needed", F.col("rest") * (1 + _SLACK) + _SLACK >= F.col("floor"))
     split = stored(split, "terms")
     optional = split.filter(~F.col("needed"))

@@ -88,9 +88,12 @@ def j3(spark, d):
     return L.per_question(sets, scores).withColumn("score", F.round("score", 6))
 
 
-SIMILAR = f"""alike AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY set_id ORDER BY sql_id) AS rn FROM (
-    SELECT DISTINCT set_id, sql_id, tables FROM {{words}} JOIN (SELECT sql_id, lower(sql_text) AS text, {D.bare_tables('sql_text')} AS tables FROM sql_logs) l ON contains(l.text, lower(keyword))))
-  WHERE rn <= 3)"""
+SIMILAR = f"""words AS (SELECT DISTINCT keyword FROM {{words}}),
+texts AS (SELECT sql_id, lower(sql_text) AS text, {D.bare_tables('sql_text')} AS tables FROM sql_logs),
+found AS (SELECT keyword, sql_id FROM words JOIN texts ON contains(text, lower(keyword)) QUALIFY row_number() OVER (PARTITION BY keyword ORDER BY sql_id) <= 3),
+firsts AS (SELECT set_id, sql_id FROM (SELECT DISTINCT set_id, sql_id FROM {{words}} JOIN found USING (keyword))
+  QUALIFY row_number() OVER (PARTITION BY set_id ORDER BY sql_id) <= 3),
+alike AS (SELECT set_id, sql_id, tables FROM firsts JOIN texts USING (sql_id))"""
 
 
 @query("j7_similar_logs", D.with_(*BASE, D.LOGS, SIMILAR.replace("{words}", "sw")) + "SELECT set_id, sql_id, array_to_string(tables, ',') AS tables FROM alike")
