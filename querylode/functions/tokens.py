@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 # Token pattern and stop words of the keyword extractor.
 WORD = r"([가-힣]+|[A-Za-z0-9_]+)"
@@ -23,6 +23,16 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(WORD), F.lit(1))
 
 
+def unnest(df: DataFrame, array: str, out: str) -> DataFrame:
+    """One row per element; no row for an empty array.
+
+    Spark adds a size filter below a plain ``explode`` of a column and pushes it down together with the expression that
+    made the column, which would tokenise every text again.  The outer form has no such filter.
+    """
+    rest = [c for c in df.columns if c != array]
+    return df.select(*rest, F.explode_outer(array).alias(out)).filter(F.col(out).isNotNull())
+
+
 def keywords(text: Column) -> Column:
     """Words longer than one character that are no stop words; order and duplicates kept."""
     return F.filter(words(text), lambda w: ~w.isin(*STOPWORDS) & (F.length(w) > 1))

@@ -92,11 +92,14 @@ def bands(signed: DataFrame, n_bands: int, n_rows: int) -> DataFrame:
     """``id, band, bucket``: one row per band of each non-empty signature."""
     parts = F.transform(F.sequence(F.lit(0), F.lit(n_bands - 1)), lambda i: F.md5(F.concat_ws(",", F.slice(
         "signature", i * n_rows + 1, F.lit(n_rows)).cast("array<string>"))))
-    return signed.filter(F.size("signature") > 0).select("id", F.posexplode(parts).alias("band", "bucket"))
+    # The outer form keeps the emptiness test from being pushed down through the signature function.
+    parts = F.when(F.size("signature") > 0, parts)
+    return signed.select("id", F.posexplode_outer(parts).alias("band", "bucket")).filter("bucket IS NOT NULL")
 
 
 def bucket_links(banded: DataFrame) -> DataFrame:
     """``id, leader``: each member of a shared bucket with the smallest id in it (distinct, leaders left out)."""
+    banded = stored(banded, "bands")
     leaders = banded.groupBy("band", "bucket").agg(F.min("id").alias("leader"), F.count("*").alias("members"))
     shared = leaders.filter("members > 1").drop("members")
     return salted_join(banded, shared, ["band", "bucket"], F.col("id")).filter("id <> leader").select("id", "leader").distinct()
@@ -135,10 +138,10 @@ def group_quality(signed: DataFrame, group: str, threshold: float = THRESHOLD) -
     group: ``C(n, 2)`` pairs coincide inside a group, ``p1 * p2`` is the coinciding share between two groups.
     No pair is ever formed.
     """
-    slots = signed.filter(F.size("signature") > 0).select(F.col(group).alias("grp"), F.posexplode("signature").alias("slot", "value"))
+    signed = stored(signed.select(F.col(group).alias("grp"), "signature"), "signatures").filter(F.size("signature") > 0)
+    slots = signed.select("grp", F.posexplode("signature").alias("slot", "value"))
     counts = slots.groupBy("grp", "slot", "value").agg(F.count("*").alias("n"))
-    width = F.size("signature")
-    sizes = signed.filter(width > 0).groupBy(F.col(group).alias("grp")).agg(F.count("*").alias("members"), F.max(width).alias("slots"))
+    sizes = signed.groupBy("grp").agg(F.count("*").alias("members"), F.max(F.size("signature")).alias("slots"))
     pairs = F.col("members") * (F.col("members") - 1) / 2
     same = counts.groupBy("grp").agg(F.sum(F.col("n") * (F.col("n") - 1) / 2).alias("same"))
     per = sizes.join(same, "grp").withColumn("pairs", pairs)
@@ -212,6 +215,7 @@ def search_before_insert(new: DataFrame, existing: DataFrame, threshold: float =
         toks = df.withColumn("_t", K.search_tokens(F.col("text")))
         return bands(signatures(toks, K.token_shingles(F.col("_t"), STAGE2_TOKENS), num_perm), *split)
 
+    new, existing = stored(new, "new"), stored(existing, "existing")
     left = banded(new)
     right = banded(existing).withColumnRenamed("id", "match")
     pairs = left.join(right, ["band", "bucket"]).select("id", "match").distinct()

@@ -30,8 +30,8 @@ _SLACK = 1e-9
 def postings(docs: DataFrame, doc: str, text: str) -> DataFrame:
     """``doc, length, term, tf`` in long form; counted before the shuffle."""
     tokens = docs.select(F.col(doc).alias("doc"), K.search_tokens(F.col(text)).alias("t"))
-    return (tokens.select("doc", F.size("t").alias("length"), F.explode("t").alias("term"))
-            .groupBy("doc", "length", "term").agg(F.count("*").alias("tf")))
+    rows = K.unnest(tokens.select("doc", F.size("t").alias("length"), "t"), "t", "term")
+    return rows.groupBy("doc", "length", "term").agg(F.count("*").alias("tf"))
 
 
 def corpus(docs: DataFrame, text: str) -> DataFrame:

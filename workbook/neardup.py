@@ -54,8 +54,8 @@ def m1(spark, d):
 @query("m2_minhash_signatures", D.with_(*CTES[:5]) + """
 SELECT id, string_agg(CAST(value AS VARCHAR), ',' ORDER BY slot) AS signature FROM slots GROUP BY id""")
 def m2(spark, d):
-    return _signed(spark, d).filter(F.size("signature") > 0).select(
-        "id", F.array_join(F.col("signature").cast("array<string>"), ",").alias("signature"))
+    rows = _signed(spark, d).select("id", F.array_join(F.col("signature").cast("array<string>"), ",").alias("signature"))
+    return rows
 
 
 @query("m3_lsh_buckets", D.with_(*CTES[:6]) + """
