@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import math
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-_LEVELS = 5
+_SLOTS = 1024
 
 
 def top_k(df: DataFrame, by: list[str], order: list[Column], k: int, out: str = "rank") -> DataFrame:
@@ -22,23 +25,22 @@ def first_per_key(df: DataFrame, keys: list[str], order: Column | str, last: boo
     return df.groupBy(*keys).agg(pick(F.struct(*rest), order).alias("_row")).select(*keys, "_row.*").select(*df.columns)
 
 
-def _quantile_bounds(df: DataFrame, value: str) -> Column:
-    """Sorted array of ``4**_LEVELS`` quantile bounds of a column, as a scalar subquery."""
-    n = 4 ** _LEVELS
-    shares = F.expr(f"array({', '.join(f'{i / n}D' for i in range(n))})")
-    return df.agg(F.array_sort(F.percentile_approx(value, shares, 4 * n)).alias("b")).scalar()
-
+def _with_slot(df: DataFrame, value: str, out: str) -> tuple[DataFrame, list[int]]:
+    """``df`` with its value slot between quantile bounds, and the slots that hold a single frequent value.
 
-def _with_slot(df: DataFrame, bounds: Column, value: str, out: str) -> DataFrame:
-    """How many bounds are smaller than ``value``, by a four-way search that stays in generated code."""
-    def below(at: Column) -> Column:
-        return F.coalesce((F.get(bounds, at) < F.col(value)).cast("int"), F.lit(0))
+    Only the bounds (at most ``_SLOTS`` numbers) reach the driver.  A bound met by several quantiles is a frequent
+    value and gets a slot of its own.
+    """
+    shares = F.expr(f"array({', '.join(f'{i / _SLOTS}D' for i in range(_SLOTS))})")
+    bounds = df.agg(F.percentile_approx(F.col(value).cast("double"), shares, 4 * _SLOTS)).first()[0] or []
+    repeated = {b for b, n in Counter(bounds).items() if n > 1}
+    splits = sorted({*bounds, *(math.nextafter(b, math.inf) for b in repeated)})
+    if not splits:
+        return df.withColumn(out, F.lit(0.0)), []
+    from pyspark.ml.feature import Bucketizer
 
-    df = df.withColumn(out, F.lit(0))
-    for step in [4 ** i for i in reversed(range(_LEVELS))]:
-        at = F.col(out)
-        df = df.withColumn(out, at + step * sum(below(at + i * step - 1) for i in (1, 2, 3)))
-    return df.withColumn(out, F.col(out) + below(F.col(out)))
+    slots = Bucketizer(splits=[-math.inf, *splits, math.inf], inputCol=value, outputCol=out, handleInvalid="keep")
+    return slots.transform(df), [i + 1 for i, b in enumerate(splits) if b in repeated]
 
 
 def running_total(df: DataFrame, by: list[str], value: str, weight: Column, out: str = "running",
@@ -46,28 +48,26 @@ def running_total(df: DataFrame, by: list[str], value: str, weight: Column, out:
     """Inclusive running sum of ``weight`` inside each group, ordered by ``value`` and then ``tie`` (ascending).
 
     A single window would sort a whole group in one task.  Rows are first spread over value slots cut at
-    quantiles; a value frequent enough to be a bound has its own slot, which is cut again by ``tie``.  Slot
-    totals are accumulated per group, and only (group, slot) pieces are windowed.  ``value`` and ``tie``
-    must be numeric or temporal, and (value, tie) unique within a group.
+    quantiles; the slot of a frequent value is cut again by ``tie``.  Slot totals are accumulated per group, and
+    only (group, slot) pieces are windowed.  ``value`` and ``tie`` must be numbers (exact as doubles), and
+    (value, tie) unique within a group.
     """
-    bounds = _quantile_bounds(df, value)
-    df = _with_slot(df.withColumn("_weight", weight), bounds, value, "_slot")
-    # The bounds are sorted, so the value is one of them exactly if it is the first bound not below it.
-    df = df.withColumn("_at_bound", F.coalesce(F.get(bounds, F.col("_slot")) == F.col(value), F.lit(False)).cast("int"))
-    if tie is not None:
-        df = _with_slot(df, _quantile_bounds(df, tie), tie, "_tie_slot")
-    piece = F.lit(0) if tie is None else F.when(F.col("_at_bound") == 1, F.col("_tie_slot")).otherwise(0)
-    df = df.withColumn("_piece", piece).drop("_tie_slot")
-    pieces = [*by, "_slot", "_at_bound", "_piece"]
+    df, frequent = _with_slot(df.withColumn("_weight", weight), value, "_slot")
+    if tie is not None and frequent:
+        df, _ = _with_slot(df, tie, "_tie_slot")
+        df = df.withColumn("_piece", F.when(F.col("_slot").isin(frequent), F.col("_tie_slot")).otherwise(0.0)).drop("_tie_slot")
+    else:
+        df = df.withColumn("_piece", F.lit(0.0))
+    pieces = [*by, "_slot", "_piece"]
     direction = F.desc if descending else F.asc
-    across = (W.partitionBy(*(by or [F.lit(0)])).orderBy(direction("_slot"), direction("_at_bound"), "_piece")
+    across = (W.partitionBy(*(by or [F.lit(0)])).orderBy(direction("_slot"), "_piece")
               .rowsBetween(W.unboundedPreceding, -1))
     before = (df.groupBy(*pieces).agg(F.sum("_weight").alias("_total"))
               .withColumn("_before", F.coalesce(F.sum("_total").over(across), F.lit(0))).drop("_total"))
     inside = W.partitionBy(*pieces).orderBy(direction(value), *([F.asc(tie)] if tie else [])).rowsBetween(
         W.unboundedPreceding, W.currentRow)
     return (df.join(before, pieces).withColumn(out, F.col("_before") + F.sum("_weight").over(inside))
-            .drop("_slot", "_at_bound", "_piece", "_before", "_weight"))
+            .drop("_slot", "_piece", "_before", "_weight"))
 
 
 def competition_rank(df: DataFrame, by: list[str], value: str, out: str = "rank", descending: bool = True) -> DataFrame:
