@@ -76,7 +76,7 @@ def column_registry(logs: DataFrame) -> DataFrame:
 
 def usage_context() -> Column:
     """The non-zero clause counts as a map."""
-    entries = F.array(*[F.struct(F.lit(c), F.col(f"{c}_count")) for c in CONTEXTS])
+    entries = F.array(*[F.struct(F.lit(c).alias("key"), F.col(f"{c}_count").alias("value")) for c in CONTEXTS])
     return F.map_filter(F.map_from_entries(entries), lambda _, n: n > 0)
 
 
