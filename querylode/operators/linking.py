@@ -168,13 +168,13 @@ def similar_logs(set_words: DataFrame, logs: DataFrame, k: int = 3) -> DataFrame
 # --- linkers -------------------------------------------------------------------------------------------
 
 def forward_scores(set_words: DataFrame, tables: DataFrame, columns: DataFrame, glossary: DataFrame) -> DataFrame:
-    words = expanded(set_words, synonyms(set_words, glossary))
+    words = stored(expanded(set_words, synonyms(set_words, glossary)), "expanded")
     return match_scores(words, tables, columns, FORWARD)
 
 
 def link_forward(questions: DataFrame, tables: DataFrame, columns: DataFrame, glossary: DataFrame, k: int = 5) -> DataFrame:
-    sets = keyword_sets(questions)
-    scores = forward_scores(distinct_sets(sets), tables, columns, glossary)
+    sets = stored(keyword_sets(questions), "sets")
+    scores = forward_scores(stored(distinct_sets(sets), "keywords"), tables, columns, glossary)
     return per_question(sets, ranked(every_table(sets, tables, scores), k))
 
 
@@ -218,7 +218,7 @@ def link_bidirectional(questions: DataFrame, tables: DataFrame, columns: DataFra
                        forward_weight: float = 0.6, refine: bool = True, k: int = 5) -> DataFrame:
     """Forward score mixed with membership in the draft statement; ``refine`` drafts again on the best k + 2 tables
     and adds a bonus to the tables found."""
-    sets = keyword_sets(questions)
+    sets = stored(keyword_sets(questions), "sets")
     words = stored(distinct_sets(sets), "keywords")
     forward = every_table(sets, tables, forward_scores(words, tables, columns, glossary))
     drafted = draft_tables(words, sets, tables, edges).select("set_id", "table_name").withColumn("drafted", F.lit(1.0))
@@ -235,8 +235,8 @@ def link_bidirectional(questions: DataFrame, tables: DataFrame, columns: DataFra
 
 def link_joinability(questions: DataFrame, tables: DataFrame, edges: DataFrame, k: int = 5, seeds: int = 3) -> DataFrame:
     """Seed tables by keyword, boosted neighbours, scaled to the best score of the question."""
-    sets = keyword_sets(questions)
-    seed = every_table(sets, tables, match_scores(distinct_sets(sets), tables, None, SEEDS, cap=False))
+    sets = stored(keyword_sets(questions), "sets")
+    seed = every_table(sets, tables, match_scores(stored(distinct_sets(sets), "keywords"), tables, None, SEEDS, cap=False))
     best = top_k(seed, ["set_id"], [F.desc("score"), F.asc("pos")], seeds).filter((F.col("score") > 0) | (F.col("rank") == 1))
     around = joinability.neighbours(edges).select("table_name", "other", F.col("score").alias("join_score"))
     boost = (best.select("set_id", "table_name").join(F.broadcast(around), "table_name").groupBy("set_id", F.col("other").alias("table_name"))
@@ -251,8 +251,8 @@ def link_joinability(questions: DataFrame, tables: DataFrame, edges: DataFrame,
 def link_rag(questions: DataFrame, tables: DataFrame, columns: DataFrame, glossary: DataFrame | None = None,
              logs: DataFrame | None = None, k: int = 5) -> DataFrame:
     """Keyword match with optional glossary expansion and optional bonus for the tables of similar logs."""
-    sets = keyword_sets(questions)
-    words = distinct_sets(sets)
+    sets = stored(keyword_sets(questions), "sets")
+    words = stored(distinct_sets(sets), "keywords")
     if glossary is not None:
         words = stored(expanded(words, expansions(words, glossary)), "keywords")
     scores = every_table(sets, tables, match_scores(words, tables, columns, RAG))
@@ -266,7 +266,7 @@ def link_rag(questions: DataFrame, tables: DataFrame, columns: DataFrame, glossa
 
 def link_purpose(questions: DataFrame, tables: DataFrame, k: int = 5) -> DataFrame:
     """Share of the question's distinct keywords among those of the table text, plus a bonus for history tables."""
-    sets = keyword_sets(questions)
+    sets = stored(keyword_sets(questions), "sets")
     known = tables.select("table_name", F.explode(F.array_distinct(K.keywords(
         F.concat_ws(" ", "table_name", "description", "purpose")))).alias("keyword"))
     hits = distinct_sets(sets).join(F.broadcast(known), "keyword").groupBy("set_id", "table_name").agg(F.count("*").alias("n"))
@@ -282,8 +282,8 @@ def link_binary(questions: DataFrame, tables: DataFrame, k: int = 5, choice: str
 
     Unlike the other linkers only chosen tables are returned; their score falls by 0.1 per rank.
     """
-    sets = keyword_sets(questions)
-    words = distinct_sets(sets)
+    sets = stored(keyword_sets(questions), "sets")
+    words = stored(distinct_sets(sets), "keywords")
     if choice == "B":
         rows = match_scores(words, tables, None, REFINED, cap=False).join(F.broadcast(tables.select("table_name", "pos")), "table_name")
         best = top_k(rows, ["set_id"], [F.desc("score"), F.asc("pos")], min(k, 5))
@@ -298,8 +298,9 @@ def link_enriched(questions: DataFrame, tables: DataFrame, k: int = 5, notes: Co
     """Keywords of the question plus the entities and topic keywords of ``notes`` (the question itself by default;
     pass the enrichment text of a model as a column otherwise)."""
     text = F.col("question") if notes is None else notes
-    sets = keyword_sets(questions, F.concat(K.entities(text), K.topic_keywords(K.topics(text))))
-    scores = match_scores(distinct_sets(sets), tables, None, ENRICHED)
+    extra = F.concat(K.entities(text), K.topic_keywords(K.topics(text)))
+    sets = stored(keyword_sets(questions, extra), "sets")
+    scores = match_scores(stored(distinct_sets(sets), "keywords"), tables, None, ENRICHED)
     return per_question(sets, ranked(every_table(sets, tables, scores), k))
 
 
@@ -313,7 +314,7 @@ def rerank(scores: DataFrame, set_words: DataFrame, tables: DataFrame) -> DataFr
 def link_hybrid(questions: DataFrame, tables: DataFrame, documents: DataFrame, vector_weight: float = R.VECTOR_WEIGHT,
                 use_rerank: bool = False, k: int = 5) -> DataFrame:
     """TF-IDF cosine and scaled BM25 over the table documents (``table_name, pos, document``), optionally reranked."""
-    sets = questions.withColumn("words", K.keywords(F.col("question"))).withColumn("set_id", F.md5("question"))
+    sets = stored(questions.withColumn("words", K.keywords(F.col("question"))).withColumn("set_id", F.md5("question")), "sets")
     distinct = sets.dropDuplicates(["set_id"])
     index = R.Index(documents, "table_name", "document")
     both = R.all_scores(index.terms(distinct, "set_id", "question"), index, ["cosine", "bm25"])

@@ -34,12 +34,6 @@ def postings(docs: DataFrame, doc: str, text: str) -> DataFrame:
     return rows.groupBy("doc", "length", "term").agg(F.count("*").alias("tf"))
 
 
-def corpus(docs: DataFrame, text: str) -> DataFrame:
-    """One row: number of documents and mean length (documents without tokens count)."""
-    size = F.size(K.search_tokens(F.col(text)))
-    return docs.agg(F.count("*").alias("docs"), (F.sum(size) / F.count("*")).alias("mean_length"))
-
-
 def document_frequency(post: DataFrame) -> DataFrame:
     return post.groupBy("term").agg(F.count("*").alias("df"))
 
@@ -71,9 +65,10 @@ class Index:
     """
 
     def __init__(self, docs: DataFrame, doc: str, text: str) -> None:
-        self.docs, mean = corpus(docs, text).first()
-        self.mean_length = mean or 1.0
-        post = postings(docs, doc, text)
+        post = stored(postings(docs, doc, text), "counts")
+        self.docs = docs.count()
+        # A document's length is the sum of its term counts; documents without tokens count in the mean.
+        self.mean_length = (post.agg(F.sum("tf")).first()[0] or 0) / self.docs if self.docs else 1.0
         frequency = document_frequency(post)
         raw = salted_join(post, frequency, ["term"], F.col("doc"), salts=8).withColumn(
             "raw", F.col("tf") * tfidf_idf(F.lit(self.docs), F.col("df")))
@@ -115,7 +110,8 @@ def search(terms: DataFrame, index: Index, scores: list[str], k: int, seeds: int
     """Exact top k ``query, doc, score, rank`` by the sum of the named scores over shared terms; ties by ``doc``.
 
     1. Each term can add at most its query weight times the peak weight of its postings.
-    2. The partial scores over the ``seeds`` strongest terms of a query give a lower bound of its k-th best score.
+    2. The best k documents over the ``seeds`` strongest terms of a query are scored in full; the lowest of these scores
+       bounds the k-th best score from below.
     3. Terms that together stay below that bound cannot lift a document into the result on their own: only documents
        with one of the other terms are candidates, and of those only the ones that can still reach the bound.
     4. Candidates get the remaining terms by a join on (doc, term).
@@ -132,8 +128,13 @@ def search(terms: DataFrame, index: Index, scores: list[str], k: int, seeds: int
                 else salted_join(index.weights, part, ["term"], F.col("doc"), salts=8))
         return rows.groupBy("query", "doc").agg(F.sum(_product(scores, "")).alias("score"))
 
+    def completed(pairs: DataFrame, part: DataFrame) -> DataFrame:
+        rows = pairs.select("query", "doc").join(part.select("query", "term", *q), "query").join(index.weights, ["doc", "term"])
+        return rows.select("query", "doc", _product(scores, "").alias("score"))
+
     partial = scored(top_k(bounded, ["query"], [F.desc("limit"), F.asc("term")], seeds))
-    floor = (top_k(partial, ["query"], [F.desc("score")], k).groupBy("query")
+    firsts = completed(top_k(partial, ["query"], [F.desc("score")], k), bounded)
+    floor = (firsts.groupBy("query", "doc").agg(F.sum("score").alias("score")).groupBy("query")
              .agg(F.when(F.count("*") == k, F.min("score")).otherwise(0.0).alias("floor")))
     # rest = what a term and all weaker ones can add together; a query has one row per distinct token.
     weaker = W.partitionBy("query").orderBy("limit", "term").rowsBetween(W.unboundedPreceding, W.currentRow)
@@ -145,9 +146,7 @@ def search(terms: DataFrame, index: Index, scores: list[str], k: int, seeds: int
         F.max("floor").alias("floor"), F.coalesce(F.max(F.when(~F.col("needed"), F.col("rest"))), F.lit(0.0)).alias("spare"))
     reachable = (F.col("score") + F.col("spare")) * (1 + _SLACK) + _SLACK >= F.col("floor")
     candidates = scored(split.filter("needed")).join(spare, "query").filter(reachable).select("query", "doc", "score")
-    more = (candidates.select("query", "doc").join(optional, "query").join(index.weights, ["doc", "term"])
-            .select("query", "doc", _product(scores, "").alias("score")))
-    total = candidates.unionByName(more).groupBy("query", "doc").agg(F.sum("score").alias("score"))
+    total = candidates.unionByName(completed(candidates, optional)).groupBy("query", "doc").agg(F.sum("score").alias("score"))
     return top_k(total, ["query"], [F.desc(F.round("score", 9)), F.asc("doc")], k)
 
 
