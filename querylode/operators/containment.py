@@ -79,8 +79,6 @@ def passages_in_texts(passages: DataFrame, passage_id: str, passage: str, texts:
         found.append(texts.join(candidates, text_id).join(chosen.select(passage_id, "_passage"), passage_id)
                      .filter(F.col("_text").contains(F.col("_passage"))).select(passage_id, text_id))
     bare = sized.filter(F.col("_inner") == 0).select(passage_id, "_passage")
-    if not bare.isEmpty():
+    if not found or not bare.isEmpty():
         found.append(contains_join(bare, "_passage", texts, "_text").select(passage_id, text_id))
-    if not found:
-        return passages.join(texts, F.lit(False)).select(passage_id, text_id)
     return reduce(DataFrame.unionByName, found)

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, functions as F
 from querylode.functions import sqltext as S
 from querylode.functions import tokens as K
 
-# Fixed value: vector length of the reference collection.
+# Fixed value: vector length of the collection.
 DIMENSION = 1024
 
 

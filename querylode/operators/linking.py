@@ -85,7 +85,7 @@ def keyword_weights(words: DataFrame, tables: DataFrame, columns: DataFrame | No
 def match_scores(set_words: DataFrame, tables: DataFrame, columns: DataFrame | None, weights: dict[str, int],
                  cap: bool = True) -> DataFrame:
     """``set_id, table_name, score`` of keyword sets that match a table; capped at 1 unless told otherwise."""
-    per_word = keyword_weights(set_words, tables, columns, weights)
+    per_word = stored(keyword_weights(set_words, tables, columns, weights), "weights")
     points = set_words.join(small_side(per_word), "keyword").groupBy("set_id", "table_name").agg(F.sum("points").alias("points"))
     score = F.col("points") / 100
     return points.select("set_id", "table_name", (F.least(score, F.lit(1.0)) if cap else score).alias("score"))
@@ -160,7 +160,7 @@ def similar_logs(set_words: DataFrame, logs: DataFrame, k: int = 3) -> DataFrame
     hits = contains_join(needles, "needle", first.select("word").distinct(), "word").join(first, "word")
     hits = top_k(hits.select("keyword", "sql_id").distinct(), ["keyword"], [F.asc("sql_id")], k).drop("rank")
     found = set_words.join(hits, "keyword").select("set_id", "sql_id").distinct()
-    found = top_k(found, ["set_id"], [F.asc("sql_id")], k).drop("rank")
+    found = stored(top_k(found, ["set_id"], [F.asc("sql_id")], k).drop("rank"), "found")
     named = logs.select("sql_id", S.bare_tables(F.col("sql_text")).alias("tables"))
     return found.join(named.join(small_side(found.select("sql_id").distinct()), "sql_id"), "sql_id")
 

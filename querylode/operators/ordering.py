@@ -7,6 +7,8 @@ from collections import Counter
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from querylode.lineage import stored
+
 _SLOTS = 1024
 
 
@@ -72,7 +74,7 @@ def running_total(df: DataFrame, by: list[str], value: str, weight: Column, out:
 
 def competition_rank(df: DataFrame, by: list[str], value: str, out: str = "rank", descending: bool = True) -> DataFrame:
     """``RANK()`` without a single-task window: equal values are counted first."""
-    counts = df.groupBy(*by, value).agg(F.count("*").alias("_n"))
+    counts = stored(df.groupBy(*by, value).agg(F.count("*").alias("_n")), "counts")
     ranks = running_total(counts, by, value, F.col("_n"), "_upto", descending=descending)
     ranks = ranks.select(*by, value, (F.col("_upto") - F.col("_n") + 1).alias(out))
     return df.join(ranks, [*by, value])
@@ -85,7 +87,7 @@ def quantiles(df: DataFrame, by: list[str], value: str, share: float, out: str,
     values shrink before the shuffle; pass ``count`` if the rows already are (value, count) pairs.
     """
     rows = df.filter(F.col(value).isNotNull())
-    counts = rows.groupBy(*by, value).agg((F.sum(count) if count else F.count("*")).alias("_n"))
+    counts = stored(rows.groupBy(*by, value).agg((F.sum(count) if count else F.count("*")).alias("_n")), "counts")
     upto = running_total(counts, by, value, F.col("_n"), "_upto")
     totals = counts.groupBy(*by).agg(F.sum("_n").alias("n"))
     upto = upto.join(totals, by) if by else upto.withColumn("n", totals.scalar())

@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from querylode.lineage import stored
 from querylode.operators.ordering import quantiles, running_total, top_k
 
 _NUMBERS = (T.NumericType,)
@@ -48,7 +49,7 @@ def exact_statistics(df: DataFrame, samples: int = 5) -> DataFrame:
     """
     parts = []
     if numbers := columns_of(df, _NUMBERS):
-        counts = value_counts(df, numbers, "double")
+        counts = stored(value_counts(df, numbers, "double"), "values")
         # Sums of (value * count) as decimals do not depend on the order of addition.
         exact = F.sum((F.col("value").cast("decimal(24,6)") * F.col("n").cast("decimal(12,0)")))
         base = counts.groupBy("column_name").agg(
@@ -111,6 +112,7 @@ def execution_profile(logs: DataFrame, key: str = "template_id") -> DataFrame:
 
 def percentile_disc(counts: DataFrame, by: list[str], value: str, share: float, out: str) -> DataFrame:
     """Smallest value whose cumulative share reaches ``share``, from (by, value, n) counts."""
+    counts = stored(counts, "counts")
     totals = counts.groupBy(*by).agg(F.sum("n").alias("_all"))
     upto = running_total(counts, by, value, F.col("n"), "_upto").join(totals, by)
     return upto.filter(F.col("_upto") >= F.ceil(F.col("_all") * share)).groupBy(*by).agg(F.min(value).alias(out))
