@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from querylode.llm import common, exact_dedup, quality, sql, url_filter
+from querylode import lineage
+from querylode.llm import common, exact_dedup, packing, quality, sql, token_files, url_filter
+
+#: Vocabulary of the queries; the operators take any path.
+VOCABULARY = "byte_bpe_50k.json"
 
 URL_RULES = (
     ("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/"),
@@ -18,6 +23,23 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(common.table(spark, sf_dir, "pages", "page_id", "url"), URL_RULES)
 
 
+def vocabulary() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(VOCABULARY)
+
+
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Writes all documents' ids to the shared folder and reads them back."""
+    path = f"{lineage.shared_dir(spark)}/token-files-{uuid.uuid4().hex}"
+    token_files.write(common.table(spark, sf_dir, "documents", "doc_id", "text"), path, vocabulary(), end=2)
+    return token_files.read_documents(spark, path)
+
+
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(common.table(spark, sf_dir, "documents", "doc_id", "text"), vocabulary(), end=0)
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(common.table(spark, sf_dir, "documents", "doc_id", "text")).drop("row")
 
@@ -30,6 +52,8 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
+    "op3_token_files": op3_token_files,
+    "op5_packing": op5_packing,
     "op6_exact_dedup": op6_exact_dedup,
     "op10_quality_rules": op10_quality_rules,
 }
