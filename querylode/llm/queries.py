@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from querylode import lineage
-from querylode.llm import common, exact_dedup, packing, quality, sql, token_files, url_filter
+from querylode.llm import common, exact_dedup, mixing, packing, quality, sql, token_files, url_filter
 
 #: Vocabulary of the queries; the operators take any path.
 VOCABULARY = "byte_bpe_50k.json"
@@ -36,6 +36,11 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_documents(spark, path)
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = mixing.mix(common.table(spark, sf_dir, "documents", "doc_id", "source", "text"))
+    return rows.select("doc_id", "size", "source_size", "target", "taken", "draws")
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(common.table(spark, sf_dir, "documents", "doc_id", "text"), vocabulary(), end=0)
 
@@ -53,6 +58,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
     "op3_token_files": op3_token_files,
+    "op4_mixing": op4_mixing,
     "op5_packing": op5_packing,
     "op6_exact_dedup": op6_exact_dedup,
     "op10_quality_rules": op10_quality_rules,
