@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Pieces remembered per Python worker.
-PIECES = 800_000
+PIECES = 600_000
 _CUT = re.compile(r" (?=\S)")
 #: Spaces beside which, or instead of which, only the careful cut is right.
 _ODD_SPACES = ("  ", " \n", "\n\n", *"\t\r\x0b\x0c\x01\x02\x1c\x1d\x1e\x1f")
@@ -42,8 +42,6 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.splitter = Tokenizer.from_file(path)
         self.mark_id, self.mark = next((i, t.content) for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special)
         self.limit = pieces
         self._begin()
@@ -94,12 +92,16 @@ class Encoder:
         texts = [p[1:] if p[:1] == " " else {"\x01": ",", "\x02": "."}.get(p) or " " + p for p in new]
         # Joined by the special token, whose id parts their ids again; a piece that holds its string is encoded alone.
         own = [i for i, t in enumerate(texts) if self.mark in t]
+        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         found = [self.tokenizer.encode(texts[i], add_special_tokens=False).ids for i in own]
+        self.tokenizer.encode_special_tokens = False
         for i in own:
             texts[i] = ""
-        flat = np.asarray(self.splitter.encode_batch_fast([self.mark.join(texts)], add_special_tokens=False)[0].ids, np.uint32)
+        # The library's own objects are large, so it gets a few thousand pieces at a time.
+        runs = (self.mark.join(texts[i : i + 4000]) + self.mark for i in range(0, len(texts), 4000))
+        flat = np.concatenate([np.asarray(self.tokenizer.encode_batch_fast([r], add_special_tokens=False)[0].ids, np.uint32) for r in runs])
         gaps = np.flatnonzero(flat == self.mark_id)
-        length = np.diff(np.concatenate([[-1], gaps, [len(flat)]])) - 1
+        length = np.diff(np.concatenate([[-1], gaps])) - 1
         flat = np.delete(flat, gaps)
         if own:
             flat = np.insert(flat, np.repeat(np.cumsum(length)[own], [len(x) for x in found]), np.concatenate(found))
