@@ -31,31 +31,30 @@ def exact_dedup(docs: DataFrame, hashed: Callable[[Column], Column] = content_ha
     does not matter, since both are the same. ``row`` tells such rows apart. A null doc_id ranks before all others. Other columns
     of ``docs`` are ignored. An empty table gives an empty result.
     """
-    # File splits don't depend on the columns read, so both passes number the rows alike.
-    rows = docs.select("doc_id", F.monotonically_increasing_id().alias("row"), normalised(common.text_of()).alias("norm"))
+    row = F.col("_row") if "_row" in docs.columns else F.monotonically_increasing_id()
+    rows = docs.select("doc_id", row.alias("row"), normalised(common.text_of()).alias("norm"))
     rows = rows.select("doc_id", "row", "norm", hashed(F.col("norm")).alias("hash"))
-    texts = (
-        rows.groupBy("hash", "norm").agg(F.min(F.struct("doc_id", "row")).alias("keep"), F.count("*").alias("group_size"))
-        .select("hash", "norm", "keep", "group_size", F.sha2(F.encode("norm", "UTF-8"), 256).alias("text_sha256"))
-    )
-    shared = texts.groupBy("hash").agg(
-        F.count("*").alias("n_texts"), F.first("keep").alias("keep"), F.first("group_size").alias("group_size"),
-        F.first("text_sha256").alias("text_sha256"),
-    )
-    groups = lineage.stored(shared, "exact-groups")
+    ids = lineage.stored(rows.select("doc_id", "row", "hash"), "content-hashes")
+    texts = rows.groupBy("hash", "norm").agg(F.min(F.struct("doc_id", "row")).alias("keep"), F.count("*").alias("group_size"))
+    texts = texts.withColumn("text_sha256", F.sha2(F.encode("norm", "UTF-8"), 256))
+    found = texts.groupBy("hash").agg(
+        F.count("*").alias("n_texts"), F.sum("group_size").alias("group_size"), F.first("text_sha256").alias("text_sha256"))
+    keep = ids.groupBy("hash").agg(F.min(F.struct("doc_id", "row")).alias("keep"))
+    groups = lineage.stored(found.join(keep, "hash"), "exact-groups")
     collided = groups.where("n_texts > 1").select("hash")
-    found = rows.select("doc_id", "row", "hash").join(groups.where("n_texts = 1").drop("n_texts"), "hash")
+    out = ids.join(groups.where("n_texts = 1").drop("n_texts"), "hash")
     if not collided.isEmpty():  # then these hashes are decided by (hash, text)
         own = texts.join(collided, "hash", "left_semi")
-        found = found.unionByName(rows.join(own, ["hash", "norm"]).drop("norm"))
-    return found.select(
+        out = out.unionByName(rows.join(own, ["hash", "norm"]).drop("norm"))
+    return out.select(
         "doc_id", "row", F.col("keep.doc_id").alias("keep_id"), "group_size",
         (F.col("row") == F.col("keep.row")).alias("kept"), "text_sha256",
     )
 
 
 def drop_copies(docs: DataFrame) -> DataFrame:
-    """``docs`` without the rows that repeat an earlier text; all columns stay."""
-    rows = docs.withColumn("_row", F.monotonically_increasing_id())
-    kept = exact_dedup(docs).where("kept").select(F.col("row").alias("_row"))
+    """``docs`` without the rows that repeat an earlier text; all columns stay. The numbered rows are stored first, so that every pass
+    sees the same numbers."""
+    rows = lineage.stored(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    kept = exact_dedup(rows).where("kept").select(F.col("row").alias("_row"))
     return rows.join(kept, "_row", "left_semi").drop("_row")
