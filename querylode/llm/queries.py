@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from querylode import lineage
-from querylode.llm import common, exact_dedup, mixing, ngram_join, packing, quality, sql, token_files, toxicity, url_filter
+from querylode.llm import common, exact_dedup, mixing, ngram_join, packing, quality, sql, suffix_dedup, token_files, toxicity, url_filter
 
 #: Vocabulary of the queries; the operators take any path.
 VOCABULARY = "byte_bpe_50k.json"
@@ -58,6 +58,10 @@ def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(common.table(spark, sf_dir, "documents", "doc_id", "text"), size=3, percent=90)
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(common.table(spark, sf_dir, "documents", "doc_id", "text"), length=400)
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = quality.judged(quality.ledger(common.table(spark, sf_dir, "documents", "doc_id", "text")), "v2")
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
@@ -72,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_exact_dedup": op6_exact_dedup,
     "op7_toxicity": op7_toxicity,
     "op8_ngram_join": op8_ngram_join,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_quality_rules": op10_quality_rules,
 }
 SQL: dict[str, str] = {"op6_exact_dedup": sql.EXACT_DEDUP, "op10_quality_rules": sql.QUALITY}
