@@ -28,9 +28,10 @@ def unit(*parts: Column | int | str) -> Column:
 
 
 def sized(docs: DataFrame) -> DataFrame:
-    """doc_id, source and size (words of the whole text; null: 0)."""
+    """doc_id, source, size (words of the whole text; null: 0) and a number for the row."""
     words = F.regexp_count(common.text_of(), F.lit(common.WORD)).cast("long")
-    return docs.select("doc_id", F.col("source").cast("string").alias("source"), words.alias("size"))
+    row = F.col("_row") if "_row" in docs.columns else F.monotonically_increasing_id()
+    return docs.select("doc_id", F.col("source").cast("string").alias("source"), words.alias("size"), row.alias("row"))
 
 
 def targets(totals: DataFrame, weights: Sequence[float], share: float, passes: int = MAX_PASSES) -> DataFrame:
@@ -125,7 +126,7 @@ def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.
     columns are ignored, an empty table gives no rows.
     """
     rows = lineage.stored(
-        sized(docs).withColumn("row", F.monotonically_increasing_id())
+        sized(docs)
         .withColumn("key", unit(seed, F.coalesce(F.col("doc_id"), F.lit(-1)), F.col("row")))
         .withColumn("block", F.floor(F.col("key") * BLOCKS).cast("int")), "sized")
     blocks = lineage.stored(rows.groupBy("source", "block").agg(F.sum("size").alias("words"), F.count("*").alias("n")), "blocks")
@@ -182,9 +183,13 @@ def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.
                         draws.alias("draws"), "row")
 
 
-def shuffled(docs: DataFrame, mixed: DataFrame) -> DataFrame:
-    """``docs`` in the mixed order: each document once per draw, ordered by (shard, position) inside its shard's files."""
-    rows = docs.withColumn("row", F.monotonically_increasing_id())
-    drawn = mixed.select("row", F.explode("draws").alias("draw"))
-    return rows.join(drawn, "row").repartition("draw.shard", F.pmod("draw.position", F.lit(8))).sortWithinPartitions(
-        "draw.shard", "draw.position").drop("row", "draw")
+def mixed_documents(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.5, shards: int = 16, seed: int = 11) -> DataFrame:
+    """``docs`` as the mix draws them, a row per draw with all columns of ``docs``: dealt to their output shards, shuffled inside.
+
+    A shard is spread over tasks by position, so that shards may be large; within a task rows stand in (shard, position) order. The
+    numbered rows are stored first, so that every pass sees the same numbers.
+    """
+    rows = lineage.stored(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    drawn = mix(rows, weights, share, shards, seed).select(F.col("row").alias("_row"), F.explode("draws").alias("_draw"))
+    placed = rows.join(drawn, "_row").repartition(F.col("_draw.shard"), F.pmod(F.col("_draw.position"), F.lit(8)))
+    return placed.sortWithinPartitions("_draw.shard", "_draw.position").drop("_row", "_draw")

@@ -26,8 +26,6 @@ from querylode import lineage, sizing
 from querylode.llm import common, encoding, shingles
 from querylode.operators import neardup
 
-#: Share of the hash range whose tokens come first in the first order; must exceed 1 - threshold.
-FIRST_CLASS = 5
 #: Tokens found this often in one node in ``SAMPLE`` count as endlessly frequent, without being counted.
 SAMPLE, HOT = 64, 2_000
 
@@ -37,13 +35,16 @@ def _least(n, percent: int):
     return -(-percent * n // 100)
 
 
-def _first_class(tokens: np.ndarray) -> np.ndarray:
-    return tokens < np.uint64((1 << 64) // FIRST_CLASS)
+def _first_class(percent: int) -> int:
+    """Tokens below this hash come first in the first order: twice the share of tokens that a prefix holds, half of all at most."""
+    return (1 << 63) * min(100, 4 * (100 - percent)) // 100
 
 
 def _sets(size: int, percent: int, whole: bool):
     """doc_id, set (64 bits of the fingerprint), n, and the tokens: all of them, or those that the first order needs."""
 
+    limit = _first_class(percent)
+
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             doc_ids = batch.column("doc_id").to_pylist()
@@ -52,7 +53,7 @@ def _sets(size: int, percent: int, whole: bool):
                 ids = [int.from_bytes(shingles.fingerprint(s)[:8], "little", signed=True) for s in found]
                 kept = []
                 for s in found:
-                    early = s[_first_class(s)]
+                    early = s[s < np.uint64(limit)]
                     enough = whole is False and len(early) >= len(s) - _least(len(s), percent) + 1
                     kept.append((early if enough else s).astype("<u8").tobytes())
                 yield pa.RecordBatch.from_arrays(
@@ -147,7 +148,7 @@ def near_sets(docs: DataFrame, size: int = 3, percent: int = 90) -> tuple[DataFr
     counted, _ = _frequent(rows)
 
     # Places in the first order: early tokens of one set, early shared ones by frequency, then the same for the rest.
-    early = F.col("token").between(0, (1 << 64) // FIRST_CLASS - 1)  # signed view of the unsigned hash
+    early = F.col("token").between(0, _first_class(percent) - 1)  # signed view of the unsigned hash
     sizes = every.where("n > 0").groupBy("set").agg(F.first("n").alias("n"), F.first(F.octet_length("tokens") / 8).cast("int").alias("sent"),
                                                    F.min("doc_id").alias("doc_id"))
     per_set = counted.groupBy("set").agg(F.sort_array(F.collect_list(F.struct((~early).alias("late"), "df", "token"))).alias("shared"))

@@ -259,35 +259,29 @@ def fit(labelled: DataFrame, model: np.ndarray, known: dict[str, tuple[int, int]
     return beta
 
 
-def _scores(model: np.ndarray, known: dict[str, tuple[int, int]], beta: np.ndarray):
-    known = {f: c for f, c in known.items() if f}
+class Scorer:
+    """Scores of texts; one per task, since it remembers words."""
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader, values = Reader(model), {}
-        for batch in batches:
-            rows: list[tuple] = []
-            for _, texts in encoding.slices(batch.column("text")):
-                if len(values) > reader.bound:
-                    values.clear()
-                rows += [_summary(reader.words(t), known, values) for t in texts]
-            x = np.column_stack([np.ones(len(rows)), np.array(rows)]) if rows else np.zeros((0, 5))
-            p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(p, pa.float64())], names=["doc_id", "score"])
+    def __init__(self, model: np.ndarray, known: dict[str, tuple[int, int]], beta: np.ndarray) -> None:
+        self.reader, self.beta, self.values = Reader(model), beta, {}
+        self.known = {f: c for f, c in known.items() if f}
 
-    return score
+    def scores(self, column: pa.Array) -> np.ndarray:
+        rows: list[tuple] = []
+        for _, texts in encoding.slices(column):
+            if len(self.values) > self.reader.bound:
+                self.values.clear()
+            rows += [_summary(self.reader.words(t), self.known, self.values) for t in texts]
+        x = np.column_stack([np.ones(len(rows)), np.array(rows)]) if rows else np.zeros((0, 5))
+        return 1 / (1 + np.exp(-np.clip(x @ self.beta, -30, 30)))
 
 
 def held_out(doc_id: str = "doc_id"):
     return F.coalesce(F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(5)) == 0, F.lit(False))
 
 
-def score(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
-    """doc_id, held_out, score and predicted for every row of ``docs`` (doc_id, text).
-
-    ``labels`` (doc_id, toxic 0/1; other values and null are ignored) teaches the weights, from at most ``fit_rows`` rows that are not
-    held out. Null and empty texts have no words and get the score of such texts. Without labels no text is toxic. Repeated rows are scored
-    alike; other columns are ignored.
-    """
+def fitted(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS):
+    """What a ``Scorer`` is made of: the character model of ``docs``, the evidence and the coefficients; see ``score``."""
     texts = docs.select("doc_id", common.text_of().alias("text"))
     model = language_model(docs)
     usable = labels.select("doc_id", "toxic").where(F.col("doc_id").isNotNull() & ~held_out() & F.col("toxic").isin(0, 1)).dropDuplicates(["doc_id"])
@@ -296,6 +290,35 @@ def score(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> DataF
     taught = lineage.stored(taught, "toxic-texts")
     known = evidence(taught, model)
     beta = fit(taught, model, known)
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    scored = texts.mapInArrow(_scores(model, known, beta), f"doc_id {kind}, score double")
+    return model, known, beta
+
+
+def score(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
+    """doc_id, held_out, score and predicted for every row of ``docs`` (doc_id, text).
+
+    ``labels`` (doc_id, toxic 0/1; other values and null are ignored) teaches the weights, from at most ``fit_rows`` rows that are not
+    held out. Null and empty texts have no words and get the score of such texts. Without labels no text is toxic. Repeated rows are scored
+    alike; other columns are ignored.
+    """
+    texts = docs.select("doc_id", common.text_of().alias("text"))
+    kind, parts = docs.schema["doc_id"].dataType.simpleString(), fitted(docs, labels, fit_rows)
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(*parts)
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scorer.scores(batch.column("text")))], names=["doc_id", "score"])
+
+    scored = texts.mapInArrow(judge, f"doc_id {kind}, score double")
     return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
+    """``docs`` without the rows that score ``threshold`` or more; all columns stay. Rows are judged one by one where they stand."""
+    parts = fitted(docs, labels)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(*parts)
+        for batch in batches:
+            yield batch.filter(pa.array(scorer.scores(batch.column("text")) < threshold))
+
+    return docs.mapInArrow(keep, docs.schema)
