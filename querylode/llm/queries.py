@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from querylode import lineage
-from querylode.llm import common, exact_dedup, mixing, ngram_join, packing, quality, sql, suffix_dedup, token_files, toxicity, url_filter
+from querylode.llm import common, exact_dedup, html_text, mixing, ngram_join, packing, quality, sql, suffix_dedup, token_files, toxicity, url_filter
 
 #: Vocabulary of the queries; the operators take any path.
 VOCABULARY = "byte_bpe_50k.json"
@@ -29,6 +29,10 @@ def vocabulary() -> str:
     return public_tokenizers.path(VOCABULARY)
 
 
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_text(common.table(spark, sf_dir, "pages", "page_id", "html"))
+
+
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Writes all documents' ids to the shared folder and reads them back."""
     path = f"{lineage.shared_dir(spark)}/token-files-{uuid.uuid4().hex}"
@@ -70,6 +74,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
+    "op2_html_text": op2_html_text,
     "op3_token_files": op3_token_files,
     "op4_mixing": op4_mixing,
     "op5_packing": op5_packing,
