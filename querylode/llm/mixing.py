@@ -122,7 +122,7 @@ def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.
 
     ``draws`` lists (shard, position) for each time the document is drawn: once per pass, hence at most twice; ``taken`` is its size
     times their number. The words taken from a source differ from its target by at most half of one document. A null source is a
-    source of its own; sources without words take nothing. Rows repeating a doc_id are told apart by their place in the input. Other
+    source of its own; documents without words may be drawn or not. Rows repeating a doc_id are told apart by their place in the input. Other
     columns are ignored, an empty table gives no rows.
     """
     rows = lineage.stored(

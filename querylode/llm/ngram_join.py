@@ -8,7 +8,7 @@ order all tokens are put in. Three orders are used:
 * the second and third are ascending and descending hashes, of which stored sets are sorted slices.
 
 Pairs come from the buckets of the first order, must also meet under the other two, and are compared as whole sets. Buckets never
-emit all their pairs: members are first compared with a leader of their size band, the one with the fewest tokens of its own; only
+emit all their pairs: members are first compared with a leader of their size band, the one whose tokens are most common; only
 members that end up in different components are paired with each other. Tokens that no other surviving node has bound the overlap
 of a node with anything, which removes nodes before pairs are made.
 """
@@ -30,6 +30,10 @@ from querylode.operators import neardup
 SAMPLE, HOT = 64, 2_000
 
 
+#: Parts of the hash range whose tokens are counted per set: sets that differ by d tokens differ by at most d in these counts.
+PARTS = 64
+
+
 def _least(n, percent: int):
     """ceil(percent / 100 * n) in whole numbers, for ints and arrays alike."""
     return -(-percent * n // 100)
@@ -56,10 +60,12 @@ def _sets(size: int, percent: int, whole: bool):
                     early = s[s < np.uint64(limit)]
                     enough = whole is False and len(early) >= len(s) - _least(len(s), percent) + 1
                     kept.append((early if enough else s).astype("<u8").tobytes())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(doc_ids[first : first + len(texts)], pa.int64()), pa.array(ids, pa.int64()),
-                     pa.array([len(s) for s in found], pa.int32()), pa.array(kept, pa.binary())],
-                    names=["doc_id", "set", "n", "tokens"])
+                columns = [pa.array(doc_ids[first : first + len(texts)], pa.int64()), pa.array(ids, pa.int64()),
+                           pa.array([len(s) for s in found], pa.int32()), pa.array(kept, pa.binary())]
+                if whole:
+                    counts = [np.bincount((s % np.uint64(PARTS)).astype(np.int64), minlength=PARTS) for s in found]
+                    columns.append(pa.array(counts, pa.list_(pa.int32())))
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "set", "n", "tokens", "counts"][: len(columns)])
 
     return build
 
@@ -113,10 +119,12 @@ def _room(n: Column, m: Column, percent: int) -> Column:
 
 
 def _may_link(a: str, b: str, percent: int) -> Column:
-    """Sizes, own tokens and places of the shared token leave enough in common."""
+    """Sizes, own tokens, places of the shared token and counts by part leave enough in common."""
     c = lambda side, name: F.col(f"{side}.{name}")
     fits = lambda s, o: F.greatest(c(s, "own"), c(s, "pos")) <= _room(c(s, "n"), c(o, "n"), percent)
-    return fits(a, b) & fits(b, a)
+    apart = F.aggregate(F.zip_with(c(a, "counts"), c(b, "counts"), lambda x, y: F.abs(x - y)), F.lit(0), lambda x, y: x + y)
+    total = c(a, "n") + c(b, "n")
+    return fits(a, b) & fits(b, a) & (apart <= total - 2 * F.ceil(total * percent / (100 + percent)))
 
 
 def _frequent(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -165,22 +173,23 @@ def near_sets(docs: DataFrame, size: int = 3, percent: int = 90) -> tuple[DataFr
     first = lineage.stored(first.join(met, "token", "left_semi"), "met-prefixes")
 
     alive = sizing.small_side(lineage.stored(first.select("doc_id", F.col("set").alias("alive")).distinct(), "alive"))
-    again = texts.join(alive, "doc_id").select("doc_id", "text").mapInArrow(_sets(size, percent, True), schema)
+    again = texts.join(alive, "doc_id").select("doc_id", "text").mapInArrow(_sets(size, percent, True), f"{schema}, counts array<int>")
     # A repeated doc_id brings other texts along; and several texts may have the same set.
     full = again.join(alive.select("alive").distinct(), F.col("set") == F.col("alive"), "left_semi").groupBy("set").agg(
-        F.first("n").alias("n"), F.first("tokens").alias("tokens"))
+        F.first("n").alias("n"), F.first("tokens").alias("tokens"), F.first("counts").alias("counts"))
     full = lineage.stored(full, "alive-sets")
     shared, _ = _frequent(full.select("set", "tokens").mapInArrow(_spread, "token long, set long"))
-    kept = shared.groupBy("set").agg(F.count("*").alias("shared"))
-    owned = full.select("set", "n").join(kept, "set", "left").withColumn("own", F.col("n") - F.coalesce("shared", F.lit(0)))
-    owned = owned.where(F.col("own") <= F.col("n") - F.ceil(F.col("n") * percent / 100)).select("set", "own")
+    kept = shared.groupBy("set").agg(F.count("*").alias("shared"), F.sum(F.least("df", F.lit(1 << 30))).alias("common"))
+    owned = full.select("set", "n", "counts").join(kept, "set", "left").withColumn("own", F.col("n") - F.coalesce("shared", F.lit(0)))
+    owned = owned.where(F.col("own") <= F.col("n") - F.ceil(F.col("n") * percent / 100))
+    owned = owned.select("set", "own", "counts", (-F.col("common") / F.col("n")).alias("remote"))
     first = first.drop("doc_id").join(owned, "set")
     first = first.withColumn("band", F.floor(F.log(F.col("n").cast("double")) / -math.log(percent / 100)).cast("int"))
     first = lineage.stored(first.withColumn("own", F.col("own").cast("int")), "buckets")
 
     # A leader per token and size band; members of its band and of the next one meet it.
-    lead = first.groupBy("token", "band").agg(F.min(F.struct("own", "pos", "n", "set")).alias("l"))
-    lead = lead.select("token", F.explode(F.array("band", F.col("band") + 1)).alias("band"), "l.own", "l.pos", "l.n", "l.set")
+    lead = first.groupBy("token", "band").agg(F.min(F.struct("remote", "own", "pos", "n", "set", "counts")).alias("l"))
+    lead = lead.select("token", F.explode(F.array("band", F.col("band") + 1)).alias("band"), "l.own", "l.pos", "l.n", "l.set", "l.counts")
     stars = first.alias("x").join(lead.alias("y"), ["token", "band"]).where((F.col("x.set") != F.col("y.set")) & _may_link("x", "y", percent))
     pairs = stars.select(F.least("x.set", "y.set").alias("a"), F.greatest("x.set", "y.set").alias("b")).distinct()
     pairs = lineage.stored(pairs, "star-pairs")
