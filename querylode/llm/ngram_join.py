@@ -26,10 +26,6 @@ from querylode import lineage, sizing
 from querylode.llm import common, encoding, shingles
 from querylode.operators import neardup
 
-#: Tokens found this often in one node in ``SAMPLE`` count as endlessly frequent, without being counted.
-SAMPLE, HOT = 64, 2_000
-
-
 #: Parts of the hash range whose tokens are counted per set: sets that differ by d tokens differ by at most d in these counts.
 PARTS = 64
 
@@ -127,19 +123,11 @@ def _may_link(a: str, b: str, percent: int) -> Column:
     return fits(a, b) & fits(b, a) & (apart <= total - 2 * F.ceil(total * percent / (100 + percent)))
 
 
-def _frequent(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(token, set, df) of tokens in two sets or more, and the endlessly frequent ones. Those are found in a sample, only to keep the
-    count of one token out of one task; the order they get is a fixed one, so nothing is lost."""
-    seen = rows.where(F.pmod(F.xxhash64("set"), F.lit(SAMPLE)) == 0).groupBy("token").agg(F.count("*").alias("n"))
-    hot = lineage.stored(seen.where(F.col("n") >= HOT).select("token"), "hot-tokens")
-    if hot.isEmpty():
-        cold, endless = rows, None
-    else:
-        known = sizing.small_side(hot)
-        cold = rows.join(known, "token", "left_anti")
-        endless = rows.join(known, "token", "left_semi").withColumn("df", F.lit(1 << 60))
+def _frequent(rows: DataFrame) -> DataFrame:
+    """(token, set, df) of tokens in two sets or more; endlessly frequent ones come last in the order without being counted."""
+    cold, hot = common.split_hot(rows, "token", "set")
     counted = cold.withColumn("df", F.count("*").over(Window.partitionBy("token"))).where("df > 1")
-    return counted if endless is None else counted.unionByName(endless), hot
+    return counted if hot is None else counted.unionByName(hot.withColumn("df", F.lit(1 << 60)))
 
 
 def near_sets(docs: DataFrame, size: int = 3, percent: int = 90) -> tuple[DataFrame, DataFrame]:
@@ -153,7 +141,7 @@ def near_sets(docs: DataFrame, size: int = 3, percent: int = 90) -> tuple[DataFr
     every = lineage.stored(texts.mapInArrow(_sets(size, percent, False), schema), "shingle-sets")
     nodes = every.where("n > 0").groupBy("set").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("tokens").alias("tokens"))
     rows = nodes.select("set", "tokens").mapInArrow(_spread, "token long, set long")
-    counted, _ = _frequent(rows)
+    counted = _frequent(rows)
 
     # Places in the first order: early tokens of one set, early shared ones by frequency, then the same for the rest.
     early = F.col("token").between(0, _first_class(percent) - 1)  # signed view of the unsigned hash
@@ -178,7 +166,7 @@ def near_sets(docs: DataFrame, size: int = 3, percent: int = 90) -> tuple[DataFr
     full = again.join(alive.select("alive").distinct(), F.col("set") == F.col("alive"), "left_semi").groupBy("set").agg(
         F.first("n").alias("n"), F.first("tokens").alias("tokens"), F.first("counts").alias("counts"))
     full = lineage.stored(full, "alive-sets")
-    shared, _ = _frequent(full.select("set", "tokens").mapInArrow(_spread, "token long, set long"))
+    shared = _frequent(full.select("set", "tokens").mapInArrow(_spread, "token long, set long"))
     kept = shared.groupBy("set").agg(F.count("*").alias("shared"), F.sum(F.least("df", F.lit(1 << 30))).alias("common"))
     owned = full.select("set", "n", "counts").join(kept, "set", "left").withColumn("own", F.col("n") - F.coalesce("shared", F.lit(0)))
     owned = owned.where(F.col("own") <= F.col("n") - F.ceil(F.col("n") * percent / 100))

@@ -17,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from querylode import lineage, sizing
 from querylode.llm import common, encoding, shingles
@@ -49,6 +49,9 @@ class Bytes:
         if n < length:
             return (np.zeros(0, np.int64),) * 4
         values = self.hashes(np.arange(n - gram + 1), np.arange(gram, n + 1))
+        # The place fills the low bits: the least hash wins, and of equal ones the first.
+        bits = np.uint64(n.bit_length())
+        values = values >> bits << bits | np.arange(len(values), dtype=np.uint64)
         # The first least value of every span, by running minima from both sides of blocks of that size.
         m = len(values) - span + 1
         blocks = -(-len(values) // span)
@@ -64,16 +67,7 @@ class Bytes:
                 fits[a : b - length + 1] = True
         start = np.flatnonzero(fits[:m])
         least = least[start]
-        # Where the least value stands: the next place at or after the start that holds it. Places by value, then by position.
-        order = np.argsort(values, kind="stable")
-        ranked = values[order]
-        low = np.searchsorted(ranked, least, side="left")
-        place = order[low]
-        late = np.flatnonzero(place < start)  # an earlier copy of these bytes lies before the start
-        while len(late):
-            low[late] += 1
-            place[late] = order[low[late]]
-            late = late[place[late] < start[late]]
+        place = (least & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
         text = np.searchsorted(self.ends, start, side="right")
         change = np.flatnonzero(np.concatenate([[True], (np.diff(place) != 0) | (np.diff(text) != 0) | (np.diff(start) != 1)])) if len(start) else np.zeros(0, np.int64)
         last = np.concatenate([change[1:] - 1, [len(start) - 1]]) if len(start) else change
@@ -176,29 +170,39 @@ def _removed(length: int, texts_too: bool):
     return cut
 
 
-def _counted(rows: DataFrame, key: str) -> DataFrame:
-    """``rows`` whose ``key`` occurs twice or more. The join's hot keys are split by AQE; counts are pre-aggregated."""
-    twice = rows.groupBy(key).agg(F.count("*").alias("_n")).where("_n > 1").select(key)
-    return rows.join(twice, key)
+def _settled(classes: DataFrame) -> DataFrame:
+    """Rows of repeated cores with ``times`` (occurrences of the hull), ``lone`` (the core has a hull that occurs once, and others)
+    and ``first`` (one row of the hull)."""
+    cold, hot = common.split_hot(classes, "core", "row")
+    hull = Window.partitionBy("core", "hull")
+    core = Window.partitionBy("core")
+    out = cold.withColumn("members", F.count("*").over(core)).where("members > 1").withColumn("times", F.count("*").over(hull))
+    out = out.withColumn("lone", (F.min("times").over(core) == 1)).withColumn("first", F.row_number().over(hull.orderBy("row", "low")) == 1)
+    columns = ["core", "hull", "row", "low", "high", "times", "lone", "first"]
+    if hot is None:
+        return out.select(columns)
+    # The same by aggregation and joins, which pre-aggregate and split what one task could not take.
+    hulls = lineage.stored(hot.groupBy("core", "hull").agg(F.count("*").alias("times"), F.min(F.struct("row", "low")).alias("one")), "hot-hulls")
+    cores = hulls.groupBy("core").agg((F.min("times") == 1).alias("lone"), F.sum("times").alias("members")).where("members > 1").drop("members")
+    more = hot.join(hulls, ["core", "hull"]).join(cores, "core").withColumn("first", F.struct("row", "low") == F.col("one"))
+    return out.select(columns).unionByName(more.select(columns))
 
 
 def repeated_starts(rows: DataFrame, length: int = LENGTH, gram: int = GRAM, step: int = STEP) -> DataFrame:
     """row, low, high: ranges of starts of strings of ``length`` bytes that also start elsewhere. ``rows`` has row and text."""
     found = lineage.stored(rows.mapInArrow(_anchor_rows(length, gram), "gram long, row long"), "anchors")
-    flagged = _counted(found, "gram").groupBy("row").agg(F.collect_set("gram").alias("grams"))
-    flagged = sizing.small_side(lineage.stored(flagged, "flagged"))
-    texts = lineage.stored(rows.join(flagged, "row").select("row", "text", "grams"), "flagged-texts")
-    classes = lineage.stored(texts.mapInArrow(_class_rows(length, gram, step), _CLASS), "classes")
-
-    hulls = classes.groupBy("core", "hull").agg(F.count("*").alias("times"), F.min(F.struct("row", "low", "high")).alias("one"))
-    hulls = lineage.stored(hulls, "hulls")
-    cores = hulls.groupBy("core").agg(F.count("*").alias("hulls"), F.sum("times").alias("members"))
-    open_cores = cores.where("hulls > 1").select("core")
-    sure = classes.join(hulls.where("times > 1").select("core", "hull"), ["core", "hull"]).select("row", "low", "high")
-    unsure = hulls.join(open_cores, "core").select("one.*", "times")
-    ranges = unsure.groupBy("row").agg(F.collect_list(F.struct("low", "high", "times")).alias("ranges"))
+    cold, hot = common.split_hot(found, "gram", "row")
+    twice = cold.withColumn("n", F.count("*").over(Window.partitionBy("gram"))).where("n > 1").select("gram", "row")
+    twice = twice if hot is None else twice.unionByName(hot.select("gram", "row"))
+    flagged = sizing.small_side(lineage.stored(twice.groupBy("row").agg(F.collect_set("gram").alias("grams")), "flagged"))
+    classes = rows.join(flagged, "row").select("row", "text", "grams").mapInArrow(_class_rows(length, gram, step), _CLASS)
+    settled = lineage.stored(_settled(lineage.stored(classes, "classes")), "settled")
+    sure = settled.where("times > 1").select("row", "low", "high")
+    unsure = settled.where("lone and first").groupBy("row").agg(F.collect_list(F.struct("low", "high", "times")).alias("ranges"))
+    unsure = sizing.small_side(lineage.stored(unsure, "unsure"))
     strings = lineage.stored(
-        texts.select("row", "text").join(ranges, "row").mapInArrow(_string_rows(length), "string long, row long, low int, times long"), "strings")
+        rows.join(unsure, "row").select("row", "text", "ranges").mapInArrow(_string_rows(length), "string long, row long, low int, times long"),
+        "strings")
     total = strings.groupBy("string").agg(F.sum("times").alias("n")).where("n > 1").select("string")
     single = strings.where("times = 1").join(total, "string").select("row", "low", F.col("low").alias("high"))
     return sure.unionByName(single)
@@ -210,8 +214,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, step
     Null texts are empty. Rows that repeat a doc_id are different places like any others, so equal rows of ``length`` bytes or more
     remove each other. Other columns are ignored; an empty table gives no rows.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), common.text_of().alias("text"), F.monotonically_increasing_id().alias("row"))
-    rows = lineage.stored(rows, "numbered")  # so that every later pass sees the same numbers
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), common.text_of().alias("text"))
+    rows = rows.withColumn("row", F.xxhash64("doc_id", "text"))  # rows that are alike may share it: what is removed from them is alike
     starts = repeated_starts(rows.select("row", "text"), length, gram, step)
     ranges = starts.groupBy("row").agg(F.collect_list(F.struct("low", "high")).alias("ranges"))
     ranges = sizing.small_side(lineage.stored(ranges, "removed"))
