@@ -16,10 +16,12 @@ import numpy as np
 import pyarrow as pa
 
 #: Pieces remembered per Python worker.
-PIECES = 600_000
+PIECES = 1_000_000
 _CUT = re.compile(r" (?=\S)")
 #: Spaces beside which, or instead of which, only the careful cut is right.
-_ODD_SPACES = ("  ", " \n", "\n\n", *"\t\r\x0b\x0c\x01\x02\x1c\x1d\x1e\x1f")
+_ODD_SPACES = ("  ", " \n", "\n\n", *"\t\r\x0b\x0c\x1c\x1d\x1e\x1f")
+#: Pieces of their own: a comma, a full stop, a line break; and the mark of a piece that no space precedes.
+COMMA, STOP, BREAK, BARE = "\x01", "\x02", "\x03", "\x04"
 _WIDE_SPACES = "\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 _ODD_STOP = re.compile(r"[,.](?<![^\W_][,.])(?=[ \n])")
 _ENCODERS: dict[str, "Encoder"] = {}
@@ -47,10 +49,10 @@ class Encoder:
         self._begin()
 
     def _begin(self) -> None:
-        self.numbers = _Pieces()  # of pieces as they follow a space; those that begin a text carry a space in front
+        self.numbers = _Pieces()  # of pieces as they follow a space, or with a mark
         self.ids, self.starts = np.zeros(1 << 20, np.uint32), np.zeros(1 << 18, np.int64)
         self.uses = np.zeros(0, np.int64)
-        for piece in (" \n", "\x01", "\x02"):  # the first three: a line break, a comma, a full stop
+        for piece in (BREAK, COMMA, STOP):
             self.numbers[piece]
         self._learn()
 
@@ -67,29 +69,29 @@ class Encoder:
         self.starts[: len(kept) + 1] = np.concatenate([[0], ends])
         self.uses = np.zeros(0, np.int64)
 
-    def _numbers(self, text: str, out: list[int]) -> None:
-        number = self.numbers.__getitem__
-        odd = text[-1:] == " " or any(s in text for s in _ODD_SPACES) or not text.isascii() and any(s in text for s in _WIDE_SPACES)
-        if odd:  # runs of spaces are tokens of their own: cut only where it is safe
-            parts = _CUT.split(text)
-            parts[0] = " " + parts[0]
-            out += map(number, parts)
-            return
-        if not _ODD_STOP.search(text):
-            text = text.replace(", ", " \x01 ").replace(". ", " \x02 ").replace(",\n", " \x01\n").replace(".\n", " \x02\n")
-        for line in text.split("\n"):
-            parts = line.split(" ")
-            parts[0] = " " + parts[0]
-            out += map(number, parts)
-            out.append(0)
-        out.pop()
+    def _pieces(self, texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(numbers of the pieces of all texts in a row, offsets of the texts in them)."""
+        flat, ends, number = [], [0], self.numbers.__getitem__
+        for text in texts:
+            if any(m in text for m in (COMMA, STOP, BREAK, BARE)):
+                flat.append(number(BARE + text))
+            elif text[-1:] == " " or any(s in text for s in _ODD_SPACES) or not text.isascii() and any(s in text for s in _WIDE_SPACES):
+                first, *rest = _CUT.split(text)  # runs of spaces are tokens of their own: cut only where it is safe
+                flat += map(number, [BARE + first, *rest])
+            else:
+                if not _ODD_STOP.search(text):
+                    text = text.replace(", ", " \x01 ").replace(". ", " \x02 ").replace(",\n", " \x01\n").replace(".\n", " \x02\n")
+                flat += map(number, (BARE + text.replace("\n", " \x03 \x04")).split(" "))
+            ends.append(len(flat))
+        return np.array(flat, np.int64), np.array(ends)
 
     def _learn(self) -> None:
         new, self.numbers.new = self.numbers.new, []
         if not new:
             return
         known = len(self.numbers) - len(new)
-        texts = [p[1:] if p[:1] == " " else {"\x01": ",", "\x02": "."}.get(p) or " " + p for p in new]
+        marks = {COMMA: ",", STOP: ".", BREAK: "\n"}
+        texts = [p[1:] if p[:1] == BARE else marks.get(p) or " " + p for p in new]
         # Joined by the special token, whose id parts their ids again; a piece that holds its string is encoded alone.
         own = [i for i, t in enumerate(texts) if self.mark in t]
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
@@ -118,13 +120,8 @@ class Encoder:
         """(ids of all texts in a row, offsets of the texts in them); ``end`` is put behind every text."""
         if len(self.numbers) > self.limit:
             self._shrink()
-        flat: list[int] = []
-        ends = [0]
-        for text in texts:
-            self._numbers(text, flat)
-            ends.append(len(flat))
+        number, ends = self._pieces(texts)
         self._learn()
-        number = np.array(flat, np.int64)
         uses = np.bincount(number, minlength=len(self.numbers))
         uses[: len(self.uses)] += self.uses
         self.uses = uses

@@ -50,7 +50,8 @@ def encode(values: np.ndarray, percentile: float = 0.9) -> bytes:
     put(start + 5, n_exc, "<u2")
     for w in np.unique(width[width > 0]):
         rows = np.flatnonzero(width == w)
-        raw = np.ascontiguousarray(diff[rows].astype("<u4")).view(np.uint8).reshape(len(rows), BLOCK, 4)
+        kind = "<u2" if w <= 16 else "<u4"  # exceptions lose their high bits here; the list has them whole
+        raw = np.ascontiguousarray(diff[rows].astype(kind)).view(np.uint8).reshape(len(rows), BLOCK, -1)
         flags = np.unpackbits(raw, axis=2, bitorder="little")[:, :, :w]
         put(start[rows] + HEAD, np.packbits(flags.reshape(len(rows), -1), axis=1, bitorder="little"), "u1")
     if len(at):
@@ -86,9 +87,9 @@ def decode(data: bytes, first: int = 0, stop: int | None = None) -> np.ndarray:
     for w in np.unique(width[width > 0]):
         rows = np.flatnonzero(width == w)
         flags = np.unpackbits(raw[(start[rows] + HEAD)[:, None] + np.arange(BLOCK // 8 * w)], axis=1, bitorder="little")
-        full = np.zeros((len(rows), BLOCK, 32), np.uint8)
+        full = np.zeros((len(rows), BLOCK, 16 if w <= 16 else 32), np.uint8)
         full[:, :, :w] = flags.reshape(len(rows), BLOCK, w)
-        out[rows] = np.packbits(full, axis=2, bitorder="little").view("<u4")[:, :, 0]
+        out[rows] = np.packbits(full, axis=2, bitorder="little").view("<u2" if w <= 16 else "<u4")[:, :, 0]
     if n_exc.any():
         of = np.repeat(np.arange(high - low), n_exc)
         rank = np.arange(len(of)) - np.repeat(np.cumsum(n_exc) - n_exc, n_exc)
