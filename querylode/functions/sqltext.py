@@ -122,7 +122,7 @@ def referenced_tables(sql: Column) -> Column:
 def select_items(sql: Column, strict: bool = False) -> Column:
     """Raw items of the first select list: split at every comma, or at parenthesis depth 0 if strict."""
     if strict:
-        return _all(F.regexp_extract(sql, _STRICT_SELECT, 1), _ITEM, 0)
+        return _outer_items(sql)
     return F.split(F.regexp_extract(sql, SELECT_LIST, 1), ",")
 
 
@@ -147,19 +147,50 @@ def where_columns(sql: Column) -> Column:
     return F.transform(_all(F.regexp_extract(sql, WHERE_CLAUSE, 1), WHERE_COLUMN), last_part)
 
 
-# Items may nest parentheses this deep in the strict select list.
-_DEPTH = 8
+# One flat pass cuts the text; no part of it nests, so neither length nor depth of a statement matters to the regex engine.
+# A literal with doubled quotes comes as several adjacent ones, which a repeated group would need a stack frame each for.
+_TOKEN = r"(?s)'[^']*'|--[^\n]*|/\*.*?\*/|\"[^\"]*\"|[(),]|[\w.$#]+|\s+|."
+_NOWHERE = 1 << 30
+
+
+def _outer_items(sql: Column) -> Column:
+    """Items of the first select list at the lowest depth any select list has, so that CTE bodies don't count: a fold over the tokens
+    with the current depth, the depth of the list being read, the item so far, the items, and whether its FROM was seen."""
+    text, number = F.lit("").cast("string"), F.lit(0)
+    start = F.struct(number.alias("depth"), F.lit(_NOWHERE).alias("at"), text.alias("item"),
+                     F.array().cast("array<string>").alias("items"), F.lit(False).alias("open"), F.lit(False).alias("done"))
+
+    def state(depth: Column, at: Column, item: Column, items: Column, opened: Column, done: Column) -> Column:
+        return F.struct(depth.alias("depth"), at.alias("at"), item.alias("item"), items.alias("items"), opened.alias("open"), done.alias("done"))
+
+    def step(s: Column, token: Column) -> Column:
+        word = F.upper(token)
+        depth = s["depth"] + F.when(token == "(", 1).when(token == ")", -1).otherwise(0)
+        here = s["open"] & (s["depth"] == s["at"])
+        none = F.array().cast("array<string>")
+        closed = F.concat(s["items"], F.array(s["item"]))
+        blank = F.size(s["items"]) + F.length(F.trim(s["item"])) == 0
+        shown = F.when(token.rlike(r"^(--|/\*)"), F.lit(" ")).otherwise(token)
+        return (
+            F.when((word == "SELECT") & (s["depth"] < s["at"]), state(depth, s["depth"], F.lit(""), none, F.lit(True), F.lit(False)))
+            .when(here & (token == ")"), state(depth, F.lit(_NOWHERE), F.lit(""), none, F.lit(False), F.lit(False)))
+            .when(here & (token == ","), state(depth, s["at"], F.lit(""), closed, F.lit(True), F.lit(False)))
+            .when(here & (word == "FROM"), state(depth, s["at"], F.lit(""), closed, F.lit(False), F.lit(True)))
+            .when(here & (word == "DISTINCT") & blank, state(depth, s["at"], F.lit(""), s["items"], F.lit(True), F.lit(False)))
+            .when(s["open"], state(depth, s["at"], F.concat(s["item"], shown), s["items"], F.lit(True), F.lit(False)))
+            .otherwise(state(depth, s["at"], s["item"], s["items"], s["open"], s["done"]))
+        )
+
+    def items(tokens: Column) -> Column:
+        words = F.filter(tokens, lambda t: ~t.rlike(r"^(--|/\*|[\s(])"))
+        query = F.upper(F.get(words, F.lit(0))).isin("SELECT", "WITH")
+        return F.when(query, F.aggregate(tokens, start, step))
+
+    none = F.array().cast("array<string>")
+    found = F.transform(F.array(_all(sql, _TOKEN, 0)), items)  # a one-element array binds the tokens once
+    return F.transform(found, lambda f: F.when(f["done"], f["items"]).otherwise(none))[0]
 
 
-def _nested(depth: int) -> str:
-    inner = r"[^()']|'[^']*'"
-    for _ in range(depth):
-        inner = rf"[^()']|'[^']*'|\((?:{inner})*+\)"
-    return inner
-
-
-_ITEM = rf"(?s)(?:[^,()']|'[^']*'|\((?:{_nested(_DEPTH - 1)})*+\))+"
-_STRICT_SELECT = rf"(?isU)^\s*SELECT\s+(?:DISTINCT\s+)?((?:[^()']|'[^']*'|\((?:{_nested(_DEPTH - 1)})*+\))*?)\s+FROM\b"
 _ALIAS = r"(?iU)\sAS\s+([A-Za-z_][A-Za-z0-9_]*)\s*$"
 
 
@@ -176,7 +207,8 @@ def select_outputs(sql: Column) -> Column:
 
 
 _OPERAND = r"('[^']*(?:''[^']*)*'|-?\d+(?:\.\d+)?|:\w+|[A-Za-z_][\w.]*)"
-PREDICATE = rf"(?U)([A-Za-z_][\w.]*)\s*(<>|!=|>=|<=|=|<|>)\s*{_OPERAND}"
+#: The left side is a column or one call of columns and literals.
+PREDICATE = rf"(?U)([A-Za-z_][\w.]*(?:\([^()']*\))?)\s*(<>|!=|>=|<=|=|<|>)\s*{_OPERAND}"
 _CONDITION_TEXT = r"(?isUd)\bWHERE\s+(.*?)(?:\bORDER\s+BY\b|\bGROUP\s+BY\b|\bHAVING\b|\bLIMIT\b|\bUNION\b|$)"
 _CASE_TEXT = r"(?isU)\bWHEN\s+(.*?)\s+THEN\b"
 
@@ -198,7 +230,7 @@ def case_predicates(sql: Column) -> Column:
 
 _JOIN = (r"(?isUd)\b(?:(LEFT|RIGHT|FULL|CROSS|INNER)\s+(?:OUTER\s+)?)?JOIN\s+([A-Za-z_][\w.]*)"
          r"(?:\s+(?:AS\s+)?(?!ON\b)([A-Za-z_]\w*))?\s+ON\s+(.*?)"
-         r"(?=\s+(?:LEFT|RIGHT|FULL|CROSS|INNER|JOIN|WHERE|GROUP|ORDER|HAVING|LIMIT|UNION|FETCH)\b|\)|$)")
+         r"(?=\s+(?:NATURAL|LEFT|RIGHT|FULL|CROSS|INNER|JOIN|WHERE|GROUP|ORDER|HAVING|LIMIT|UNION|FETCH)\b|\)|$)")
 
 
 def joins(sql: Column) -> Column:

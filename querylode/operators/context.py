@@ -10,16 +10,18 @@ from querylode.operators import retrieval as R
 from querylode.operators.ordering import top_k
 
 
-def assemble(hits: DataFrame, templates: DataFrame, contexts: DataFrame) -> DataFrame:
+def assemble(hits: DataFrame, templates: DataFrame, contexts: DataFrame, questions: DataFrame | None = None) -> DataFrame:
     """``query, context``: the ranked templates of each query, then the description block of each of their tables.
 
     ``hits`` is ``query, doc (template_id), rank``; ``contexts`` is ``table_name, context``.  At most k templates and
-    their few tables meet in one row.
+    their few tables meet in one row.  Of ``questions`` (query) those without a hit get an empty context.
     """
     rows = hits.join(templates.select(F.col("template_id").alias("doc"), "template_text", "tables"), "doc")
     texts = rows.groupBy("query").agg(F.array_sort(F.collect_list(F.struct("rank", "template_text"))).alias("t"))
     used = rows.select("query", F.explode(F.array_distinct("tables")).alias("table_name")).distinct().join(contexts, "table_name")
     blocks = used.groupBy("query").agg(F.array_sort(F.collect_list(F.struct("table_name", "context"))).alias("c"))
+    if questions is not None:
+        texts = questions.select("query").join(texts, "query", "left")
     return texts.join(blocks, "query", "left").select("query", F.concat_ws("\n", F.col("t.template_text"), F.col("c.context")).alias("context"))
 
 

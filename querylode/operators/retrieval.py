@@ -226,18 +226,21 @@ def _nearest(queries: list[tuple[int, list[float]]], k: int, cells: dict[int, li
 
 def _bounded(queries: DataFrame, block: int) -> Iterator[list]:
     """Query vectors in blocks of proven size; one pass over the vectors per block."""
-    total = queries.count()
-    if total <= block:
-        yield [(r[0], list(r[1])) for r in queries.collect()]
-        return
-    blocks = -(-2 * total // block)
-    for b in range(blocks):
-        part = queries.filter(F.pmod(F.xxhash64(F.col(queries.columns[0])), F.lit(blocks)) == b)
-        rows = [(r[0], list(r[1])) for r in part.limit(block + 1).collect()]
-        if len(rows) > block:
-            raise ValueError("uneven query ids: raise the number of blocks")
-        if rows:
-            yield rows
+    # Hash blocks of half the bound; one that is uneven all the same is cut again by another hash, so every size is searched alike.
+    todo = [(queries, 0)]
+    while todo:
+        part, depth = todo.pop()
+        total = part.count()
+        if total <= block:
+            rows = [(r[0], list(r[1])) for r in part.collect()]
+            if rows:
+                yield rows
+            continue
+        blocks = -(-2 * total // block)
+        cut = F.pmod(F.xxhash64(F.col(queries.columns[0]), F.lit(depth)), F.lit(blocks))
+        if depth > 8:
+            raise ValueError("query ids repeat more often than a block is large")
+        todo += [(part.filter(cut == b), depth + 1) for b in range(blocks)]
 
 
 def vector_search(queries: DataFrame, vectors: DataFrame, k: int = 10, block: int = 4096) -> DataFrame:
@@ -263,12 +266,7 @@ class CellIndex:
         from pyspark.ml.functions import array_to_vector
 
         rows = vectors.toDF("id", "vector").withColumn("features", array_to_vector(F.col("vector").cast("array<double>")))
-        total = rows.count()
-        self.nlist = max(1, min(nlist, total // 8))
-        # Cells only steer the search, so they are learnt from at most a few hundred vectors per cell.
-        share = min(1.0, 512 * self.nlist / max(total, 1))
-        training = rows if share == 1.0 else rows.sample(share, seed)
-        model = KMeans(k=self.nlist, maxIter=10, seed=seed, initMode="random").fit(training)
+        model = KMeans(k=nlist, maxIter=10, seed=seed, initMode="random").fit(rows)
         self.centers = np.array(model.clusterCenters())
         self.rows = model.transform(rows).select("id", "vector", F.col("prediction").alias("cell"))
 
@@ -290,6 +288,9 @@ def recall(found: DataFrame, exact: DataFrame) -> DataFrame:
         F.avg(F.coalesce("hit", F.lit(0))).alias("recall"))
 
 
-def route(best: DataFrame, threshold: float = 0.8) -> DataFrame:
-    """Template path when the best cosine of a question reaches the threshold, else the schema path."""
+def route(best: DataFrame, threshold: float = 0.8, questions: DataFrame | None = None) -> DataFrame:
+    """Template path when the best cosine of a question reaches the threshold, else the schema path; of ``questions`` (query) those
+    without any hit score 0 and take the schema path."""
+    if questions is not None:
+        best = questions.select("query").join(best, "query", "left").withColumn("score", F.coalesce("score", F.lit(0.0)))
     return best.withColumn("path", F.when(F.round("score", 9) >= threshold, "template").otherwise("schema"))

@@ -29,7 +29,7 @@ def point_and_range(t: Tables) -> DataFrame:
 
 
 def left_join_not_null(t: Tables) -> DataFrame:
-    orders = t["orders"].filter(F.col("o_orderpriority").isNotNull() & (F.col("o_totalprice") >= 400000))
+    orders = t["orders"].filter(F.col("o_orderpriority").isNotNull() & (F.col("o_orderdate") >= _at("1996-01-01")))
     rows = orders.join(t["customer"], F.col("o_custkey") == F.col("c_custkey"), "left")
     return rows.select("o_orderkey", "o_orderpriority", "c_name").orderBy("o_orderkey")
 
@@ -49,14 +49,14 @@ def throughput(t: Tables) -> DataFrame:
 
 
 def union_all(t: Tables) -> DataFrame:
-    rows = t["orders"].filter("o_totalprice > 300000")
+    rows = t["orders"].filter(F.col("o_orderdate") >= _at("1996-01-01"))
     parts = [rows.filter(F.col("o_orderstatus") == s).select(F.lit(s).alias("part"), "o_orderkey", "o_totalprice") for s in "OFP"]
     return reduce(DataFrame.unionByName, parts)
 
 
 def share_of_total(t: Tables) -> DataFrame:
     counts = t["events"].groupBy("event_type").agg(F.count("*").alias("n"))
-    total = t["events"].agg(F.count("*").alias("n")).scalar()
+    total = counts.agg(F.sum("n")).scalar()
     return counts.withColumn("pct", F.round(F.col("n") * 100.0 / total, 4))
 
 

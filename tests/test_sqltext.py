@@ -96,3 +96,24 @@ def test_tokens(spark):
     assert one(spark, "Show M11 Yield", lambda c: K.topics(c)) == ["yield"]
     assert one(spark, "abcd", lambda c: K.char_shingles(c, 3)) == ["abc", "bcd"]
     assert one(spark, "ab", lambda c: K.char_shingles(c, 3)) == []
+
+
+def test_select_outputs_of_long_deep_and_compound_statements(spark):
+    cases = [
+        ("SELECT " + ", ".join(f"c{i}" for i in range(1000)) + " FROM t", [f"c{i}" for i in range(1000)]),
+        ("SELECT " + "(" * 12 + "a" + ")" * 12 + " AS z, b FROM t", ["z", "b"]),
+        ("WITH a AS (SELECT x, y FROM t) SELECT a.x AS p, f(a.y, 2) AS q FROM a", ["p", "q"]),
+        ("-- c, d\nSELECT a /* x, y */, b FROM t", ["a", "b"]), ("(SELECT a FROM t) UNION (SELECT b FROM u)", ["a"]),
+        ("SELECT EXTRACT(YEAR FROM d) AS y, 'a, FROM b' AS s FROM t", ["y", "s"]), ("SELECT a FROM (SELECT b, c FROM u) x", ["a"]),
+        ("SELECT CASE WHEN a = 1 THEN 'x' ELSE y END AS k, t.m FROM t", ["k", "m"]), ("SELECT 1", []), ("CREATE TABLE t AS SELECT a FROM u", []),
+        ("SELECT DISTINCT a, b FROM t", ["a", "b"]), ("SELECT '" + "''" * 2000 + "' AS q FROM t", ["q"]), (None, []), ("", []),
+    ]
+    df = spark.createDataFrame([(i, s) for i, (s, _) in enumerate(cases)], "i int, s string")
+    got = {r.i: r.o for r in df.select("i", S.select_outputs(F.col("s")).alias("o")).collect()}
+    for i, (sql, want) in enumerate(cases):
+        assert got[i] == want, (sql or "")[:80]
+
+
+def test_predicates_of_calls(spark):
+    df = spark.createDataFrame([("SELECT 1 FROM t WHERE UPPER(c) = 'X' AND d > 3",)], "s string")
+    assert [tuple(p) for p in df.select(S.where_predicates(F.col("s"))).first()[0]] == [("UPPER(c)", "=", "'X'"), ("d", ">", "3")]

@@ -214,7 +214,7 @@ def _template_index(spark, d):
 def d20(spark, d):
     asked = derived.sql_logs(spark, d).select(F.lower("sql_text").alias("question")).distinct()
     best = R.cosine_search(asked, "question", "question", _template_index(spark, d), 1)
-    return R.route(best.select("query", "doc", "score")).withColumn("score", F.round("score", 6))
+    return R.route(best.select("query", "doc", "score"), questions=asked.select(F.col("question").alias("query"))).withColumn("score", F.round("score", 6))
 
 
 @query("d14_context_assembly")
@@ -223,7 +223,7 @@ def d14(spark, d):
     asked = derived.questions(spark, d).select("question").distinct()
     hits = R.bm25_search(asked, "question", "question", R.Index(found, "template_id", "template_text"), 3)
     blocks = prompts.table_context(catalog.star_tables(spark), _columns(spark, d))
-    return context.assemble(hits, found, blocks)
+    return context.assemble(hits, found, blocks, asked.select(F.col("question").alias("query")))
 
 
 @query("d23_glossary_search", D.with_(D.GLOSSARY, f"""entries AS (SELECT term, max(korean_name) AS korean_name, max(description) AS description FROM glossary GROUP BY term),

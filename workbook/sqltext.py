@@ -203,13 +203,12 @@ SELECT lang, source, topic, CAST(count(*) AS BIGINT) AS n FROM (
       f"CASE WHEN contains(lower(text), '{k}') OR contains(text, '{o}') THEN '{k}' END" for k, (o, _) in K.TOPICS.items())}],
     lambda x: x IS NOT NULL)
     || list_distinct(list_transform(regexp_extract_all(text, '(M10|M11|M14|M15|M16)', 1, 'i'), lambda w: upper(w)))
-    || list_distinct(list_filter({D.keywords('text')}, lambda w: length(w) > 12))) AS topic FROM documents)
+    || list_distinct({D.keywords('text')})) AS topic FROM documents)
 GROUP BY lang, source, topic""")
 def t21(spark, d):
     text = F.col("text")
     docs = derived.table(spark, d, "documents")
-    long_words = F.filter(K.entities(text), lambda w: (F.length(w) > 12) | w.rlike(r"(?i)^(M10|M11|M14|M15|M16)$"))
     codes = F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(K.FAB_ID), F.lit(1)), lambda w: F.upper(w)))
-    tags = F.concat(K.topics(text), codes, F.filter(long_words, lambda w: F.length(w) > 12))
+    tags = F.concat(K.topics(text), codes, F.array_distinct(K.keywords(text)))
     return (docs.select("lang", "source", F.explode(tags).alias("topic"))
             .groupBy("lang", "source", "topic").agg(F.count("*").alias("n")))

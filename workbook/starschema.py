@@ -12,14 +12,14 @@ SHAPES = {
     "w1_point_and_range": """SELECT o_orderkey, o_totalprice FROM orders WHERE o_custkey = 370
   AND o_orderdate >= TIMESTAMP '1996-01-01' AND o_orderdate < TIMESTAMP '2000-01-01'""",
     "w2_left_join_not_null": """SELECT o.o_orderkey, o.o_orderpriority, c.c_name FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey
-  WHERE o.o_orderpriority IS NOT NULL AND o.o_totalprice >= 400000""",
+  WHERE o.o_orderpriority IS NOT NULL AND o.o_orderdate >= TIMESTAMP '1996-01-01'""",
     "w3_daily_buckets": """SELECT strftime(l_shipdate, '%Y-%m-%d') AS day, CAST(count(*) AS BIGINT) AS n, round(avg(l_discount), 6) AS avg_discount,
   CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS quantity FROM lineitem GROUP BY 1""",
     "w4_throughput": """SELECT n_nationkey, n_name, CAST(count(o_orderkey) AS BIGINT) AS throughput, round(avg(o_totalprice), 4) AS avg_price
   FROM nation JOIN customer ON c_nationkey = n_nationkey JOIN orders ON o_custkey = c_custkey GROUP BY 1, 2""",
-    "w5_union_all": """SELECT 'O' AS part, o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'O' AND o_totalprice > 300000 UNION ALL
-  SELECT 'F', o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'F' AND o_totalprice > 300000 UNION ALL
-  SELECT 'P', o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'P' AND o_totalprice > 300000""",
+    "w5_union_all": """SELECT 'O' AS part, o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'O' AND o_orderdate >= TIMESTAMP '1996-01-01' UNION ALL
+  SELECT 'F', o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'F' AND o_orderdate >= TIMESTAMP '1996-01-01' UNION ALL
+  SELECT 'P', o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'P' AND o_orderdate >= TIMESTAMP '1996-01-01'""",
     "w6_share_of_total": """SELECT event_type, CAST(count(*) AS BIGINT) AS n, round(count(*) * 100.0 / sum(count(*)) OVER (), 4)::DOUBLE AS pct FROM events GROUP BY 1""",
     "w7_row_number": """SELECT s_nationkey, s_suppkey, s_acctbal, CAST(row_number() OVER (PARTITION BY s_nationkey ORDER BY s_acctbal DESC, s_suppkey) AS BIGINT) AS rn
   FROM supplier WHERE s_acctbal IS NOT NULL""",
