@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from querylode.functions import sqltext as S
-from querylode.sizing import salted_join
+from querylode.lineage import stored
+from querylode.sizing import weighted_join
 
 
 def canonical_groups(logs: DataFrame) -> DataFrame:
@@ -19,8 +20,8 @@ def canonical_groups(logs: DataFrame) -> DataFrame:
 def canonical_duplicates(logs: DataFrame) -> DataFrame:
     """Every log with its canonical hash, the first log of its group and the group size.
 
-    The group side has one row per hash; logs of a hot hash are salted over many tasks.
+    The group side has one row per hash; logs of a hot hash are spread over as many tasks as they need.
     """
     hashed = logs.withColumn("canonical_hash", S.canonical_hash(F.col("sql_text")))
     groups = hashed.groupBy("canonical_hash").agg(F.min("sql_id").alias("first_sql_id"), F.count("*").alias("copies"))
-    return salted_join(hashed, groups, ["canonical_hash"], F.col("sql_id"))
+    return weighted_join(hashed, stored(groups, "canonical-groups"), ["canonical_hash"], F.col("sql_id"), "copies")

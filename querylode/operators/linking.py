@@ -19,7 +19,7 @@ from querylode.functions import sqltext as S
 from querylode.functions import tokens as K
 from querylode.lineage import stored
 from querylode.operators import joinability, retrieval as R
-from querylode.operators.containment import contains_join
+from querylode.operators.containment import contains_join, passages_in_texts
 from querylode.operators.ordering import first_per_key, top_k
 from querylode.sizing import small_side
 
@@ -151,14 +151,23 @@ def expanded(set_words: DataFrame, found: DataFrame) -> DataFrame:
 def similar_logs(set_words: DataFrame, logs: DataFrame, k: int = 3) -> DataFrame:
     """``set_id, sql_id, tables``: the first k logs (by ``sql_id``) whose lower text contains any keyword of the set.
 
-    A keyword is a run of letters, so it lies inside one word of the text: keywords are matched against the distinct
-    words of the log, and each word needs only its first k logs.
+    A keyword that is one word lies inside one word of the text: such keywords are matched against the distinct words of
+    the log, and each word needs only its first k logs.  Others are matched against the distinct texts.
     """
+    text = F.lower("sql_text")
     words = logs.select("sql_id", F.explode(F.array_distinct(K.search_tokens(F.col("sql_text")))).alias("word"))
     first = stored(top_k(words, ["word"], [F.asc("sql_id")], k).select("word", "sql_id"), "words")
     needles = set_words.select("keyword", F.lower("keyword").alias("needle")).distinct()
-    hits = contains_join(needles, "needle", first.select("word").distinct(), "word").join(first, "word")
-    hits = top_k(hits.select("keyword", "sql_id").distinct(), ["keyword"], [F.asc("sql_id")], k).drop("rank")
+    parts = K.words(F.col("needle"))
+    needles = stored(needles.withColumn("single", (F.size(parts) == 1) & (F.get(parts, F.lit(0)) == F.col("needle"))), "needles")
+    single, other = needles.filter("single").drop("single"), needles.filter(~F.coalesce("single", F.lit(False))).filter("needle <> ''")
+    hits = contains_join(single, "needle", first.select("word").distinct(), "word").join(first, "word").select("keyword", "sql_id")
+    if not other.isEmpty():
+        texts = stored(top_k(logs.select(text.alias("low"), "sql_id"), ["low"], [F.asc("sql_id")], k).select(
+            F.md5("low").alias("low_id"), "low", "sql_id"), "texts")
+        inside = passages_in_texts(other, "keyword", "needle", texts.select("low_id", "low").distinct(), "low_id", "low")
+        hits = hits.unionByName(inside.join(texts, "low_id").select("keyword", "sql_id"))
+    hits = top_k(hits.distinct(), ["keyword"], [F.asc("sql_id")], k).drop("rank")
     found = set_words.join(hits, "keyword").select("set_id", "sql_id").distinct()
     found = stored(top_k(found, ["set_id"], [F.asc("sql_id")], k).drop("rank"), "found")
     named = logs.select("sql_id", S.bare_tables(F.col("sql_text")).alias("tables"))

@@ -15,7 +15,7 @@ from querylode.functions import sqltext as S
 from querylode.functions import tokens as K
 from querylode.lineage import cut, stored
 from querylode.operators.ordering import first_per_key, top_k
-from querylode.sizing import salted_join
+from querylode.sizing import salted_join, weighted_join
 
 # Permutations, threshold and shingle size of the statement comparison.
 NUM_PERM, THRESHOLD, SHINGLE = 128, 0.5, 3
@@ -101,8 +101,8 @@ def bucket_links(banded: DataFrame) -> DataFrame:
     """``id, leader``: each member of a shared bucket with the smallest id in it (distinct, leaders left out)."""
     banded = stored(banded, "bands")
     leaders = banded.groupBy("band", "bucket").agg(F.min("id").alias("leader"), F.count("*").alias("members"))
-    shared = leaders.filter("members > 1").drop("members")
-    return salted_join(banded, shared, ["band", "bucket"], F.col("id")).filter("id <> leader").select("id", "leader").distinct()
+    shared = stored(leaders.filter("members > 1"), "shared-buckets")
+    return weighted_join(banded, shared, ["band", "bucket"], F.col("id"), "members").filter("id <> leader").select("id", "leader").distinct()
 
 
 def links(items: DataFrame, shingles: Column, threshold: float = THRESHOLD, num_perm: int = NUM_PERM) -> DataFrame:

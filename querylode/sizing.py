@@ -29,3 +29,24 @@ def salted_join(big: DataFrame, keyed: DataFrame, on: list[str], spread: Column,
     left = big.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
     right = keyed.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return left.join(right, [*on, "_salt"], how).drop("_salt")
+
+
+#: Rows of one key that a task takes before the key is split.
+HEAVY_ROWS = 100_000
+
+
+def weighted_join(big: DataFrame, keyed: DataFrame, on: list[str], spread: Column, weight: str, rows: int = HEAVY_ROWS) -> DataFrame:
+    """Join ``big`` to ``keyed`` (stored, one row per key, ``weight`` rows of the key in ``big``).
+
+    Only keys above ``rows`` are salted, each over as many tasks as it needs; there are at most ``weight / rows`` of them in all, so what
+    is replicated stays below one row per ``rows`` rows of ``big``. The rest is a plain join.
+    """
+    heavy = keyed.filter(F.col(weight) > rows)
+    if heavy.isEmpty():
+        return big.join(keyed, on)
+    parts = heavy.select(*on, F.ceil(F.col(weight) / rows).cast("int").alias("_parts"))
+    listed = small_side(parts)
+    salted = heavy.join(parts, on).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))).drop("_parts")
+    hot = big.join(listed, on).withColumn("_salt", F.pmod(F.xxhash64(spread), F.col("_parts")).cast("int")).drop("_parts")
+    cold = big.join(listed.drop("_parts"), on, "left_anti").join(keyed, on)
+    return cold.unionByName(hot.join(salted, [*on, "_salt"]).drop("_salt"))

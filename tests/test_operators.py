@@ -205,3 +205,32 @@ def test_sinks_round_trip(spark, tmp_path):
     drop = spark.createDataFrame([("y",)], "template_id string")
     assert sinks.delete_from(spark, search, sinks.SEARCH_SCHEMA, lambda df: sinks.delete_ids(df, "template_id", drop)) == 1
     assert sinks.delete_from(spark, search, sinks.SEARCH_SCHEMA, lambda df: sinks.delete_where(df, F.col("exec_count") > 100)) == 0
+
+
+def test_similar_logs_find_keywords_of_several_words(spark):
+    logs = spark.createDataFrame([("a", "SELECT x FROM t WHERE c = 'Blue Ring'"), ("b", "SELECT blue FROM ring"), ("c", "SELECT o_id FROM u"), ("d", "SELECT x FROM v WHERE k = 'big blue ring'")],
+                                 "sql_id string, sql_text string")
+    words = spark.createDataFrame([(1, "Blue Ring"), (2, "ring"), (3, "o_id from"), (4, "absent words")], "set_id int, keyword string")
+    got = {(r.set_id, r.sql_id) for r in linking.similar_logs(words, logs).collect()}
+    assert got == {(1, "a"), (1, "d"), (2, "a"), (2, "b"), (2, "d"), (3, "c")}
+
+
+def test_weighted_join_salts_heavy_keys_only(spark):
+    big = spark.range(5000).select(F.when(F.col("id") < 4000, 0).otherwise(F.col("id") % 50).alias("k"), F.col("id").alias("v")).cache()
+    keyed = big.groupBy("k").agg(F.count("*").alias("n"), F.max("v").alias("top")).cache()
+    from querylode import sizing
+
+    got = sizing.weighted_join(big, keyed, ["k"], F.col("v"), "n", rows=100)
+    assert got.exceptAll(big.join(keyed, "k").select(got.columns)).count() == 0 and got.count() == 5000
+
+
+def test_questions_without_hits_stay(spark):
+    from querylode.operators import context, retrieval
+
+    asked = spark.createDataFrame([("q1",), ("q2",)], "query string")
+    best = spark.createDataFrame([("q1", "d", 0.9)], "query string, doc string, score double")
+    assert {(r["query"], r.path) for r in retrieval.route(best, questions=asked).collect()} == {("q1", "template"), ("q2", "schema")}
+    hits = spark.createDataFrame([("q1", "t", 1)], "query string, doc string, rank int")
+    templates = spark.createDataFrame([("t", "SELECT 1", ["a"])], "template_id string, template_text string, tables array<string>")
+    blocks = spark.createDataFrame([("a", "about a")], "table_name string, context string")
+    assert {tuple(r) for r in context.assemble(hits, templates, blocks, asked).collect()} == {("q1", "SELECT 1\nabout a"), ("q2", "")}
