@@ -31,6 +31,25 @@ def cut(df: DataFrame) -> DataFrame:
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to a columnar table in the shared folder and read it back; for data used several times."""
-    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(df.sparkSession)}/{_STAGES[-1] if _STAGES else ''}{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+#: Folders, inside the shared one, of the stages begun so far; the last is written to.
+_STAGES: list[str] = []
+
+
+def begin_stage(docs: DataFrame) -> None:
+    """Start a stage of a pipeline whose input ``docs`` has been written and read again: what earlier stages stored goes, unless
+    ``docs`` still reads it."""
+    spark = docs.sparkSession
+    top = shared_dir(spark)
+    read = docs.inputFiles()
+    for stage in list(_STAGES):
+        if any(f"/{stage}" in f for f in read):
+            continue
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{top}/{stage}")
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        _STAGES.remove(stage)
+    _STAGES.append(f"stage-{uuid.uuid4().hex}/")
