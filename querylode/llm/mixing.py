@@ -27,11 +27,14 @@ def unit(*parts: Column | int | str) -> Column:
     return F.shiftrightunsigned(hashed, 11).cast("double") / float(1 << 53)
 
 
-def sized(docs: DataFrame) -> DataFrame:
-    """doc_id, source, size (words of the whole text; null: 0) and a number for the row."""
+def sized(docs: DataFrame, seed: int, *carried: Column) -> DataFrame:
+    """doc_id, source, size (words of the whole text; null: 0), and the place of the document in its source's permutation: ``key`` and
+    the ``block`` it falls into. The key is a hash of id and text, so every pass over the same rows finds it again; rows that are alike
+    share it and may stand for one another."""
     words = F.regexp_count(common.text_of(), F.lit(common.WORD)).cast("long")
-    row = F.col("_row") if "_row" in docs.columns else F.monotonically_increasing_id()
-    return docs.select("doc_id", F.col("source").cast("string").alias("source"), words.alias("size"), row.alias("row"))
+    key = unit(seed, F.coalesce(F.col("doc_id"), F.lit(-1)), F.xxhash64(common.text_of()))
+    rows = docs.select("doc_id", F.col("source").cast("string").alias("source"), words.alias("size"), key.alias("key"), *carried)
+    return rows.withColumn("block", F.floor(F.col("key") * BLOCKS).cast("int"))
 
 
 def targets(totals: DataFrame, weights: Sequence[float], share: float, passes: int = MAX_PASSES) -> DataFrame:
@@ -117,18 +120,8 @@ def splitting_tree(quotas: DataFrame, shards: int, seed: int) -> DataFrame:
     return dealt.select("source", "shard", F.coalesce(before, F.lit(0)).cast("long").alias("first"), "many").where("many > 0")
 
 
-def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.5, shards: int = 16, seed: int = 11) -> DataFrame:
-    """One row per row of ``docs`` (doc_id, source, text): doc_id, source, size, source_size, target, taken, draws.
-
-    ``draws`` lists (shard, position) for each time the document is drawn: once per pass, hence at most twice; ``taken`` is its size
-    times their number. The words taken from a source differ from its target by at most half of one document. A null source is a
-    source of its own; documents without words may be drawn or not. Rows repeating a doc_id are told apart by their place in the input. Other
-    columns are ignored, an empty table gives no rows.
-    """
-    rows = lineage.stored(
-        sized(docs)
-        .withColumn("key", unit(seed, F.coalesce(F.col("doc_id"), F.lit(-1)), F.col("row")))
-        .withColumn("block", F.floor(F.col("key") * BLOCKS).cast("int")), "sized")
+def _plan(rows: DataFrame, weights: Sequence[float], share: float, shards: int, seed: int) -> DataFrame:
+    """What happens to every block of every source: whole draws, shards of the draws, and for one edge block per source the room left."""
     blocks = lineage.stored(rows.groupBy("source", "block").agg(F.sum("size").alias("words"), F.count("*").alias("n")), "blocks")
     aims = lineage.stored(targets(blocks.groupBy("source").agg(F.sum("words").alias("source_size")), weights, share), "targets")
     # Whole passes, then in permuted order every block that still fits; the smallest block left over gives the rest in documents.
@@ -168,28 +161,45 @@ def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.
     plan = sizing.small_side(lineage.stored(plan.select(
         F.col("l.source").alias("source"), F.col("l.block").alias("block"), "source_size", "target", "whole", "edge", "passes", "room",
         F.coalesce("h.homes", F.array().cast("array<struct<turn:int,shard:int>>")).alias("homes")), "mixing-plan"))
+    return plan
+
+
+def _drawn(rows: DataFrame, plan: DataFrame, seed: int) -> DataFrame:
+    """``rows`` with source_size, target, times and draws."""
     joined = rows.alias("r").join(plan.alias("p"), F.col("r.source").eqNullSafe(F.col("p.source")) & (F.col("r.block") == F.col("p.block")))
-    joined = joined.select("r.doc_id", "r.source", "r.size", "r.row", "r.key", "r.block", "source_size", "target", "whole", "edge", "passes", "room", "homes")
+    joined = joined.select("r.*", "source_size", "target", "whole", "edge", "passes", "room", "homes")
     inner = joined.where(~F.col("edge")).withColumn("times", F.col("whole"))
     # Only edge blocks, one per source, need their documents in order, large ones first; the last one may go over by half.
     fits = F.col("size") <= 2 * F.col("room")
-    upto = F.sum(F.when(fits, F.col("size"))).over(Window.partitionBy("source", "block").orderBy(F.desc("size"), "key", "row"))
+    upto = F.sum(F.when(fits, F.col("size"))).over(Window.partitionBy("source", "block").orderBy(F.desc("size"), "key").rowsBetween(
+        Window.unboundedPreceding, 0))
     edge = joined.where("edge").withColumn("upto", F.when(fits, upto))
-    edge = edge.withColumn("times", F.col("whole") + F.coalesce(F.col("upto") - F.col("size") / 2 <= F.col("room"), F.lit(False)).cast("int")).drop("upto")
-    every = inner.unionByName(edge)
+    more = F.coalesce(F.col("upto") - F.col("size") / 2 <= F.col("room"), F.lit(False))
+    every = inner.unionByName(edge.withColumn("times", F.col("whole") + more.cast("int")).drop("upto"))
     draws = F.transform(F.slice("homes", F.lit(1), F.col("times")), lambda h: F.struct(
-        h["shard"].alias("shard"), F.xxhash64(F.lit(seed), h["shard"], h["turn"], F.col("row")).alias("position")))
-    return every.select("doc_id", "source", "size", "source_size", "target", (F.col("size") * F.col("times")).cast("long").alias("taken"),
-                        draws.alias("draws"), "row")
+        h["shard"].alias("shard"), F.xxhash64(F.lit(seed), h["shard"], h["turn"], F.col("key")).alias("position")))
+    return every.withColumn("draws", draws)
+
+
+def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.5, shards: int = 16, seed: int = 11) -> DataFrame:
+    """One row per row of ``docs`` (doc_id, source, text): doc_id, source, size, source_size, target, taken, draws.
+
+    ``draws`` lists (shard, position) for each time the document is drawn: once per pass, hence at most twice; ``taken`` is its size
+    times their number. The words taken from a source differ from its target by at most half of one document. A null source is a
+    source of its own; documents without words may be drawn or not. Other columns are ignored, an empty table gives no rows.
+    """
+    rows = lineage.stored(sized(docs, seed), "sized")
+    drawn = _drawn(rows, _plan(rows, weights, share, shards, seed), seed)
+    return drawn.select("doc_id", "source", "size", "source_size", "target", (F.col("size") * F.col("times")).cast("long").alias("taken"), "draws")
 
 
 def mixed_documents(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.5, shards: int = 16, seed: int = 11) -> DataFrame:
     """``docs`` as the mix draws them, a row per draw with all columns of ``docs``: dealt to their output shards, shuffled inside.
 
-    A shard is spread over tasks by position, so that shards may be large; within a task rows stand in (shard, position) order. The
-    numbered rows are stored first, so that every pass sees the same numbers.
+    A shard is spread over tasks by position, so that shards may be large; within a task rows stand in (shard, position) order. Texts
+    move once, to their shards.
     """
-    rows = lineage.stored(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
-    drawn = mix(rows, weights, share, shards, seed).select(F.col("row").alias("_row"), F.explode("draws").alias("_draw"))
-    placed = rows.join(drawn, "_row").repartition(F.col("_draw.shard"), F.pmod(F.col("_draw.position"), F.lit(8)))
-    return placed.sortWithinPartitions("_draw.shard", "_draw.position").drop("_row", "_draw")
+    plan = _plan(lineage.stored(sized(docs, seed), "sized"), weights, share, shards, seed)
+    drawn = _drawn(sized(docs, seed, F.struct("*").alias("doc")), plan, seed)
+    placed = drawn.select("doc", F.explode("draws").alias("draw")).repartition(F.col("draw.shard"), F.pmod(F.col("draw.position"), F.lit(8)))
+    return placed.sortWithinPartitions("draw.shard", "draw.position").select("doc.*")

@@ -127,7 +127,7 @@ def restore(word: str, model: np.ndarray) -> str:
 class Reader:
     """Words of a text as they are meant: cleaned, restored where disguised; remembers what it has read, up to a bound."""
 
-    def __init__(self, model: np.ndarray, bound: int = 500_000) -> None:
+    def __init__(self, model: np.ndarray, bound: int = 150_000) -> None:
         self.model, self.bound, self.known = model, bound, {}
 
     def word(self, raw: str) -> str | None:
