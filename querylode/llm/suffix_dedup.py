@@ -17,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from querylode import lineage, sizing
 from querylode.llm import common, encoding, shingles
@@ -91,20 +91,14 @@ _CLASS = "core long, hull long, row long, low int, high int"
 
 
 def _class_rows(length: int, gram: int, step: int):
-    """Per anchor whose bytes are repeated and per step of distances: core, hull and the starts it holds."""
+    """Per anchor and step of distances: core, hull and the starts it holds."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, known = batch.column("row").to_numpy(), batch.column("grams").to_pylist()
+            rows = batch.column("row").to_numpy()
             for first, texts in encoding.slices(batch.column("text"), 1 << 20):
                 data = Bytes(texts)
                 text, place, low, high = data.anchors(length, gram)
-                key = data.hashes(place, place + gram).view(np.int64)
-                keep = np.zeros(len(key), bool)
-                for t in np.unique(text):
-                    at = slice(*np.searchsorted(text, [t, t + 1]))
-                    keep[at] = np.isin(key[at], known[first + t])
-                text, place, low, high = text[keep], place[keep], low[keep], high[keep]
                 nearest, farthest = (place - high) // step, (place - low) // step
                 many = farthest - nearest + 1
                 which = np.repeat(np.arange(len(many)), many)
@@ -144,23 +138,17 @@ def _string_rows(length: int):
     return find
 
 
-def _removed(length: int, texts_too: bool):
+def _removed(texts_too: bool):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for doc_id, text, ranges in zip(*[batch.column(c).to_pylist() for c in ("doc_id", "text", "ranges")]):
                 raw = (text or "").encode("utf-8", "surrogatepass")
                 gone, spans = 0, 0
-                if ranges:
-                    at = np.array([(r["low"], r["high"] + length) for r in ranges], np.int64)
-                    depth = np.zeros(len(raw) + 1, np.int32)
-                    np.add.at(depth, at[:, 0], 1)
-                    np.add.at(depth, at[:, 1], -1)
-                    covered = np.cumsum(depth)[:-1] > 0
-                    gone = int(covered.sum())
-                    spans = int(np.count_nonzero(np.diff(np.concatenate([[0], covered.astype(np.int8)])) == 1))
-                    kept = np.frombuffer(raw, np.uint8)[~covered].tobytes()
-                else:
-                    kept = raw
+                parts, at = [], 0
+                for span in ranges or ():
+                    parts.append(raw[at : span["begin"]])
+                    gone, spans, at = gone + span["end"] - span["begin"], spans + 1, span["end"]
+                kept = b"".join([*parts, raw[at:]])
                 row = (doc_id, len(raw), gone, spans, kept if texts_too else hashlib.sha256(kept).hexdigest())
                 yield pa.RecordBatch.from_arrays([
                     pa.array([row[0]], pa.int64()), *[pa.array([v], pa.int64()) for v in row[1:4]],
@@ -194,8 +182,8 @@ def repeated_starts(rows: DataFrame, length: int = LENGTH, gram: int = GRAM, ste
     cold, hot = common.split_hot(found, "gram", "row")
     twice = cold.withColumn("n", F.count("*").over(Window.partitionBy("gram"))).where("n > 1").select("gram", "row")
     twice = twice if hot is None else twice.unionByName(hot.select("gram", "row"))
-    flagged = sizing.small_side(lineage.stored(twice.groupBy("row").agg(F.collect_set("gram").alias("grams")), "flagged"))
-    classes = rows.join(flagged, "row").select("row", "text", "grams").mapInArrow(_class_rows(length, gram, step), _CLASS)
+    flagged = sizing.small_side(lineage.stored(twice.select("row").distinct(), "flagged"))
+    classes = rows.join(flagged, "row", "left_semi").select("row", "text").mapInArrow(_class_rows(length, gram, step), _CLASS)
     settled = lineage.stored(_settled(lineage.stored(classes, "classes")), "settled")
     sure = settled.where("times > 1").select("row", "low", "high")
     unsure = settled.where("lone and first").groupBy("row").agg(F.collect_list(F.struct("low", "high", "times")).alias("ranges"))
@@ -208,6 +196,19 @@ def repeated_starts(rows: DataFrame, length: int = LENGTH, gram: int = GRAM, ste
     return sure.unionByName(single)
 
 
+def _merged(covers: Column) -> Column:
+    """Sorted (begin, end) with those that meet joined."""
+
+    def add(done: Column, span: Column) -> Column:
+        last = F.element_at(done, -1)
+        longer = F.struct(last["begin"].alias("begin"), F.greatest(last["end"], span["end"]).alias("end"))
+        return (F.when(F.size(done) == 0, F.array(span))
+                .when(last["end"] >= span["begin"], F.concat(F.slice(done, F.lit(1), F.size(done) - 1), F.array(longer)))
+                .otherwise(F.concat(done, F.array(span))))
+
+    return F.aggregate(covers, F.array().cast("array<struct<begin:int,end:int>>"), add)
+
+
 def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, step: int = STEP, texts: bool = False) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept_sha256 (with ``texts`` the kept bytes) of every row of ``docs`` (doc_id, text).
 
@@ -217,8 +218,9 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, step
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), common.text_of().alias("text"))
     rows = rows.withColumn("row", F.xxhash64("doc_id", "text"))  # rows that are alike may share it: what is removed from them is alike
     starts = repeated_starts(rows.select("row", "text"), length, gram, step)
-    ranges = starts.groupBy("row").agg(F.collect_list(F.struct("low", "high")).alias("ranges"))
+    covers = F.sort_array(F.collect_list(F.struct(F.col("low").alias("begin"), (F.col("high") + length).alias("end"))))
+    ranges = starts.groupBy("row").agg(covers.alias("covers")).select("row", _merged(F.col("covers")).alias("ranges"))
     ranges = sizing.small_side(lineage.stored(ranges, "removed"))
     last = "kept binary" if texts else "kept_sha256 string"
     joined = rows.join(ranges, "row", "left").select("doc_id", "text", "ranges")
-    return joined.mapInArrow(_removed(length, texts), f"doc_id long, n_bytes long, n_removed long, n_spans long, {last}")
+    return joined.mapInArrow(_removed(texts), f"doc_id long, n_bytes long, n_removed long, n_spans long, {last}")
