@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Pieces remembered per Python worker.
-PIECES = 700_000
+PIECES = 600_000
 _CUT = re.compile(r" (?=\S)")
 #: Spaces beside which, or instead of which, only the careful cut is right.
 _ODD_SPACES = ("  ", " \n", "\n\n", *"\t\r\x0b\x0c\x1c\x1d\x1e\x1f")
