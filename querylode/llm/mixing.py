@@ -106,7 +106,8 @@ def splitting_tree(quotas: DataFrame, shards: int, seed: int) -> DataFrame:
         share = F.floor(F.col("total") * half / F.col("width")).cast("long")
         tree = tree.select("node", "width", "q", "total", half.alias("half"), share.alias("share"))
         tree = tree.withColumn("hits", F.when(go, split(F.col("q"), F.col("share"), F.col("total"), F.col("node") + F.lit(level << 20))))
-        keep = lambda amount: F.transform("q", lambda s, i: F.struct(s["none"].alias("none"), s["source"].alias("source"), amount(s, i).alias("blocks")))
+        keep = lambda amount: F.transform("q", lambda s, i: F.struct(
+            s["none"].alias("none"), s["source"].alias("source"), amount(s, i).alias("blocks")))
         lefts = F.struct(F.col("node").alias("node"), F.col("half").alias("width"),
                          keep(lambda s, i: F.col("hits")[i]).alias("q"), F.col("share").alias("total"))
         rights = F.struct((F.col("node") + F.col("half")).alias("node"), (F.col("width") - F.col("half")).alias("width"),
@@ -201,5 +202,6 @@ def mixed_documents(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share
     """
     plan = _plan(lineage.stored(sized(docs, seed), "sized"), weights, share, shards, seed)
     drawn = _drawn(sized(docs, seed, F.struct("*").alias("doc")), plan, seed)
-    placed = drawn.select("doc", F.explode("draws").alias("draw")).repartition(F.col("draw.shard"), F.pmod(F.col("draw.position"), F.lit(8)))
+    spread = max(8, -(-int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) // shards))
+    placed = drawn.select("doc", F.explode("draws").alias("draw")).repartition(F.col("draw.shard"), F.pmod(F.col("draw.position"), F.lit(spread)))
     return placed.sortWithinPartitions("draw.shard", "draw.position").select("doc.*")
