@@ -1,9 +1,10 @@
 """Toxicity through a noisy channel: disguised words are restored by a Viterbi decoder before they are scored.
 
-A character trigram model is counted over all documents. Words that show signs of disguise (digits or signs between letters, letters
-repeated three times or more, single letters in a row) span a lattice: every character may stand for itself or for the letters it
-imitates, and every run of one letter for one or two of it. The cheapest path under the model is the restored word. Clean words have
-a lattice of one path and are scored as they are. Weights of words and of word beginnings are learned from labelled documents.
+A character trigram model is counted over all documents. Words that show signs of disguise (digits or signs next to letters, letters
+repeated, single letters in a row) span a lattice: every character may stand for itself or for the letters it imitates, and every run
+of one letter for one or two of it. The cheapest path under the model is the restored word. Where the word without its outer signs is
+made of letters alone, as in ``tax!`` or ``letter``, it counts beside the restored one. Clean words have a lattice of one path and are
+scored as they are. Weights of words and of word beginnings are learned from labelled documents.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -38,8 +40,11 @@ SWAP_COST, DOUBLE_COST, DROP_COST = 1.0, 0.5, 1.0
 #: Logit of a text without any word of evidence.
 LEAST = -4.0
 _EDGES = ".,;:!?\"'`()[]{}<>#%&*|$~^=+-_/\\…«»“”‘’¿¡"
+#: Those that imitate no letter.
+_OUTER = "".join(c for c in _EDGES if c not in LEET)
 _CLEAN = re.compile(r"[^\W\d_]+")
-_RUN = re.compile(r"(.)\1{2,}")
+_RUN = re.compile(r"(.)\1")
+_RUNS = re.compile(r"(.)\1*", re.DOTALL)
 _SPACED = re.compile(r"(?:^|(?<=[\x20\x09-\x0d]))[^\s\d](?:[\x20][^\s]){2,}(?=[\x20\x09-\x0d]|$)")
 
 
@@ -57,6 +62,7 @@ def _classes() -> np.ndarray:
 
 
 TABLE = _classes()
+_TABLE = TABLE.tolist()
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -87,60 +93,78 @@ def language_model(docs: DataFrame) -> np.ndarray:
     return -np.log((three + 20 * pair[None]) / (three.sum(axis=2, keepdims=True) + 20))
 
 
-def _class(char: str) -> int:
-    return int(TABLE[min(ord(char), 0x180)])
+@lru_cache(100_000)
+def _ways(char: str, many: int) -> tuple[tuple[str, tuple[int, ...], float], ...]:
+    """The strings that ``many`` (3 stands for more) of one character may stand for, with their classes and costs."""
+    letters = [(char, 0.0)] if char.isalpha() else [(c, SWAP_COST) for c in LEET.get(char, "")]
+    ways = [(c, cost) for c, cost in letters] + [(c + c, cost + (DOUBLE_COST if many > 2 else 0.0)) for c, cost in letters if many > 1]
+    if many == 2 and char.isalpha():
+        ways = [(char * 2, 0.0), (char, DOUBLE_COST)]
+    if not char.isalpha():
+        ways.append(("", DROP_COST if not letters else SWAP_COST + DROP_COST))
+    return tuple((string, tuple(_TABLE[min(ord(c), 0x180)] for c in string), cost) for string, cost in ways)
 
 
-def _readings(word: str) -> list[list[tuple[str, float]]]:
-    """The lattice: per run of one character the strings it may stand for, with their costs."""
-    out = []
-    for run in re.finditer(r"(.)\1*", word, re.DOTALL):
-        char, many = run[1], len(run[0])
-        letters = [(char, 0.0)] if char.isalpha() else [(c, SWAP_COST) for c in LEET.get(char, "")]
-        ways = [(c, cost) for c, cost in letters] + [(c + c, cost + (DOUBLE_COST if many > 2 else 0.0)) for c, cost in letters if many > 1]
-        if many == 2 and char.isalpha():
-            ways = [(char * 2, 0.0), (char, DOUBLE_COST)]
-        if not char.isalpha():
-            ways.append(("", DROP_COST if not letters else SWAP_COST + DROP_COST))
-        out.append(ways)
-    return out
+def _readings(word: str) -> list[tuple]:
+    """The lattice: per run of one character the strings it may stand for, with their classes and costs."""
+    return [_ways(run[1], min(3, len(run[0]))) for run in _RUNS.finditer(word)]
 
 
-def restore(word: str, model: np.ndarray) -> str:
-    """The cheapest path through the lattice of ``word``; the state is the last two classes."""
-    paths = {(0, 0): (0.0, "")}
-    for ways in _readings(word):
-        after: dict[tuple[int, int], tuple[float, str]] = {}
+def _cheapest(lattice: list[tuple], model) -> str:
+    """The cheapest path; the state is the last two classes. Paths share their beginnings, so time and memory grow with the length."""
+    paths = {(0, 0): (0.0, None)}
+    for ways in lattice:
+        after: dict[tuple[int, int], tuple] = {}
         for (a, b), (cost, text) in paths.items():
-            for string, extra in ways:
+            for string, classes, extra in ways:
                 x, y, total = a, b, cost + extra
-                for c in string:
-                    z = _class(c)
-                    total += model[x, y, z]
+                for z in classes:
+                    total += model[x][y][z]
                     x, y = y, z
                 if (x, y) not in after or total < after[x, y][0]:
-                    after[x, y] = (total, text + string)
+                    after[x, y] = (total, (text, string))
         paths = after
-    return min(((cost + model[x, y, 0], text) for (x, y), (cost, text) in paths.items()), default=(0.0, word))[1]
+    at, out = min(((cost + model[x][y][0], n, text) for n, ((x, y), (cost, text)) in enumerate(paths.items())), key=lambda p: p[:2])[2], []
+    while at:
+        at, string = at
+        out.append(string)
+    return "".join(reversed(out))
+
+
+def restore(word: str, model) -> str:
+    """The cheapest path through the lattice of ``word``; ``model`` is an array or the same as nested lists, which are faster."""
+    return _cheapest(_readings(word), model)
 
 
 class Reader:
     """Words of a text as they are meant: cleaned, restored where disguised; remembers what it has read, up to a bound."""
 
     def __init__(self, model: np.ndarray, bound: int = 150_000) -> None:
-        self.model, self.bound, self.known = model, bound, {}
+        self.model, self.bound, self.known = model.tolist(), bound, {}
 
     def word(self, raw: str) -> str | None:
-        plain = raw.strip(_EDGES)
-        if not plain:
+        """The cheapest reading of ``raw``; signs at its edges that imitate letters may be letters as well."""
+        whole = raw.strip(_OUTER)
+        if _CLEAN.fullmatch(whole) and not _RUN.search(whole):
+            return whole
+        if not any(c.isalpha() for c in whole):
             return None
-        if _CLEAN.fullmatch(plain) and not _RUN.search(plain):
+        plain = raw.strip(_EDGES)
+        if len(plain) > 40:
             return plain
-        if not any(c.isalpha() for c in plain) or len(plain) > 40:
-            return plain if len(plain) > 40 else None
-        whole = raw.strip(".,;:?\"'()[]{}")
         return restore(whole if len(whole) <= 40 else plain, self.model) or plain
 
+    def read(self, raw: str) -> tuple[str, ...]:
+        """What ``raw`` may mean: its cheapest reading, and with signs at its edges those in which all of them are letters or none is."""
+        meant, plain, whole = self.word(raw), raw.strip(_EDGES), raw.strip(_OUTER)
+        found = [meant, plain if _CLEAN.fullmatch(plain) else None]
+        if plain and whole != plain and meant:
+            lattice = _readings(whole)
+            for at in (0, -1):
+                lattice[at] = tuple(w for w in lattice[at] if w[0]) or lattice[at]
+            found.append(_cheapest(lattice, self.model))
+        return tuple(dict.fromkeys(w for w in found if w))
+
     def words(self, text: str) -> set[str]:
         """Distinct restored words; single letters in a row also give the word they spell."""
         lower, known = text.lower(), self.known
@@ -149,17 +173,15 @@ class Reader:
         found, letters = set(), 0
         for raw in set(lower.split()):
             if raw not in known:
-                known[raw] = self.word(raw)
+                known[raw] = self.read(raw)
             letters += len(raw) == 1
-            if known[raw]:
-                found.add(known[raw])
+            found.update(known[raw])
         if letters > 1:
             for spelled in _SPACED.findall(lower):
                 joined = spelled.replace(" ", "")
                 if joined not in known:
-                    known[joined] = self.word(joined) if len(joined) <= 40 else None
-                if known[joined]:
-                    found.add(known[joined])
+                    known[joined] = self.read(joined) if len(joined) <= 40 else ()
+                found.update(known[joined])
         return found
 
 

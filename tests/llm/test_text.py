@@ -127,3 +127,21 @@ def test_toxicity_odd_rows(odd_docs, no_docs, disguised):
     assert toxicity.score(odd_docs, labels.limit(0)).where("predicted = 1").count() == 0
     left = toxicity.drop_toxic(odd_docs, labels)
     assert left.columns == odd_docs.columns and left.count() == odd_docs.count()
+
+
+def test_disguises_pass_the_reader(disguised):
+    docs, _ = disguised
+    more = docs.unionByName(docs.sparkSession.createDataFrame([(1000 + i, "stupid tax scum letter ass") for i in range(60)], docs.schema))
+    reader = toxicity.Reader(toxicity.language_model(more))
+    for raw, meant in (("$tupid", "stupid"), ("!diot", "idiot"), ("(lown", "clown"), ("$cum", "scum"), ("stuupid", "stupid"), ("iidiot", "idiot"),
+                       ("+ax", "tax"), ('"$tupid!"', "stupid"), ("tax!", "tax"), ("letter", "letter"), ("ass", "ass"), ("stone.", "stone")):
+        assert meant in reader.words(raw), raw
+    assert not reader.words("$100 !! 5+5")
+
+
+def test_signs_and_doubled_letters_are_scored(spark, disguised):
+    docs, labels = disguised
+    odd = [f"river stone {w} house green" for w in ("!diot", "(lown", "iidiot", "loserr")] + ["river stone! (house lost"]
+    more = docs.unionByName(spark.createDataFrame([(5000 + i, t) for i, t in enumerate(odd)], docs.schema))
+    rows = {r.doc_id: r.predicted for r in toxicity.score(more, labels).where("doc_id >= 5000").collect()}
+    assert rows == {5000: 1, 5001: 1, 5002: 1, 5003: 1, 5004: 0}
