@@ -2,7 +2,8 @@
 
 A character trigram model is counted over all documents. Words that show signs of disguise (digits or signs next to letters, letters
 repeated, single letters in a row) span a lattice: every character may stand for itself or for the letters it imitates, and every run
-of one letter for one or two of it. The cheapest path under the model is the restored word. Where the word without its outer signs is
+of one letter for one or two of it. In a run of short fragments (``y o u s t u p i d``) every gap is an edge too, which is dropped or
+kept as the edge of a word. The cheapest path under the model is the restored word. Where the word without its outer signs is
 made of letters alone, as in ``tax!`` or ``letter``, it counts beside the restored one. Clean words have a lattice of one path and are
 scored as they are. Weights of words and of word beginnings are learned from labelled documents.
 """
@@ -45,7 +46,10 @@ _OUTER = "".join(c for c in _EDGES if c not in LEET)
 _CLEAN = re.compile(r"[^\W\d_]+")
 _RUN = re.compile(r"(.)\1")
 _RUNS = re.compile(r"(.)\1*", re.DOTALL)
-_SPACED = re.compile(r"(?:^|(?<=[\x20\x09-\x0d]))[^\s\d](?:[\x20][^\s]){2,}(?=[\x20\x09-\x0d]|$)")
+#: Three tokens in a row or more of one or two runs of a character each.
+_PIECE = r"(\S)\{0}*+(?:(\S)\{1}*+)?+"
+_SPACED = re.compile(rf"(?<!\S){_PIECE.format(1, 2)}(?:\s++{_PIECE.format(3, 4)}(?!\S)){{2,}}+")
+_TOKEN = re.compile(r"(\s*)(\S+)")
 
 
 def _classes() -> np.ndarray:
@@ -136,6 +140,38 @@ def restore(word: str, model) -> str:
     return _cheapest(_readings(word), model)
 
 
+def _gapped(run: str, drop: float) -> list[tuple]:
+    """The lattice of a run of fragments; ``drop`` is the cost of dropping a gap between single characters."""
+    tokens = [(gap, [(r[1], min(3, len(r[0]))) for r in _RUNS.finditer(token)]) for gap, token in _TOKEN.findall(run)]
+    narrow = min(len(gap) for gap, _ in tokens[1:])
+    lattice: list[tuple] = []
+    last, many, single = "", 0, False
+    for gap, runs in tokens:
+        (char, count), alone = runs[0], len(runs) == 1
+        if lattice and single and alone and char == last and len(gap) == narrow:
+            many = min(3, many + count)
+            parted = tuple((f"{w} {w}", (*k, 0, *k), cost) for w, k, cost in _ways(char, 1) if w)
+            lattice[-1] = _ways(char, many) + parted
+            continue
+        if lattice:
+            lattice.append(((" ", (0,), 0.0), ("", (), (0.0 if single and alone else DROP_COST) + (DROP_COST if len(gap) > narrow else 0.0))))
+        lattice += [_ways(c, n) for c, n in runs]
+        last, many, single = char, count, alone
+    return lattice
+
+
+def spelled(run: str, model) -> set[str]:
+    """The words that a run of short fragments spells: each gap is dropped or parts words, whichever makes the cheaper path.
+
+    Between single characters the gaps say nothing, so that dropping one may be free unless it is wider than others of the run; the
+    words of the paths with and without that cost are both given. A character repeated over gaps is a run of it, or ends one word and
+    begins the next.
+    """
+    if not any(c.isalpha() for c in run):
+        return set()
+    return {w for cost in (0.0, DROP_COST) for w in _cheapest(_gapped(run, cost), model).split() if len(w) > 1}
+
+
 class Reader:
     """Words of a text as they are meant: cleaned, restored where disguised; remembers what it has read, up to a bound."""
 
@@ -149,10 +185,7 @@ class Reader:
             return whole
         if not any(c.isalpha() for c in whole):
             return None
-        plain = raw.strip(_EDGES)
-        if len(plain) > 40:
-            return plain
-        return restore(whole if len(whole) <= 40 else plain, self.model) or plain
+        return restore(whole, self.model) or raw.strip(_EDGES)
 
     def read(self, raw: str) -> tuple[str, ...]:
         """What ``raw`` may mean: its cheapest reading, and with signs at its edges those in which all of them are letters or none is."""
@@ -166,22 +199,17 @@ class Reader:
         return tuple(dict.fromkeys(w for w in found if w))
 
     def words(self, text: str) -> set[str]:
-        """Distinct restored words; single letters in a row also give the word they spell."""
+        """Distinct restored words; short fragments in a row also give the words they spell."""
         lower, known = text.lower(), self.known
         if len(known) > self.bound:
             known.clear()
-        found, letters = set(), 0
+        found: set[str] = set()
         for raw in set(lower.split()):
             if raw not in known:
                 known[raw] = self.read(raw)
-            letters += len(raw) == 1
             found.update(known[raw])
-        if letters > 1:
-            for spelled in _SPACED.findall(lower):
-                joined = spelled.replace(" ", "")
-                if joined not in known:
-                    known[joined] = self.read(joined) if len(joined) <= 40 else ()
-                found.update(known[joined])
+        for run in _SPACED.finditer(lower):
+            found.update(spelled(run[0], self.model))
         return found
 
 
