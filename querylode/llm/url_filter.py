@@ -1,6 +1,7 @@
 """URL verdicts: host and path rules first, gradient-boosted trees over lexical features for the rest.
 
-Features and scores are Spark expressions and Spark ML; the trees are fitted on a bounded sample of the labelled urls.
+Features and scores are Spark expressions and Spark ML; rates of suffixes and domains count all labelled urls, the trees are fitted on
+a bounded sample of the distinct ones.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, functions as F
 
-from querylode import lineage
+from querylode import lineage, sizing
 from querylode.llm import common
 
 #: Labelled urls the trees are fitted on, at most.
@@ -68,26 +69,32 @@ def lexical(urls: DataFrame) -> DataFrame:
     })
 
 
-def _rates(labelled: DataFrame, key: str, name: str) -> DataFrame:
-    """Smoothed share of blocked urls per key; at most one row per fitted url, hence small enough to broadcast."""
-    return labelled.groupBy(key).agg(
-        ((F.sum("label") + 1) / (F.count("*") + 2)).alias(f"{name}_rate"), F.count("*").cast("double").alias(f"{name}_rows"))
+def _rates(counted: DataFrame, key: str, name: str) -> DataFrame:
+    """Smoothed share of blocked urls per key, and how many urls have it, from ``counted`` (key, bad, n)."""
+    bad, n = F.sum("bad"), F.sum("n")
+    return counted.groupBy(key).agg(((bad + 1) / (n + 2)).alias(f"{name}_rate"), n.cast("double").alias(f"{name}_rows"))
 
 
 def fit(labelled: DataFrame, rows: int = FIT_ROWS, trees: int = 20, depth: int = 4):
     """A scorer from (url, host, path, label 0/1): a function that adds ``score``, the likelihood of label 1.
 
-    Takes the ``rows`` urls of smallest hash. With labels of one kind only (or none) every url scores that kind (or 0).
+    The trees take the ``rows`` distinct urls of smallest hash, each with its more frequent label (1 where both are as frequent); the
+    rates per suffix and domain take every row. With labels of one kind only (or none) every url scores that kind (or 0).
     """
-    sample = labelled.where("url is not null and label is not null").select("url", "host", "path", F.col("label").cast("double"))
-    sample = lineage.stored(lexical(sample.orderBy(F.xxhash64("url"), "url").limit(rows)).coalesce(2), "url-sample")
+    usable = labelled.where("url is not null and label is not null").select("url", "host", "path", F.col("label").cast("double"))
+    once = usable.groupBy("url", "host", "path").agg((F.avg("label") >= 0.5).cast("double").alias("label"))
+    sample = lineage.stored(lexical(once.orderBy(F.xxhash64("url"), "url").limit(rows)).coalesce(2), "url-sample")
     kinds = [r[0] for r in sample.select("label").distinct().limit(2).collect()]
     if len(kinds) < 2:
         return lambda urls: urls.withColumn("score", F.lit(float(kinds[0]) if kinds else 0.0))
-    suffixes, domains = _rates(sample, "suffix", "suffix"), _rates(sample, "domain", "domain").drop("domain_rows")
+    counted = usable.groupBy(F.substring_index("host", ".", -2).alias("domain")).agg(F.sum("label").alias("bad"), F.count("*").alias("n"))
+    counted = lineage.stored(counted, "url-domains")
+    by_suffix = counted.withColumn("suffix", F.substring_index("domain", ".", -1))
+    suffixes = sizing.small_side(lineage.stored(_rates(by_suffix, "suffix", "suffix"), "url-suffix-rates"))
+    domains = sizing.small_side(lineage.stored(_rates(counted, "domain", "domain").drop("domain_rows"), "url-domain-rates"))
 
     def features(urls: DataFrame) -> DataFrame:
-        joined = urls.join(F.broadcast(suffixes), "suffix", "left").join(F.broadcast(domains), "domain", "left")
+        joined = urls.join(suffixes, "suffix", "left").join(domains, "domain", "left")
         joined = joined.fillna({"suffix_rate": 0.5, "suffix_rows": 0.0, "domain_rate": 0.5})
         return VectorAssembler(inputCols=list(LEXICAL), outputCol="features").transform(joined)
 
