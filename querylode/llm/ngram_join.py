@@ -41,7 +41,7 @@ def _first_class(percent: int) -> int:
 
 
 def _sets(size: int, percent: int, whole: bool):
-    """doc_id, set (64 bits of the fingerprint), n, and the tokens: all of them, or those that the first order needs."""
+    """row, doc_id, set (64 bits of the fingerprint), n, and the tokens: all of them, or those that the first order needs."""
 
     limit = _first_class(percent)
 
@@ -56,12 +56,12 @@ def _sets(size: int, percent: int, whole: bool):
                     early = s[s < np.uint64(limit)]
                     enough = whole is False and len(early) >= len(s) - _least(len(s), percent) + 1
                     kept.append((early if enough else s).astype("<u8").tobytes())
-                columns = [pa.array(doc_ids[first : first + len(texts)], pa.int64()), pa.array(ids, pa.int64()),
+                columns = [batch.column("row").slice(first, len(texts)), pa.array(doc_ids[first : first + len(texts)], pa.int64()), pa.array(ids, pa.int64()),
                            pa.array([len(s) for s in found], pa.int32()), pa.array(kept, pa.binary())]
                 if whole:
                     counts = [np.bincount((s % np.uint64(PARTS)).astype(np.int64), minlength=PARTS) for s in found]
                     columns.append(pa.array(counts, pa.list_(pa.int32())))
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "set", "n", "tokens", "counts"][: len(columns)])
+                yield pa.RecordBatch.from_arrays(columns, names=["row", "doc_id", "set", "n", "tokens", "counts"][: len(columns)])
 
     return build
 
@@ -130,39 +130,44 @@ def _frequent(rows: DataFrame) -> DataFrame:
     return counted if hot is None else counted.unionByName(hot.withColumn("df", F.lit(1 << 60)))
 
 
+def _row() -> Column:
+    """Key of a row of documents: equal rows share it, rows that repeat a doc_id with other texts do not."""
+    return F.xxhash64(F.col("doc_id").cast("long"), common.text_of())
+
+
 def near_sets(docs: DataFrame, size: int = 3, percent: int = 90) -> tuple[DataFrame, DataFrame]:
-    """((doc_id, set, n) of every row, links (a, b) between different sets).
+    """((row, doc_id, set, n) of every row, links (a, b) between different sets).
 
     Links connect whatever all pairs at or above the threshold connect; pairs within a component that its other links already join
     are not all listed.
     """
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), common.text_of().alias("text"))
-    schema = "doc_id long, set long, n int, tokens binary"
+    texts = docs.select(_row().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), common.text_of().alias("text"))
+    schema = "row long, doc_id long, set long, n int, tokens binary"
     every = lineage.stored(texts.mapInArrow(_sets(size, percent, False), schema), "shingle-sets")
-    nodes = every.where("n > 0").groupBy("set").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("tokens").alias("tokens"))
+    nodes = every.where("n > 0").groupBy("set").agg(F.first("n").alias("n"), F.first("tokens").alias("tokens"))
     rows = nodes.select("set", "tokens").mapInArrow(_spread, "token long, set long")
     counted = _frequent(rows)
 
     # Places in the first order: early tokens of one set, early shared ones by frequency, then the same for the rest.
     early = F.col("token").between(0, _first_class(percent) - 1)  # signed view of the unsigned hash
     sizes = every.where("n > 0").groupBy("set").agg(F.first("n").alias("n"), F.first(F.octet_length("tokens") / 8).cast("int").alias("sent"),
-                                                   F.min("doc_id").alias("doc_id"))
+                                                   F.min("row").alias("row"))
     per_set = counted.groupBy("set").agg(F.sort_array(F.collect_list(F.struct((~early).alias("late"), "df", "token"))).alias("shared"))
     prefix = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
     placed = per_set.join(sizes, "set").withColumn("n_early", F.size(F.filter("shared", lambda t: ~t["late"])))
     # Whether a set sent all its tokens is visible from their number; only then are late tokens counted as well.
-    placed = placed.select("set", "doc_id", "n", "sent", "n_early", prefix.alias("prefix"), F.posexplode("shared").alias("at", "t"))
+    placed = placed.select("set", "row", "n", "sent", "n_early", prefix.alias("prefix"), F.posexplode("shared").alias("at", "t"))
     own_early = F.when(F.col("sent") < F.col("n"), F.col("sent") - F.col("n_early")).otherwise(0)
     pos = own_early + F.col("at")
     first = lineage.stored(
-        placed.withColumn("pos", pos.cast("int")).where(F.col("pos") < F.col("prefix")).select("set", "doc_id", "n", "pos", F.col("t.token").alias("token")),
+        placed.withColumn("pos", pos.cast("int")).where(F.col("pos") < F.col("prefix")).select("set", "row", "n", "pos", F.col("t.token").alias("token")),
         "prefixes")
     met = first.groupBy("token").agg(F.count("*").alias("c")).where("c > 1").select("token")
     first = lineage.stored(first.join(met, "token", "left_semi"), "met-prefixes")
 
-    alive = sizing.small_side(lineage.stored(first.select("doc_id", F.col("set").alias("alive")).distinct(), "alive"))
-    again = texts.join(alive, "doc_id").select("doc_id", "text").mapInArrow(_sets(size, percent, True), f"{schema}, counts array<int>")
-    # A repeated doc_id brings other texts along; and several texts may have the same set.
+    alive = sizing.small_side(lineage.stored(first.select("row", F.col("set").alias("alive")).distinct(), "alive"))
+    again = texts.join(alive, "row").select("row", "doc_id", "text").mapInArrow(_sets(size, percent, True), f"{schema}, counts array<int>")
+    # Rows of one key may bring other texts along; and several texts may have the same set.
     full = again.join(alive.select("alive").distinct(), F.col("set") == F.col("alive"), "left_semi").groupBy("set").agg(
         F.first("n").alias("n"), F.first("tokens").alias("tokens"), F.first("counts").alias("counts"))
     full = lineage.stored(full, "alive-sets")
@@ -171,7 +176,7 @@ def near_sets(docs: DataFrame, size: int = 3, percent: int = 90) -> tuple[DataFr
     owned = full.select("set", "n", "counts").join(kept, "set", "left").withColumn("own", F.col("n") - F.coalesce("shared", F.lit(0)))
     owned = owned.where(F.col("own") <= F.col("n") - F.ceil(F.col("n") * percent / 100))
     owned = owned.select("set", "own", "counts", (-F.col("common") / F.col("n")).alias("remote"))
-    first = first.drop("doc_id").join(owned, "set")
+    first = first.drop("row").join(owned, "set")
     first = first.withColumn("band", F.floor(F.log(F.col("n").cast("double")) / -math.log(percent / 100)).cast("int"))
     first = lineage.stored(first.withColumn("own", F.col("own").cast("int")), "buckets")
 
@@ -193,7 +198,7 @@ def near_sets(docs: DataFrame, size: int = 3, percent: int = 90) -> tuple[DataFr
         (F.col("x.set") < F.col("y.set")) & (F.col("x.part") != F.col("y.part")) & _may_link("x", "y", percent))
     rest = other.select(F.col("x.set").alias("a"), F.col("y.set").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti")
     more = lineage.stored(_linked(rest, full, percent), "more-links")
-    return every.select("doc_id", "set", "n"), links.unionByName(more)
+    return every.select("row", "doc_id", "set", "n"), links.unionByName(more)
 
 
 def _labels(links: DataFrame) -> DataFrame:
@@ -209,6 +214,11 @@ def near_duplicates(docs: DataFrame, size: int = 3, percent: int = 90) -> DataFr
     null doc_id takes part, and names a component only where no other does not (component_id null). Other columns are ignored, an
     empty table gives no rows. The ids of sets are 64 bits of a 128-bit hash.
     """
+    return _components(docs, size, percent).drop("row")
+
+
+def _components(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """What ``near_duplicates`` gives, with the key of each row."""
     every, links = near_sets(docs, size, percent)
     label = lineage.stored(_labels(links), "labels")
     own = every.where("n > 0").groupBy("set").agg(F.min("doc_id").alias("least"))
@@ -217,12 +227,17 @@ def near_duplicates(docs: DataFrame, size: int = 3, percent: int = 90) -> DataFr
     best = linked.groupBy("part").agg(F.min("least").alias("component_id"))
     of_set = joined.where("component is null").select("set", F.col("least").alias("component_id")).unionByName(
         linked.join(best, "part").select("set", "component_id"))
-    rows = every.where("n > 0").join(of_set, "set").select("doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id")
-    return rows.unionByName(every.where("n = 0").select("doc_id", F.lit(0).cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id")))
+    rows = every.where("n > 0").join(of_set, "set").select("row", "doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id")
+    return rows.unionByName(every.where("n = 0").select("row", "doc_id", F.lit(0).cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id")))
 
 
 def keep_one(docs: DataFrame, size: int = 3, percent: int = 90) -> DataFrame:
-    """``docs`` with one document per component, the one of smallest doc_id; rows that repeat it all stay, as do null doc_ids."""
-    found = near_duplicates(docs.select("doc_id", "text"), size, percent)
-    gone = found.where("component_id <> doc_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti")
+    """``docs`` with one document per component, the one of smallest doc_id; rows that repeat it all stay, as do null doc_ids.
+
+    Rows are judged one by one: of rows that share a doc_id only those go whose own text has a copy of smaller doc_id.
+    """
+    found = _components(docs.select("doc_id", "text"), size, percent)
+    gone = found.where("component_id <> doc_id").select(F.col("row").alias("_row"), F.col("doc_id").alias("_doc_id")).distinct()
+    keyed = docs.withColumn("_row", _row())
+    left = keyed.join(gone, (keyed["_row"] == gone["_row"]) & (keyed["doc_id"] == gone["_doc_id"]), "left_anti")
+    return left.select(*docs.columns)

@@ -89,6 +89,18 @@ def test_near_duplicates_odd_rows(odd_docs, no_docs):
     assert ngram_join.keep_one(odd_docs).columns == odd_docs.columns
 
 
+def test_keep_one_goes_by_row(spark, odd_docs):
+    base = "one two three four five six seven eight nine ten eleven twelve"
+    kept = sorted(((r.doc_id, r.text) for r in ngram_join.keep_one(odd_docs, 3, 80).select("doc_id", "text").collect()), key=str)
+    gone = [(6, base.replace(" ", "\n")), (9, base + " thirteen")]
+    assert kept == sorted(((r.doc_id, r.text) for r in odd_docs.select("doc_id", "text").collect() if (r.doc_id, r.text) not in gone), key=str)
+    words = [f"w{i}" for i in range(40)]
+    docs = [(1, " ".join(words)), (None, " ".join(words[2:] + ["x", "y"])), (2, " ".join(words[4:] + ["x", "y", "z", "q"]))]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in ngram_join.near_duplicates(df, 3, 85).collect()} == {1: 1, None: 1, 2: 1}  # null is the bridge
+    assert {r.doc_id for r in ngram_join.keep_one(df, 3, 85).collect()} == {1, None}
+
+
 def test_shingle_hashes_are_those_of_the_words():
     texts = ["", "a", "A b  c\td", "a b c d", "é è", "x y z x y z", "a b c d e f g"]
     for size in (1, 3, 5):
