@@ -19,7 +19,9 @@ from querylode.llm import encoding
 # HTML's element categories.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 HEAD = frozenset("base link meta noscript script style template title head".split())
-HIDDEN = frozenset("head script style template noscript title datalist iframe object audio video canvas svg math".split())
+HIDDEN = frozenset("head script style template noscript title datalist iframe object audio video canvas".split())
+#: Not shown inside the key.
+FOREIGN = {"svg": frozenset("title desc defs metadata".split()), "math": frozenset(("annotation", "annotation-xml"))}
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 PARAGRAPHS = frozenset("p h1 h2 h3 h4 h5 h6 blockquote ul ol menu dl table pre figure hr fieldset listing".split())
 BLOCKS = PARAGRAPHS | frozenset(
@@ -46,6 +48,8 @@ _TAG = re.compile(
     r"<(?:!--(?P<note>.*?)(?:--!?>|\Z)|(?P<odd>[!?][^>]*+)(?:>|\Z)|/(?P<end>[a-zA-Z][^\s/>]*+)[^>]*+(?:>|\Z)"
     r"|(?P<start>[a-zA-Z][^\s/>]*+)(?P<attrs>(?:[^>\"'=]|=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>\"']*+)|[\"'])*+)(?:>|\Z))", re.DOTALL)
 _UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
+#: Attributes of a tag that is closed at once, where the grammar is that of XML.
+_EMPTY = re.compile(r"(?:^|[\s\"'])/$")
 _GAPS = re.compile(r"[ \t\n\r\f]+")
 
 
@@ -105,7 +109,8 @@ class Tree:
         if tag == "tr" and self.stack[-1].tag == "table":
             self.push(Node("tbody"))
         node = Node(tag, attrs)
-        if tag in VOID:
+        foreign = tag in FOREIGN or self.open["svg"] or self.open["math"]
+        if tag in VOID or foreign and _EMPTY.search(attrs):
             self.stack[-1].children.append(node)
         else:
             self.push(node)
@@ -209,28 +214,47 @@ class Sheet:
         self.stop(1)
 
 
-def aligned(rows: list[list[tuple[str, int]]]) -> list[str]:
-    """Rows of (text, columns spanned) as lines whose columns line up."""
+def placed(rows: list[list[tuple[str, int, int]] | None]) -> list[list[tuple[int, str, int]]]:
+    """Rows of (text, columns spanned, rows spanned, 0: all) as (column, text, columns spanned); None ends a section and its spans."""
+    out, busy = [], {}
+    for row in rows:
+        if row is None:
+            busy = {}
+            continue
+        at, cells, fresh = 0, [], {}
+        for text, span, down in row:
+            while at in busy:
+                at += 1
+            cells.append((at, text, span))
+            if down != 1:
+                fresh.update((at + k, down - 1) for k in range(span))
+            at += span
+        busy = {**{column: left - 1 for column, left in busy.items() if left != 1}, **fresh}
+        out.append(cells)
+    return out
+
+
+def aligned(rows: list[list[tuple[int, str, int]]]) -> list[str]:
+    """Rows of (column, text, columns spanned) as lines whose columns line up."""
     width: dict[int, int] = {}
     for row in rows:
-        at = 0
-        for text, span in row:
+        for at, text, span in row:
             if span == 1:
                 width[at] = max(width.get(at, 0), len(text))
-            at += span
     out = []
     for row in rows:
-        at, cells = 0, []
-        for text, span in row:
+        end, cells = 0, []
+        for at, text, span in row:
+            cells += [" " * width.get(k, 0) for k in range(end, at)]
             room = sum(width.get(at + k, 0) for k in range(span)) + 2 * (span - 1)
             cells.append(text.ljust(room))
-            at += span
+            end = at + span
         out.append("  ".join(cells).rstrip())
     return out
 
 
 def render(root: Node) -> str:
-    sheets, lists, tables, exact = [Sheet()], [], [], 0
+    sheets, lists, tables, exact, foreign = [Sheet()], [], [], 0, Counter()
     todo: list[tuple[Node | str, bool]] = [(root, True)]
     while todo:
         node, enter = todo.pop()
@@ -240,8 +264,12 @@ def render(root: Node) -> str:
             continue
         tag = node.tag
         if enter:
-            if not visible(node):
+            if not visible(node) or any(n and tag in FOREIGN[name] for name, n in foreign.items()):
                 continue
+            if tag in FOREIGN:
+                foreign[tag] += 1
+            elif tag == "text" and foreign["svg"]:
+                sheet.stop(1)
             todo.append((node, False))
             shown = node.children
             if tag == "details" and attribute(node.attrs, "open") is None:
@@ -274,15 +302,22 @@ def render(root: Node) -> str:
                 elif tag in ("pre", "listing"):
                     exact += 1
             continue
+        if tag in FOREIGN:
+            foreign[tag] -= 1
+        elif tag == "text" and foreign["svg"]:
+            sheet.stop(1)
         if tag in CELLS and tables:
             sheet.stop(0)
             text = " ".join(line.strip() for line in sheet.lines if line.strip())
             sheets.pop()
-            span = attribute(node.attrs, "colspan") or "1"
-            if tables[-1]:
-                tables[-1][-1].append((text, min(1000, int(span)) if re.fullmatch(r"[1-9]\d{0,3}", span) else 1))
+            span, down = (attribute(node.attrs, name) or "1" for name in ("colspan", "rowspan"))
+            if tables[-1] and tables[-1][-1] is not None:
+                tables[-1][-1].append((text, min(1000, int(span)) if re.fullmatch(r"[1-9]\d{0,3}", span) else 1,
+                                       min(65534, int(down)) if re.fullmatch(r"\d{1,5}", down) else 1))
             else:
                 sheets[-1].words(text)
+        elif tag in SECTIONS and tables:
+            tables[-1].append(None)
         elif tag in BLOCKS:
             sheet.stop(2 if tag in PARAGRAPHS and not (tag in ("ul", "ol", "menu") and len(lists) > 1) else 1)
             if tag in ("ul", "ol", "menu"):
@@ -293,7 +328,7 @@ def render(root: Node) -> str:
             elif tag in ("blockquote", "dd"):
                 sheet.indent = max(0, sheet.indent - 2)
             elif tag == "table":
-                for line in aligned([r for r in tables.pop() if any(t for t, _ in r)]):
+                for line in aligned([r for r in placed(tables.pop()) if any(t for _, t, _ in r)]):
                     sheet.row(line)
                 sheet.stop(2)
             elif tag in ("pre", "listing"):

@@ -25,6 +25,19 @@ def test_visible_text(page, text):
     assert html_text.extract(page) == text
 
 
+@pytest.mark.parametrize("page,text", [
+    ("a<svg><title>t</title><defs><text>d</text></defs><circle r=1 /><desc/><text>Q1</text><text x='2'>Q2</text></svg>b", "a\nQ1\nQ2\nb"),
+    ("<p>so <math><semantics><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x=2</annotation></semantics></math> holds", "so x=2 holds"),
+    ("<desc>shown</desc>", "shown"), ("a<svg/><desc>b</desc>", "ab"),
+    ("<table><tr><th>A<th>B<th>C<tr><td rowspan=2>one<td>2<td>3<tr><td>4<td>5<tr><td>6<td>7<td>8</table>", "A    B  C\none  2  3\n     4  5\n6    7  8"),
+    ("<table><tr><td>a<td rowspan=0>b<tr><td>c<tr><td>d<td>e</table>", "a  b\nc\nd     e"),
+    ("<table><thead><tr><th rowspan=9>A<th>B</thead><tbody><tr><td>1<td>2</table>", "A  B\n1  2"),
+    ("<table><tr><td rowspan=2 colspan=2>a<td>b<tr><td>c<tr><td>dd<td>e<td>f</table>", "a      b\n       c\ndd  e  f"),
+])
+def test_foreign_text_and_row_spans(page, text):
+    assert html_text.extract(page) == text
+
+
 def test_pages_odd_rows(spark):
     pages = spark.createDataFrame([(1, "u", "<p>a"), (1, "u", "<p>a"), (None, None, None)], "page_id long, url string, html string")
     rows = html_text.extract_text(pages.withColumn("text", F.lit(1)))
@@ -63,6 +76,24 @@ def test_url_rules_and_scores(spark):
     assert {r.verdict for r in url_filter.filter_urls(pages, ()).collect()} == {"allow"}  # nothing labelled
 
 
+def test_rates_count_every_labelled_url(spark, monkeypatch):
+    """Trees see one url of each domain; the domain's rate comes from all its rows, and copies of one url take one place of the sample."""
+    seen = []
+    rates = url_filter._rates
+    monkeypatch.setattr(url_filter, "_rates", lambda counted, key, name: seen.append((key, rates(counted, key, name))) or seen[-1][1])
+    samples = []
+    lexical = url_filter.lexical
+    monkeypatch.setattr(url_filter, "lexical", lambda urls: samples.append(urls) or lexical(urls))
+    urls = [(f"http://a.{'bad' if i % 2 else 'good'}{i % 10}.org/{i}", i % 2) for i in range(200)] + [("http://hot.net/", 1)] * 100
+    labelled = spark.createDataFrame(urls, "url string, label int")
+    labelled = labelled.withColumns({"host": url_filter.host_of(F.col("url")), "path": url_filter.path_of(F.col("url"))})
+    url_filter.fit(labelled, rows=150, trees=1)
+    found = {key: {r[0]: (r[1], r[2]) for r in rows.collect()} for key, rows in seen}
+    assert found["suffix"] == {"org": (101 / 202, 200.0), "net": (101 / 102, 100.0)}
+    assert len(found["domain"]) == 11 and found["domain"]["bad1.org"] == (21 / 22, 20.0) and found["domain"]["hot.net"][1] == 100
+    assert samples[0].count() == samples[0].distinct().count() == 150
+
+
 def brute_quality(text):
     text = text or ""
     words = re.findall(r"[^\x20\x09-\x0D]+", text)
