@@ -180,11 +180,11 @@ def test_signs_and_doubled_letters_are_scored(spark, disguised):
 
 def test_spaced_and_long_words_pass_the_reader(disguised):
     docs, _ = disguised
-    more = docs.unionByName(docs.sparkSession.createDataFrame([(1000 + i, "you are a stupid tree") for i in range(60)], docs.schema))
+    more = docs.unionByName(docs.sparkSession.createDataFrame([(1000 + i, "you see a stupid tree") for i in range(60)], docs.schema))
     reader = toxicity.Reader(toxicity.language_model(more))
     for text, meant in (("s t u p i d", "stupid"), ("5 t u p i d", "stupid"), ("1 d 1 0 t", "idiot"), ("s\tt\nu p  i d", "stupid"), ("st up id", "stupid"),
                         ("s t u u u p i d", "stupid"), ("y o u s t u p i d", "stupid"), (" ".join("youareastupididiot" * 500), "idiot"),
-                        ("stu" + "u" * 60 + "pid", "stupid"), ("x" * 50 + "." + "stupid" * 9, "x" * 2 + "stupid" * 9)):
+                        ("stu" + "u" * 60 + "pid", "stupid"), ("x" * 50 + "." + "stupid" * 9, "x" + "stupid" * 9)):
         assert meant in reader.words(text), text[:60]
     assert "treelight" not in reader.words("tree light to it")
     assert not reader.words("1 2 3 4 5 6")
