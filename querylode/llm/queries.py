@@ -8,10 +8,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from querylode import lineage
-from querylode.llm import common, exact_dedup, html_text, mixing, ngram_join, packing, quality, sql, suffix_dedup, token_files, toxicity, url_filter
+from querylode.llm import (
+    alignment, common, exact_dedup, html_text, mixing, ngram_join, packing, quality, simhash, sql, suffix_dedup, token_files, toxicity, url_filter, whitening,
+)
 
 #: Vocabulary of the queries; the operators take any path.
 VOCABULARY = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
 
 URL_RULES = (
     ("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/"),
@@ -72,6 +75,29 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "n_lines", "n_shouted", F.col("failed_bits"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row per vector and component, up to eight components."""
+    rows, fit = whitening.whiten(common.table(spark, sf_dir, "embeddings", "vec_id", "embedding"), components=8)
+    explained = F.array(*[F.lit(float(e)) for e in fit["explained"][:8]]) if fit["n"] else F.array().cast("array<double>")
+    # The contract's long; null if a corpus is so large that the exact value is none.
+    each = rows.select("vec_id", F.col("deviation").try_cast("long").alias("deviation"), F.posexplode("whitened").alias("at", "whitened"))
+    return each.select("vec_id", (F.col("at") + 1).alias("component"), F.lit(fit["n"]).cast("long").alias("n"), "deviation", "whitened",
+                       F.get(explained, F.col("at")).alias("explained"), F.lit(fit["identity_error"]).alias("identity_error"))
+
+
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of 3-word shingles, linked at two differing bits or less."""
+    return simhash.near_duplicates(common.table(spark, sf_dir, "documents", "doc_id", "text"), size=3)
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The byte-level vocabulary against the piece model over all documents."""
+    import public_tokenizers
+
+    docs = common.table(spark, sf_dir, "documents", "doc_id", "text")
+    return alignment.align(docs, vocabulary(), public_tokenizers.path(PIECES))[0]
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
     "op2_html_text": op2_html_text,
@@ -83,5 +109,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_ngram_join": op8_ngram_join,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_quality_rules": op10_quality_rules,
+    "op11_whitening": op11_whitening,
+    "op12_simhash": op12_simhash,
+    "op13_alignment": op13_alignment,
 }
 SQL: dict[str, str] = {"op6_exact_dedup": sql.EXACT_DEDUP, "op10_quality_rules": sql.QUALITY}
