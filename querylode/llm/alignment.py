@@ -14,6 +14,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -25,8 +26,8 @@ from querylode.llm import common, encoding
 
 #: A chunk ends with the text that brings it to this many distinct pieces, or so many in all.
 CHUNK_PIECES, CHUNK_LENGTH = 150_000, 3_000_000
-#: Pieces encoded at a time.
-BLOCK = 20_000
+#: Pieces aligned at a time, and those that A's library gets in one call.
+BLOCK, CALL = 20_000, 4_000
 _CUT = re.compile(r"(?<=\S)(?= \S|\n\S)")
 SPACE = "▁"
 #: GPT-2's byte alphabet: printable bytes stand for themselves, the others for characters from 256 on.
@@ -48,11 +49,13 @@ class Pair:
 
     def __init__(self, a_path: str, b_path: str) -> None:
         import sentencepiece
+        from tokenizers import Tokenizer
 
-        self.coder = encoding.Encoder(a_path, pieces=4 * BLOCK)
+        self.tokenizer = Tokenizer.from_file(a_path)
+        self.mark_id, self.mark = next((i, t.content) for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special)
         self.pieces = sentencepiece.SentencePieceProcessor(model_file=b_path)
         alphabet = _byte_alphabet()
-        vocabulary = self.coder.tokenizer.get_vocab(with_added_tokens=True)
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.a_bytes = [b""] * (max(vocabulary.values()) + 1)
         for token, i in vocabulary.items():
             self.a_bytes[i] = bytes(alphabet[c] for c in token) if all(c in alphabet for c in token) else token.encode()
@@ -65,32 +68,55 @@ class Pair:
         usual = {t: i for i, t in enumerate(self.b_bytes) if self.pieces.is_byte(i)}
         usual |= {t: i for i, t in enumerate(self.b_bytes) if not (self.pieces.is_byte(i) or self.pieces.is_control(i) or self.pieces.is_unknown(i))}
         self.same = np.array([usual.get(t, -1) if t else -1 for t in self.a_bytes], np.int64)
-        self.space = usual[b" "]
         # Texts of ids, with what may follow them.
         n = max(len(self.a_bytes), len(self.b_bytes))
         self.text = np.array([str(i) for i in range(n)], object)
 
-    def _b_ids(self, piece: str) -> list[int] | None:
-        if piece[0] == " ":
-            return self.pieces.encode(piece[1:])
-        # Behind a line break no space belongs to the piece; the one that the library puts first stays a token of its own.
-        ids = self.pieces.encode(piece)
-        return ids[1:] if ids[0] == self.space else None
+    def _a_ids(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all pieces in a row, how many each has). Joined by a special token, whose id parts them again; a piece that holds its
+        string is encoded alone."""
+        own = [i for i, p in enumerate(pieces) if self.mark in p]
+        self.tokenizer.encode_special_tokens = True
+        found = [self.tokenizer.encode(pieces[i], add_special_tokens=False).ids for i in own]
+        self.tokenizer.encode_special_tokens = False
+        texts = list(pieces)
+        for i in own:
+            texts[i] = ""
+        runs = (self.mark.join(texts[i : i + CALL]) + self.mark for i in range(0, len(texts), CALL))
+        flat = np.concatenate([np.asarray(self.tokenizer.encode_batch_fast([r], add_special_tokens=False)[0].ids, np.int64) for r in runs])
+        gaps = np.flatnonzero(flat == self.mark_id)
+        count = np.diff(gaps, prepend=-1) - 1
+        flat = np.delete(flat, gaps)
+        if own:
+            flat = np.insert(flat, np.repeat(np.cumsum(count)[own], [len(f) for f in found]), np.concatenate(found))
+            count[own] = [len(f) for f in found]
+        return flat, count
+
+    def _b_ids(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same of B. The library puts a space first: a piece's own one is left out, and the one before a line break is a token that goes."""
+        ids = self.pieces.encode([p[1:] if p[0] == " " else p for p in pieces], num_threads=1)
+        for i, p in enumerate(pieces):
+            if p[0] != " ":
+                ids[i] = ids[i][1:]
+        return np.fromiter(chain.from_iterable(ids), np.int64), np.fromiter(map(len, ids), np.int64, len(ids))
+
+    def _right(self, tokens: list[bytes], ids: np.ndarray, count: np.ndarray, raw: list[bytes]) -> np.ndarray:
+        """Which pieces come back byte by byte; nearly always all of a list, which one comparison shows."""
+        ends = np.cumsum(count)
+        parts = list(map(tokens.__getitem__, ids.tolist()))
+        length = np.diff(np.concatenate([[0], np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)))])[np.concatenate([[0], ends])])
+        if (length == [len(r) for r in raw]).all() and b"".join(parts) == b"".join(raw):
+            return np.ones(len(raw), bool)
+        return np.array([b"".join(parts[e - n : e]) == r for e, n, r in zip(ends.tolist(), count.tolist(), raw)], bool)
 
     def align(self, pieces: list[str]) -> "Aligned":
         """Aligns pieces; those that one of the two does not give back byte by byte have no tokens and are marked."""
         raw = [p.encode("utf-8", "surrogatepass") for p in pieces]
-        a, a_at = self.coder.encode(pieces)
-        b_ids = [self._b_ids(p) for p in pieces]
-        a_tokens, b_tokens = self.a_bytes.__getitem__, self.b_bytes.__getitem__
-        right = np.array([
-            y is not None and b"".join(map(b_tokens, y)) == r and b"".join(map(a_tokens, a[s:e].tolist())) == r
-            for y, r, s, e in zip(b_ids, raw, a_at[:-1].tolist(), a_at[1:].tolist())
-        ], bool)
-        n_a = np.where(right, np.diff(a_at), 0)
-        n_b = np.array([len(y) if ok else 0 for y, ok in zip(b_ids, right)], np.int64)
-        a = a[np.repeat(right, np.diff(a_at))].astype(np.int64)
-        b = np.array([i for y, ok in zip(b_ids, right) if ok for i in y], np.int64)
+        a, n_a = self._a_ids(pieces)
+        b, n_b = self._b_ids(pieces)
+        right = self._right(self.a_bytes, a, n_a, raw) & self._right(self.b_bytes, b, n_b, raw)
+        a, b = a[np.repeat(right, n_a)], b[np.repeat(right, n_b)]
+        n_a, n_b = np.where(right, n_a, 0), np.where(right, n_b, 0)
         a_end, b_end = np.cumsum(self.a_length[a]), np.cumsum(self.b_length[b])
         ends = np.union1d(a_end, b_end)
         at_a, at_b = np.searchsorted(a_end, ends), np.searchsorted(b_end, ends)
@@ -148,6 +174,15 @@ class _Numbers(dict):
         return self[key]
 
 
+def _planes(values: np.ndarray) -> bytes:
+    """Numbers below 2^32, their lowest bytes first, then the next ones: what is small compresses."""
+    return values.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _numbers(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, np.uint8).reshape(4, -1).T.copy().view("<u4").ravel().astype(np.int64)
+
+
 class _Chunk:
     """The texts of a run and the distinct pieces in them."""
 
@@ -172,18 +207,25 @@ class _Chunk:
         written = [w for p in parts for w in p.written]
         self.docs = [(d, number if right[number].all() else number[:0]) for d, number in self.docs]
         uses = np.bincount(np.concatenate([number for _, number in self.docs]), minlength=len(names))
+        # Frequent pieces get small numbers, whose upper bytes are zero.
+        order = np.argsort(-uses, kind="stable")
+        place = np.empty(len(names), np.int64)
+        place[order] = np.arange(len(names))
         out, size = [], 0
         for doc_id, number in self.docs:
             digest = hashlib.sha256(";".join([written[i] for i in number.tolist()]).encode()).hexdigest() if len(number) else ""
             counts = [int(c[number].sum()) if len(number) else 0 for c in (n_a, n_b, n_groups, n_links)]
-            out.append((chunk, doc_id, *counts, digest, number.tobytes(), None, None, None, None))
+            out.append((chunk, doc_id, *counts, digest, _planes(place[number]), None, None, None, None))
             size += len(number)
             if size > 500_000:
                 yield _batch(out)
                 out, size = [], 0
         a, b, plain = join("a"), join("b"), join("plain").astype(bool)
-        table = [np.where(plain, a, a + len(self.both.a_bytes)).astype("<u4"), b.astype("<u4"), n_links.astype("<u4"), uses.astype("<u4")]
-        out.append((chunk, *[None] * 7, *[t.tobytes() for t in table]))
+        ends = np.cumsum(n_links)
+        sizes = n_links[order]
+        links = np.repeat(ends[order] - np.cumsum(sizes), sizes) + np.arange(int(sizes.sum()))
+        table = [np.where(plain, a, a + len(self.both.a_bytes))[links], b[links], sizes, uses[order]]
+        out.append((chunk, *[None] * 7, *map(_planes, table)))
         yield _batch(out)
 
 
@@ -218,11 +260,10 @@ class _Table:
     """A chunk's stored links: ids, whether the fast path holds them, the piece of each, and how often pieces occur."""
 
     def __init__(self, both: Pair, a: bytes, b: bytes, sizes: bytes, uses: bytes) -> None:
-        marked, self.b = np.frombuffer(a, "<u4").astype(np.int64), np.frombuffer(b, "<u4").astype(np.int64)
+        marked, self.b, self.sizes, self.uses = map(_numbers, (a, b, sizes, uses))
         n = len(both.a_bytes)
         self.plain = marked < n
         self.a = np.where(self.plain, marked, marked - n)
-        self.sizes, self.uses = np.frombuffer(sizes, "<u4").astype(np.int64), np.frombuffer(uses, "<u4").astype(np.int64)
         self.piece = np.repeat(np.arange(len(self.sizes)), self.sizes)
 
 
@@ -270,7 +311,7 @@ def _summed(a_path: str, b_path: str, totals: np.ndarray, best: np.ndarray):
         # Sums per piece in whole numbers: differences of running sums.
         ends = np.cumsum(t.sizes)
         per_piece = [np.diff(np.concatenate([[0], np.cumsum(v)])[np.concatenate([[0], ends])]) for v in (link_best.astype(np.int64), link_total)]
-        numbers = [np.frombuffer(p, "<u4") for p in docs["pieces"].to_pylist()]
+        numbers = [_numbers(p) for p in docs["pieces"].to_pylist()]
         sums = [pa.array([int(v[n].sum()) for n in numbers], pa.int64()) for v in per_piece]
         kept = ["doc_id", "n_a", "n_b", "n_groups", "n_links"]
         return pa.table([*[docs[c] for c in kept], *sums, docs["groups_sha256"]], names=[*kept, "n_best", "count_sum", "groups_sha256"])
