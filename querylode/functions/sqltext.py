@@ -10,7 +10,8 @@ from pyspark.sql import Column, functions as F
 
 # Literal masking.
 PLACEHOLDER = ":placeholder"
-STRING_LITERAL = r"'[^']*(?:''[^']*)*'"
+#: A literal with doubled quotes, an open one up to the last quote that could end it. Possessive: without a stack frame per quote.
+STRING_LITERAL = r"(?:'[^']*+(?:''[^']*+)*+'|'[^']*+(?:''(?=[^']*+')[^']*+)*+')"
 NUMBER_LITERAL = r"(?U)(?<![a-zA-Z_:])(\d+\.?\d*)(?![a-zA-Z_\d])"
 NUMBER_LITERAL_STRICT = r"(?U)(?<![\w:.$#])(\d+(?:\.\d+)?)(?![\w$#])"
 
@@ -206,7 +207,7 @@ def select_outputs(sql: Column) -> Column:
     return F.transform(select_items(sql, strict=True), name)
 
 
-_OPERAND = r"('[^']*(?:''[^']*)*'|-?\d+(?:\.\d+)?|:\w+|[A-Za-z_][\w.]*)"
+_OPERAND = rf"({STRING_LITERAL}|-?\d+(?:\.\d+)?|:\w+|[A-Za-z_][\w.]*)"
 #: The left side is a column or one call of columns and literals.
 PREDICATE = rf"(?U)([A-Za-z_][\w.]*(?:\([^()']*\))?)\s*(<>|!=|>=|<=|=|<|>)\s*{_OPERAND}"
 _CONDITION_TEXT = r"(?isUd)\bWHERE\s+(.*?)(?:\bORDER\s+BY\b|\bGROUP\s+BY\b|\bHAVING\b|\bLIMIT\b|\bUNION\b|$)"

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from querylode.functions import clauses as C
 from querylode.functions import sqltext as S
+from querylode.lineage import stored
 
 def _sql():
     return F.col("sql_text")
@@ -42,3 +44,78 @@ def literal_values(logs: DataFrame) -> DataFrame:
         S.owner_table(F.col("p.column"), F.col("aliases"), F.col("main")).alias("table_name"),
         S.last_part(F.col("p.column")).alias("column_name"), F.col("p.value").alias("value"))
     return rows.groupBy("table_name", "column_name", "value").agg(F.count("*").alias("n"))
+
+
+# --- nested statements ---------------------------------------------------------------------------------
+
+def scanned(logs: DataFrame) -> DataFrame:
+    """``statement, clauses`` of each distinct statement; what follows reads a text once, however often it was logged."""
+    shapes = logs.select(_sql().alias("statement")).distinct()
+    return stored(shapes.withColumn("clauses", C.clauses(F.col("statement"))), "clauses")
+
+
+def _of_logs(logs: DataFrame, rows: DataFrame) -> DataFrame:
+    return logs.withColumnRenamed("sql_text", "statement").join(rows, "statement").withColumnRenamed("statement", "sql_text")
+
+
+def nested_outputs(logs: DataFrame) -> DataFrame:
+    """``(.., query, place, name)`` per select item of every SELECT of a statement."""
+    return _of_logs(logs, scanned(logs).select("statement", F.inline(C.outputs(F.col("clauses")))))
+
+
+def nested_joins(logs: DataFrame) -> DataFrame:
+    """``(.., query, side, how, table, alias, condition, shared)`` per join, those of derived tables included."""
+    return _of_logs(logs, scanned(logs).select("statement", F.inline(C.all_joins(F.col("clauses")))))
+
+
+def nested_predicates(logs: DataFrame, *contexts: str) -> DataFrame:
+    """``(.., query, context, left, op, right)`` per comparison, expressions on either side included."""
+    return _of_logs(logs, scanned(logs).select("statement", F.inline(C.comparisons(F.col("clauses"), *contexts))))
+
+
+def _owned(uses: DataFrame, named: DataFrame) -> DataFrame:
+    """``uses`` (statement, query, column) with the table a column belongs to.
+
+    A qualifier is an alias of the column's own SELECT, else of the nearest earlier one that has it (correlated columns, CTEs); a column
+    without one belongs to the only table its SELECT reads by name. Others (of derived tables, of several tables) have none.
+    """
+    alone = named.groupBy("statement", "query").agg(F.min("table").alias("only"), F.count("*").alias("n")).where("n = 1").drop("n")
+    part = F.regexp_extract("column", r"([^.]*)\.[^.]*$", 1)
+    rows = uses.withColumn("alias", F.when(part != "", part))
+    above = named.select("statement", "alias", F.col("query").alias("_query"), "table")
+    found = rows.where("alias is not null").join(above, ["statement", "alias"]).where("_query <= query")
+    nearest = found.groupBy(*rows.columns).agg(F.max_by("table", "_query").alias("table_name"))
+    bare = rows.where("alias is null").join(alone, ["statement", "query"]).select(*rows.columns, F.col("only").alias("table_name"))
+    return nearest.unionByName(bare).drop("alias").withColumn("column_name", S.last_part(F.col("column")))
+
+
+def nested_column_uses(logs: DataFrame) -> DataFrame:
+    """``table_name, column_name, context, n``: logs that use a table's column in a SELECT list, WHERE or join condition at any depth."""
+    read = scanned(logs)
+    named = read.select("statement", F.inline(C.sources(F.col("clauses"))))
+    owned = _owned(read.select("statement", F.inline(C.column_uses(F.col("clauses")))), named)
+    counts = logs.groupBy(_sql().alias("statement")).agg(F.count("*").alias("n"))
+    once = owned.select("statement", "table_name", "column_name", "context").distinct()
+    return once.join(counts, "statement").groupBy("table_name", "column_name", "context").agg(F.sum("n").alias("n"))
+
+
+def nested_join_patterns(logs: DataFrame) -> DataFrame:
+    """``table_name, target_table, join_column, join_count``, seen from both sides: equalities of two qualified columns in join conditions
+    or in WHERE (of comma joins and correlated queries), and the shared columns of USING."""
+    read = scanned(logs)
+    named = stored(read.select("statement", F.inline(C.sources(F.col("clauses")))), "sources")
+    equal = read.select("statement", F.posexplode(C.comparisons(F.col("clauses"), "on", "where")).alias("pair", "p")).where("p.op = '='")
+    equal = equal.select("statement", "pair", "p.query", F.posexplode(F.array("p.left", "p.right")).alias("side", "column"))
+    sides = stored(_owned(equal.where(F.col("column").rlike(r"^\w+\.\w+$")), named), "sides")
+    mine = sides.select("statement", "pair", F.col("table_name"), F.col("column_name").alias("join_column"), "side")
+    other = sides.select("statement", "pair", F.col("table_name").alias("target_table"), (1 - F.col("side")).alias("side"))
+    met = mine.join(other, ["statement", "pair", "side"]).select("statement", "table_name", "target_table", "join_column")
+    tied = read.select("statement", F.inline(C.all_joins(F.col("clauses")))).where("how = 'USING'")
+    first = read.select("statement", F.explode("clauses").alias("r")).where("r.what = 'from'").select(
+        "statement", "r.query", F.regexp_extract("r.left", r"(?U)^(?:\w+\.)*([A-Za-z_]\w*)", 1).alias("main")).where("main <> ''")
+    shared = tied.join(first, ["statement", "query"]).select("statement", "main", "table", F.explode("shared").alias("join_column"))
+    both = shared.select("statement", F.inline(F.array(
+        F.struct(F.col("main").alias("table_name"), F.col("table").alias("target_table"), "join_column"),
+        F.struct(F.col("table").alias("table_name"), F.col("main").alias("target_table"), "join_column"))))
+    counts = logs.groupBy(_sql().alias("statement")).agg(F.count("*").alias("n"))
+    return met.unionByName(both).join(counts, "statement").groupBy("table_name", "target_table", "join_column").agg(F.sum("n").alias("join_count"))

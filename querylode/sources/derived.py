@@ -41,6 +41,22 @@ LOG_COLUMNS = (
     "CASE WHEN event_id % 10 = 0 THEN NULL ELSE 'TPCH' END AS schema_name",
 )
 
+#: Statements with nested SELECTs, every kind of join and operands that are expressions.
+NESTED_TEXT = """CASE event_id % 6
+    WHEN 0 THEN concat('WITH big AS (SELECT o_custkey, SUM(o_totalprice) AS total FROM orders WHERE o_totalprice > ', v, ' GROUP BY o_custkey) ',
+      'SELECT c.c_name, b.total FROM customer c JOIN (SELECT n_nationkey, n_name FROM nation WHERE n_regionkey = ', k, ') n ',
+      'ON c.c_nationkey = n.n_nationkey LEFT JOIN big b USING (o_custkey) WHERE b.total + 1 > ', u)
+    WHEN 1 THEN concat('SELECT s_name FROM supplier WHERE ', k, ' < s_acctbal UNION ALL SELECT p_name AS s_name FROM part WHERE p_size + ', k, ' >= ', u)
+    WHEN 2 THEN concat('SELECT o.o_orderkey FROM orders o, lineitem l WHERE o.o_orderkey = l.l_orderkey ',
+      'AND EXISTS (SELECT 1 FROM customer WHERE c_custkey = o.o_custkey AND c_acctbal <> ', v, ')')
+    WHEN 3 THEN concat('SELECT * FROM nation NATURAL JOIN region CROSS JOIN supplier WHERE n_regionkey IN ',
+      '(SELECT r_regionkey FROM region WHERE r_name = ''O', chr(39), chr(39), event_type, ''')')
+    WHEN 4 THEN concat('SELECT COUNT(DISTINCT user_id) AS users, MAX(value) FROM events e WHERE nvl(max(value), 1) = ', k,
+      ' AND CASE WHEN e.user_id > ', u, ' THEN 1 ELSE 0 END = 1')
+    ELSE concat('INSERT INTO part SELECT p.p_partkey, p_name FROM part p FULL OUTER JOIN lineitem ON p.p_partkey = lineitem.l_partkey ',
+      'AND lineitem.l_quantity > ', k)
+  END AS sql_text"""
+
 QUESTION_COLUMNS = (
     "event_id AS question_id",
     """CASE event_id % 8
@@ -68,6 +84,11 @@ def sql_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rendered(spark, sf_dir).selectExpr(*LOG_COLUMNS)
 
 
+def nested_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One logged statement with nested queries per event: ``sql_id, sql_text``."""
+    return _rendered(spark, sf_dir).selectExpr(LOG_COLUMNS[0], NESTED_TEXT)
+
+
 def profiled_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Logged statements with an execution time (the event value) and a result size (its counter)."""
     return _rendered(spark, sf_dir).selectExpr(

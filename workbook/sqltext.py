@@ -108,6 +108,75 @@ def t10(spark, d):
     return _logs(spark, d, F.array_join(S.select_outputs(_sql()), ",").alias("outputs"))
 
 
+# The nested log's shapes, with what each must yield written out from the event's own values.
+def _expected(columns: str, rows: dict[int, list[tuple[str, ...]]]) -> str:
+    parts = [f"SELECT sql_id, {', '.join(f'{x} AS {c}' for x, c in zip(row, columns.split(', ')))} FROM src WHERE shape = {shape}"
+             for shape, found in rows.items() for row in found]
+    src = f"(SELECT {derived.LOG_COLUMNS[0]}, event_id % 6 AS shape, e, u, v, k, event_type FROM {D._PARTS})"
+    return f"WITH src AS {src} " + " UNION ALL ".join(parts)
+
+
+def _names(columns: str, rows: dict[int, tuple[tuple[str, ...], ...]]) -> str:
+    return _expected(columns, {shape: [tuple(x if x.isdigit() and i == 0 else f"'{x}'" for i, x in enumerate(r)) for r in found] for shape, found in rows.items()})
+
+
+@query("t8_nested_predicates", _expected("query, left_side, op, right_side", {
+    0: [("1", "'o_totalprice'", "'>'", "v"), ("3", "'n_regionkey'", "'='", "k"), ("2", "'b.total + 1'", "'>'", "u")],
+    1: [("1", "k", "'<'", "'s_acctbal'"), ("2", "'p_size + ' || k", "'>='", "u")],
+    2: [("1", "'o.o_orderkey'", "'='", "'l.l_orderkey'"), ("2", "'c_custkey'", "'='", "'o.o_custkey'"), ("2", "'c_acctbal'", "'<>'", "v")],
+    3: [("2", "'r_name'", "'='", "'''O''''' || event_type || ''''")],
+    4: [("1", "'nvl(max(value), 1)'", "'='", "k"), ("1", "'e.user_id'", "'>'", "u"), ("1", "'CASE WHEN e.user_id > ' || u || ' THEN 1 ELSE 0 END'", "'='", "'1'")],
+}))
+def t8_nested(spark, d):
+    found = predicates.nested_predicates(derived.nested_logs(spark, d))
+    return found.select("sql_id", "query", F.col("left").alias("left_side"), "op", F.col("right").alias("right_side"))
+
+
+_SUB = "'(SELECT n_nationkey, n_name FROM nation WHERE n_regionkey = ' || k || ') n'"
+
+
+@query("t9_nested_joins", _expected("query, side, how, table_name, alias, condition, shared", {
+    0: [("2", "'INNER'", "'ON'", _SUB, "'n'", "'c.c_nationkey = n.n_nationkey'", "NULL"), ("2", "'LEFT'", "'USING'", "'big'", "'b'", "NULL", "'o_custkey'")],
+    2: [("1", "'INNER'", "'COMMA'", "'lineitem'", "'l'", "NULL", "NULL")],
+    3: [("1", "'INNER'", "'NATURAL'", "'region'", "NULL", "NULL", "NULL"), ("1", "'INNER'", "'CROSS'", "'supplier'", "NULL", "NULL", "NULL")],
+    5: [("1", "'FULL'", "'ON'", "'lineitem'", "NULL", "'p.p_partkey = lineitem.l_partkey AND lineitem.l_quantity > ' || k", "NULL")],
+}))
+def t9_nested(spark, d):
+    found = predicates.nested_joins(derived.nested_logs(spark, d))
+    return found.select("sql_id", "query", "side", "how", F.col("table").alias("table_name"), "alias", "condition", F.array_join("shared", ",").alias("shared"))
+
+
+@query("t10_nested_outputs", _names("query, name", {
+    0: (("1", "o_custkey"), ("1", "total"), ("2", "c_name"), ("2", "total"), ("3", "n_nationkey"), ("3", "n_name")), 1: (("1", "s_name"), ("2", "s_name")),
+    2: (("1", "o_orderkey"), ("2", "1")), 3: (("1", "*"), ("2", "r_regionkey")), 4: (("1", "users"), ("1", "MAX(value)")), 5: (("1", "p_partkey"), ("1", "p_name")),
+}))
+def t10_nested(spark, d):
+    return predicates.nested_outputs(derived.nested_logs(spark, d)).select("sql_id", "query", "name")
+
+
+@query("d8_nested_uses", "SELECT table_name, column_name, context, CAST(count(*) AS BIGINT) AS n FROM (" + _names("table_name, column_name, context", {
+    0: (("orders", "o_custkey", "select"), ("orders", "o_totalprice", "where"), ("customer", "c_name", "select"), ("big", "total", "select"),
+        ("customer", "c_nationkey", "join"), ("nation", "n_nationkey", "select"), ("nation", "n_name", "select"), ("nation", "n_regionkey", "where")),
+    1: (("supplier", "s_name", "select"), ("supplier", "s_acctbal", "where"), ("part", "p_name", "select")),
+    2: (("orders", "o_orderkey", "select"), ("orders", "o_orderkey", "where"), ("lineitem", "l_orderkey", "where"), ("customer", "c_custkey", "where"),
+        ("orders", "o_custkey", "where"), ("customer", "c_acctbal", "where")),
+    3: (("region", "r_regionkey", "select"), ("region", "r_name", "where")), 4: (("events", "user_id", "where"),),
+    5: (("part", "p_partkey", "select"), ("part", "p_partkey", "join"), ("lineitem", "l_partkey", "join"), ("lineitem", "l_quantity", "join")),
+}) + ") GROUP BY ALL")
+def d8_nested(spark, d):
+    return predicates.nested_column_uses(derived.nested_logs(spark, d))
+
+
+@query("d10_nested_joins", "SELECT table_name, target_table, join_column, CAST(count(*) AS BIGINT) AS join_count FROM (" + _names(
+    "table_name, target_table, join_column", {
+        0: (("customer", "big", "o_custkey"), ("big", "customer", "o_custkey")),
+        2: (("orders", "lineitem", "o_orderkey"), ("lineitem", "orders", "l_orderkey")),
+        5: (("part", "lineitem", "p_partkey"), ("lineitem", "part", "l_partkey")),
+    }) + ") GROUP BY ALL")
+def d10_nested(spark, d):
+    return predicates.nested_join_patterns(derived.nested_logs(spark, d))
+
+
 @query("t11_keywords", f"""SELECT doc_id, array_to_string(list_sort(list_distinct({D.keywords('text')})), ' ') AS keywords,
   CAST(len({D.keywords('text')}) AS BIGINT) AS n FROM documents""")
 def t11(spark, d):
