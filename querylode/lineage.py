@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,25 +34,28 @@ def cut(df: DataFrame) -> DataFrame:
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to a columnar table in the shared folder and read it back; for data used several times."""
-    path = f"{shared_dir(df.sparkSession)}/{_STAGES[-1] if _STAGES else ''}{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return _written(df, f"{_SCRATCH.get()}{name}")
+
 
+#: The folder, inside the shared one, that the code running now stores in; of its own in every thread and every ``scratch`` block.
+_SCRATCH: ContextVar[str] = ContextVar("scratch", default="")
 
-#: Folders, inside the shared one, of the stages begun so far; the last is written to.
-_STAGES: list[str] = []
+
+def _written(df: DataFrame, name: str) -> DataFrame:
+    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def begin_stage(docs: DataFrame) -> None:
-    """Start a stage of a pipeline whose input ``docs`` has been written and read again: what earlier stages stored goes, unless
-    ``docs`` still reads it."""
-    spark = docs.sparkSession
-    top = shared_dir(spark)
-    read = docs.inputFiles()
-    for stage in list(_STAGES):
-        if any(f"/{stage}" in f for f in read):
-            continue
-        path = spark._jvm.org.apache.hadoop.fs.Path(f"{top}/{stage}")
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """What is stored inside the block goes at its end, except for what the function it yields stores: results that outlive the block
+    must rest on such tables or on the block's inputs alone."""
+    name, outer = f"scratch-{uuid.uuid4().hex}/", _SCRATCH.get()
+    mine = _SCRATCH.set(name)
+    try:
+        yield lambda df, kept: _written(df, f"{outer}{kept}")
+    finally:
+        _SCRATCH.reset(mine)
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/{name}")
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-        _STAGES.remove(stage)
-    _STAGES.append(f"stage-{uuid.uuid4().hex}/")
