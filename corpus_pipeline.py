@@ -1,7 +1,7 @@
 """From raw documents to packed sequences: stages applied in order, each written and read again.
 
-Every stage but the last returns the columns of ``documents`` and works on all that its predecessor kept. A stage expects its input
-written and read again; by then what the stage before has stored on its way is not needed any more, and goes.
+Every stage but the last returns the columns of ``documents`` and works on all that its predecessor kept. What a stage stores on its way
+goes before it returns; its result rests on its input and on a small table of decisions.
 """
 
 from __future__ import annotations
@@ -17,31 +17,26 @@ from querylode.llm import common, exact_dedup, mixing, ngram_join, packing, quer
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score 0.5 or more for toxicity go; the labels teach the score."""
-    lineage.begin_stage(docs)
     return toxicity.drop_toxic(docs, common.table(spark, sf_dir, "labels"))
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each text stays, the one of smallest doc_id."""
-    lineage.begin_stage(docs)
     return exact_dedup.drop_copies(docs)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group stays: five-word shingles at a similarity of 0.8, linked in any number of steps."""
-    lineage.begin_stage(docs)
     return ngram_join.keep_one(docs, size=5, percent=80)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix draws them: not at all, once or twice."""
-    lineage.begin_stage(docs)
     return mixing.mixed_documents(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of sequences; a document drawn twice is packed twice."""
-    lineage.begin_stage(docs)
     return packing.pack_documents(docs, queries.vocabulary(), end=0)
 
 

@@ -24,7 +24,7 @@ _ODD_SPACES = ("  ", " \n", "\n\n", *"\t\r\x0b\x0c\x1c\x1d\x1e\x1f")
 COMMA, STOP, BREAK, BARE = "\x01", "\x02", "\x03", "\x04"
 _WIDE_SPACES = "\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 _ODD_STOP = re.compile(r"[,.](?<![^\W_][,.])(?=[ \n])")
-_ENCODERS: dict[str, "Encoder"] = {}
+_ENCODERS: dict[tuple[str, bool], "Encoder"] = {}
 
 
 class _Pieces(dict):
@@ -40,9 +40,12 @@ class _Pieces(dict):
 
 
 class Encoder:
-    def __init__(self, path: str, pieces: int = PIECES) -> None:
+    """Strings of special tokens inside texts are those tokens, as in the library; with ``plain`` they are ordinary text."""
+
+    def __init__(self, path: str, pieces: int = PIECES, plain: bool = False) -> None:
         from tokenizers import Tokenizer
 
+        self.plain = plain
         self.tokenizer = Tokenizer.from_file(path)
         self.mark_id, self.mark = next((i, t.content) for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special)
         self.limit = pieces
@@ -94,7 +97,7 @@ class Encoder:
         texts = [p[1:] if p[:1] == BARE else marks.get(p) or " " + p for p in new]
         # Joined by the special token, whose id parts their ids again; a piece that holds its string is encoded alone.
         own = [i for i, t in enumerate(texts) if self.mark in t]
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = self.plain
         found = [self.tokenizer.encode(texts[i], add_special_tokens=False).ids for i in own]
         self.tokenizer.encode_special_tokens = False
         for i in own:
@@ -136,11 +139,11 @@ class Encoder:
         return ids, offsets + np.arange(len(offsets))
 
 
-def encoder(path: str) -> Encoder:
-    """One encoder per worker and vocabulary."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+def encoder(path: str, plain: bool = False) -> Encoder:
+    """One encoder per worker, vocabulary and reading of special strings."""
+    if (path, plain) not in _ENCODERS:
+        _ENCODERS[path, plain] = Encoder(path, plain=plain)
+    return _ENCODERS[path, plain]
 
 
 def slices(texts: pa.Array, size: int = 1 << 21) -> Iterator[tuple[int, list[str]]]:

@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from querylode import lineage
+from querylode import lineage, sizing
 from querylode.llm import common
 
 
@@ -24,14 +24,15 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(text, common.SPACES, " ")
 
 
-def exact_dedup(docs: DataFrame, hashed: Callable[[Column], Column] = content_hash) -> DataFrame:
+def exact_dedup(docs: DataFrame, hashed: Callable[[Column], Column] = content_hash, row: Column | None = None) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, row, keep_id, group_size, kept, text_sha256.
 
     Null texts count as empty and join the group of the empty text. Of rows that repeat a doc_id as well, one stays; which one
-    does not matter, since both are the same. ``row`` tells such rows apart. A null doc_id ranks before all others. Other columns
-    of ``docs`` are ignored. An empty table gives an empty result.
+    does not matter, since both are the same. ``row`` tells such rows apart: a number, unless the caller has a key of its own, by which
+    equal rows are kept or dropped together. A null doc_id ranks before all others. Other columns of ``docs`` are ignored. An empty
+    table gives an empty result.
     """
-    row = F.col("_row") if "_row" in docs.columns else F.monotonically_increasing_id()
+    row = F.monotonically_increasing_id() if row is None else row
     rows = docs.select("doc_id", row.alias("row"), normalised(common.text_of()).alias("norm"))
     rows = rows.select("doc_id", "row", "norm", hashed(F.col("norm")).alias("hash"))
     ids = lineage.stored(rows.select("doc_id", "row", "hash"), "content-hashes")
@@ -53,8 +54,23 @@ def exact_dedup(docs: DataFrame, hashed: Callable[[Column], Column] = content_ha
 
 
 def drop_copies(docs: DataFrame) -> DataFrame:
-    """``docs`` without the rows that repeat an earlier text; all columns stay. The numbered rows are stored first, so that every pass
-    sees the same numbers."""
-    rows = lineage.stored(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
-    kept = exact_dedup(rows).where("kept").select(F.col("row").alias("_row"))
-    return rows.join(kept, "_row", "left_semi").drop("_row")
+    """``docs`` without the rows that repeat an earlier text; all columns stay. Of rows that repeat doc_id and text one stays, of rows
+    that repeat doc_id and normalised text the one of least text hash.
+
+    Rows are told apart by the hash of doc_id and text, so that the table need not be numbered and stored; what goes, and which kept
+    rows are repeated, are small tables in most corpora, and texts move only where they are not.
+    """
+    key = F.xxhash64(F.col("doc_id"), common.text_of())
+    with lineage.scratch(docs.sparkSession) as keep:
+        judged = exact_dedup(docs.select("doc_id", "text"), row=key)
+        rows = keep(judged.groupBy(F.col("row").alias("_key"), F.col("doc_id").alias("_id"), "kept").agg(F.count("*").alias("n")).where("not kept or n > 1"), "copies")
+    mine = [F.col("_key"), F.col("_id")]
+    left = docs.select(F.struct(*docs.columns).alias("doc"), key.alias("key"), F.col("doc_id").alias("id"))
+    same = (F.col("key") == F.col("_key")) & F.col("id").eqNullSafe(F.col("_id"))
+    gone, twice = sizing.small_side(rows.where("not kept").select(*mine)), sizing.small_side(rows.where("kept").select(*mine))
+    left = left.join(gone, same, "left_anti")
+    once = left.join(twice, same, "left_anti").select("doc.*")
+    if rows.where("kept").isEmpty():
+        return once
+    several = left.join(twice, same, "left_semi").dropDuplicates(["key", "id"])
+    return once.unionByName(several.select("doc.*"))

@@ -200,8 +200,9 @@ def mixed_documents(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share
     A shard is spread over tasks by position, so that shards may be large; within a task rows stand in (shard, position) order. Texts
     move once, to their shards.
     """
-    plan = _plan(lineage.stored(sized(docs, seed), "sized"), weights, share, shards, seed)
-    drawn = _drawn(sized(docs, seed, F.struct("*").alias("doc")), plan, seed)
+    with lineage.scratch(docs.sparkSession) as keep:
+        plan = keep(_plan(lineage.stored(sized(docs, seed), "sized"), weights, share, shards, seed), "mixing-plan")
+    drawn = _drawn(sized(docs, seed, F.struct("*").alias("doc")), sizing.small_side(plan), seed)
     spread = max(8, -(-int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) // shards))
     placed = drawn.select("doc", F.explode("draws").alias("draw")).repartition(F.col("draw.shard"), F.pmod(F.col("draw.position"), F.lit(spread)))
     return placed.sortWithinPartitions("draw.shard", "draw.position").select("doc.*")

@@ -26,6 +26,8 @@ from querylode import lineage, sizing
 from querylode.llm import common, encoding, shingles
 from querylode.operators import neardup
 
+#: Bytes of text whose words are hashed at a time; the arrays in between take 50 times as much.
+SLICE = 1 << 19
 #: Parts of the hash range whose tokens are counted per set: sets that differ by d tokens differ by at most d in these counts.
 PARTS = 64
 
@@ -48,7 +50,7 @@ def _sets(size: int, percent: int, whole: bool):
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             doc_ids = batch.column("doc_id").to_pylist()
-            for first, texts in encoding.slices(batch.column("text")):
+            for first, texts in encoding.slices(batch.column("text"), SLICE):
                 found = shingles.shingle_sets(texts, size)
                 ids = [int.from_bytes(shingles.fingerprint(s)[:8], "little", signed=True) for s in found]
                 kept = []
@@ -87,15 +89,15 @@ def _compared(percent: int):
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            left, right, passed = [], [], 0
-            for a, b, x, y in zip(*[batch.column(c).to_pylist() for c in ("a", "b", "a_tokens", "b_tokens")]):
-                x, y = np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")
+            left, right = [], []
+            for a, b, x, y in zip(*[batch.column(c) for c in ("a", "b", "a_tokens", "b_tokens")]):
+                x, y = np.frombuffer(x.as_buffer(), "<u8"), np.frombuffer(y.as_buffer(), "<u8")
                 p, q = len(x) - _least(len(x), percent) + 1, len(y) - _least(len(y), percent) + 1
                 if not (np.isin(x[:p], y[:q]).any() and np.isin(x[-p:], y[-q:]).any()):
                     continue
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 if 100 * both >= percent * (len(x) + len(y) - both):
-                    left.append(a), right.append(b)
+                    left.append(a.as_py()), right.append(b.as_py())
             yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
 
     return compare
@@ -236,8 +238,9 @@ def keep_one(docs: DataFrame, size: int = 3, percent: int = 90) -> DataFrame:
 
     Rows are judged one by one: of rows that share a doc_id only those go whose own text has a copy of smaller doc_id.
     """
-    found = _components(docs.select("doc_id", "text"), size, percent)
-    gone = found.where("component_id <> doc_id").select(F.col("row").alias("_row"), F.col("doc_id").alias("_doc_id")).distinct()
-    keyed = docs.withColumn("_row", _row())
-    left = keyed.join(gone, (keyed["_row"] == gone["_row"]) & (keyed["doc_id"] == gone["_doc_id"]), "left_anti")
-    return left.select(*docs.columns)
+    with lineage.scratch(docs.sparkSession) as keep:
+        found = _components(docs.select("doc_id", "text"), size, percent)
+        gone = keep(found.where("component_id <> doc_id").select(F.col("row").alias("_row"), F.col("doc_id").alias("_id")).distinct(), "near-copies")
+    keyed = docs.select(F.struct(*docs.columns).alias("doc"), _row().alias("row"), F.col("doc_id").alias("id"))
+    left = keyed.join(sizing.small_side(gone), (F.col("row") == F.col("_row")) & (F.col("id") == F.col("_id")), "left_anti")
+    return left.select("doc.*")

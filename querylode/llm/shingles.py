@@ -24,7 +24,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     if len(_POWERS.get("up", ())) < n:
-        size = max(n, 1 << 21)
+        size = max(n, 1 << 20)
         for name, base in (("up", _MULTIPLIER), ("down", _INVERSE)):
             row = np.full(size, base)
             row[0] = 1

@@ -10,6 +10,7 @@ scored as they are. Weights of words and of word beginnings are learned from lab
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 from collections import Counter
@@ -44,7 +45,7 @@ _EDGES = ".,;:!?\"'`()[]{}<>#%&*|$~^=+-_/\\…«»“”‘’¿¡"
 #: Those that imitate no letter.
 _OUTER = "".join(c for c in _EDGES if c not in LEET)
 _CLEAN = re.compile(r"[^\W\d_]+")
-_RUN = re.compile(r"(.)\1")
+_RUN = re.compile(r"(.)\1+")
 _RUNS = re.compile(r"(.)\1*", re.DOTALL)
 #: Three tokens in a row or more of one or two runs of a character each.
 _PIECE = r"(\S)\{0}*+(?:(\S)\{1}*+)?+"
@@ -172,15 +173,37 @@ def spelled(run: str, model) -> set[str]:
     return {w for cost in (0.0, DROP_COST) for w in _cheapest(_gapped(run, cost), model).split() if len(w) > 1}
 
 
-class Reader:
-    """Words of a text as they are meant: cleaned, restored where disguised; remembers what it has read, up to a bound."""
+def _class(char: str) -> int:
+    return _TABLE[min(ord(char), 0x180)] if char else 0
+
 
-    def __init__(self, model: np.ndarray, bound: int = 150_000) -> None:
-        self.model, self.bound, self.known = model.tolist(), bound, {}
+class Reader:
+    """Words of a text as they are meant: cleaned, restored where disguised. It remembers what it has read: words of the last
+    ``bound`` / 2 to ``bound`` distinct ones, and those among older ones that came up again."""
+
+    def __init__(self, model: np.ndarray, bound: int = 100_000) -> None:
+        self.model, self.bound, self.known, self.older = model.tolist(), bound, {}, {}
+
+    def _doubled(self, word: str, runs: list[re.Match]) -> str | None:
+        """The cheapest path through a word of letters with a few letters twice, each run by itself: once the next single letter is read,
+        both paths are in the same state. None if runs touch or are longer."""
+        out, at = [], 0
+        for run, after in zip(runs, [*runs[1:], None]):
+            start, stop = run.span()
+            if stop - start != 2 or after and after.start() == stop:
+                return None
+            b, c, d = _class(word[start - 1 : start] if start else ""), _class(word[start]), _class(word[stop : stop + 1])
+            twice = self.model[b][c][c] + self.model[c][c][d] <= DOUBLE_COST + self.model[b][c][d]
+            out.append(word[at : stop if twice else start + 1])
+            at = stop
+        return "".join(out) + word[at:]
 
     def word(self, raw: str) -> str | None:
         """The cheapest reading of ``raw``; signs at its edges that imitate letters may be letters as well."""
         whole = raw.strip(_OUTER)
+        if whole.isalpha():
+            runs = list(_RUN.finditer(whole))
+            return whole if not runs else self._doubled(whole, runs) or restore(whole, self.model)
         if _CLEAN.fullmatch(whole) and not _RUN.search(whole):
             return whole
         if not any(c.isalpha() for c in whole):
@@ -189,6 +212,8 @@ class Reader:
 
     def read(self, raw: str) -> tuple[str, ...]:
         """What ``raw`` may mean: its cheapest reading, and with signs at its edges those in which all of them are letters or none is."""
+        if raw.isalpha() and not _RUN.search(raw):
+            return (raw,)
         meant, plain, whole = self.word(raw), raw.strip(_EDGES), raw.strip(_OUTER)
         found = [meant, plain if _CLEAN.fullmatch(plain) else None]
         if plain and whole != plain and meant:
@@ -200,19 +225,33 @@ class Reader:
 
     def words(self, text: str) -> set[str]:
         """Distinct restored words; short fragments in a row also give the words they spell."""
-        lower, known = text.lower(), self.known
-        if len(known) > self.bound:
-            known.clear()
+        lower = text.lower()
+        if 2 * len(self.known) > self.bound:
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
         found: set[str] = set()
         for raw in set(lower.split()):
-            if raw not in known:
-                known[raw] = self.read(raw)
-            found.update(known[raw])
+            meant = known.get(raw)
+            if meant is None:
+                meant = known[raw] = older.get(raw) or self.read(raw)
+            found.update(meant)
         for run in _SPACED.finditer(lower):
             found.update(spelled(run[0], self.model))
         return found
 
 
+_READERS: dict[bytes, Reader] = {}
+
+
+def reader_of(model: np.ndarray) -> Reader:
+    """One reader per worker: what one task has read serves the next ones and the other passes. A new model replaces it."""
+    key = hashlib.blake2b(model.tobytes(), digest_size=16).digest()
+    if key not in _READERS:
+        _READERS.clear()
+        _READERS[key] = Reader(model)
+    return _READERS[key]
+
+
 def features(word: str) -> tuple[str, ...]:
     """The word, and its beginnings of four to seven letters, which inflected words share."""
     return (f"={word}",) + tuple(f"^{word[:n]}" for n in (4, 5, 6, 7) if len(word) >= n)
@@ -220,7 +259,7 @@ def features(word: str) -> tuple[str, ...]:
 
 def _evidence(model: np.ndarray):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader, seen = Reader(model), {0: Counter(), 1: Counter()}
+        reader, seen = reader_of(model), {0: Counter(), 1: Counter()}
         for batch in batches:
             labels = batch.column("toxic").to_pylist()
             for first, texts in encoding.slices(batch.column("text")):
@@ -282,7 +321,7 @@ def _summary(words: set[str], known: dict[str, tuple[int, int]], values: dict[st
 
 def _training(model: np.ndarray, known: dict[str, tuple[int, int]]):
     def summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader, values = Reader(model), {}
+        reader, values = reader_of(model), {}
         for batch in batches:
             labels, out = batch.column("toxic").to_pylist(), []
             for first, texts in encoding.slices(batch.column("text")):
@@ -313,7 +352,7 @@ class Scorer:
     """Scores of texts; one per task, since it remembers words."""
 
     def __init__(self, model: np.ndarray, known: dict[str, tuple[int, int]], beta: np.ndarray) -> None:
-        self.reader, self.beta, self.values = Reader(model), beta, {}
+        self.reader, self.beta, self.values = reader_of(model), beta, {}
         self.known = {f: c for f, c in known.items() if f}
 
     def scores(self, column: pa.Array) -> np.ndarray:
@@ -364,7 +403,8 @@ def score(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> DataF
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
     """``docs`` without the rows that score ``threshold`` or more; all columns stay. Rows are judged one by one where they stand."""
-    parts = fitted(docs, labels)
+    with lineage.scratch(docs.sparkSession):
+        parts = fitted(docs, labels)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(*parts)

@@ -18,7 +18,7 @@ def odd_docs(spark):
     from pyspark.sql import functions as F
 
     df = spark.createDataFrame(rows, DOCS)
-    for name in ("row", "hash", "norm", "score", "size", "token", "set", "target", "label", "toxic", "key", "block", "words"):
+    for name in ("row", "hash", "norm", "score", "size", "token", "set", "target", "label", "toxic", "key", "block", "words", "_row", "_key", "_id", "id", "doc"):
         df = df.withColumn(name, F.lit("clash"))
     return df.cache()
 

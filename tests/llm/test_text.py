@@ -178,6 +178,28 @@ def test_signs_and_doubled_letters_are_scored(spark, disguised):
     assert rows == {5000: 1, 5001: 1, 5002: 1, 5003: 1, 5004: 0}
 
 
+def test_doubled_letters_are_read_like_the_lattice(disguised):
+    """The short way through words of letters with isolated doubled ones against the cheapest path of the whole lattice."""
+    model = toxicity.language_model(disguised[0])
+    reader, rng = toxicity.Reader(model), np.random.default_rng(3)
+    words = ["".join(c * int(rng.choice([1, 1, 1, 2])) for c in rng.choice(list("aeioustlrnéxzß"), rng.integers(1, 9))) for _ in range(3000)]
+    short = 0
+    for w in words:
+        runs = list(toxicity._RUN.finditer(w))
+        found = reader._doubled(w, runs) if runs else None
+        short += found is not None
+        assert found in (None, toxicity.restore(w, model)), w
+    assert short > 500
+
+
+def test_a_reader_forgets_without_changing_its_mind(disguised):
+    model = toxicity.language_model(disguised[0])
+    small, large = toxicity.Reader(model, bound=8), toxicity.Reader(model)
+    texts = [r.text for r in disguised[0].limit(60).collect()]
+    assert [small.words(t) for t in texts * 2] == [large.words(t) for t in texts * 2]
+    assert toxicity.reader_of(model) is toxicity.reader_of(model.copy())
+
+
 def test_spaced_and_long_words_pass_the_reader(disguised):
     docs, _ = disguised
     more = docs.unionByName(docs.sparkSession.createDataFrame([(1000 + i, "you see a stupid tree") for i in range(60)], docs.schema))

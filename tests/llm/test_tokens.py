@@ -12,20 +12,30 @@ from tokenizers import Tokenizer
 from querylode.llm import encoding, frames, packing, token_files
 
 HARD = [
-    "", " ", "  ", "a  b", "a   b", " a", "a ", "\n\n x", "x \n y", "a\xa0 b", "it's  'll don't", "\t\tx  \r\n y", "<|endoftext|> x", "a<|endoftext|>b c",
+    "", " ", "  ", "a  b", "a   b", " a", "a ", "\n\n x", "x \n y", "a\xa0 b", "it's  'll don't", "\t\tx  \r\n y", "<|endoftext|> x", "a<|endoftext|>b c", "x <|endoftext|>, y. <|endoftext|>\n<|endoftext|> z", "<|endoftext|><|endoftext|>",
     "\x01 a \x02b", "a \x1cb", "x \x85 y", " 　 q", "1 2  3   4", "a, b. c,\nd.\ne, ", "!!, x", "a , b", "_, x", "²., x", "a.\n\nb", "a\n\n\nb", ", a", "é, è. 9, x.",
 ]
 
 
 @pytest.fixture(scope="module")
 def plain(vocabulary):
+    """The library as it comes: strings of special tokens are those tokens."""
     tokenizer = Tokenizer.from_file(vocabulary)
-    tokenizer.encode_special_tokens = True
     return lambda text: np.array(tokenizer.encode(text or "", add_special_tokens=False).ids, "<u4")
 
 
-def test_pieces_give_the_ids_of_whole_texts(vocabulary, plain):
-    coder = encoding.Encoder(vocabulary, pieces=20)  # forgets again and again
+def test_special_strings(vocabulary, plain):
+    assert plain("<|endoftext|> a").tolist() == encoding.Encoder(vocabulary).encode(["<|endoftext|> a"])[0].tolist()
+    assert 50256 in plain("x<|endoftext|>, y") and 50256 not in encoding.Encoder(vocabulary, plain=True).encode(["x<|endoftext|>, y"])[0]
+
+
+@pytest.mark.parametrize("as_text", [False, True])
+def test_pieces_give_the_ids_of_whole_texts(vocabulary, plain, as_text):
+    if as_text:
+        tokenizer = Tokenizer.from_file(vocabulary)
+        tokenizer.encode_special_tokens = True
+        plain = lambda text: np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+    coder = encoding.Encoder(vocabulary, pieces=20, plain=as_text)  # forgets again and again
     for _ in range(3):
         ids, offsets = coder.encode(HARD, end=7)
         for i, text in enumerate(HARD):
