@@ -4,8 +4,9 @@ Inputs
     questions  ``question_id, question``
     tables     ``table_name, description, purpose, pos`` (``pos`` is the catalogue order and breaks ties)
     columns    ``table_name, column_name, description, pos``
-Every linker returns ``question_id, table_name, score, rank`` for the best tables; scores keep all tables, so a
-question whose words match nothing still ranks the catalogue in its order.
+Every linker returns ``question_id, table_name, score, rank`` for the best tables; a question whose words match nothing still ranks the
+catalogue in its order. Only candidates are scored: tables that matched, were boosted or drafted, and the first k of the catalogue's
+order, because a table that nothing speaks for is among the best k only if fewer than k tables stand before it.
 
 Questions repeat, so keywords are matched once per distinct keyword and scored once per distinct keyword set.  Weights
 are counted in hundredths: integer sums do not depend on the order of addition.
@@ -83,22 +84,30 @@ def keyword_weights(words: DataFrame, tables: DataFrame, columns: DataFrame | No
 
 
 def match_scores(set_words: DataFrame, tables: DataFrame, columns: DataFrame | None, weights: dict[str, int],
-                 cap: bool = True) -> DataFrame:
-    """``set_id, table_name, score`` of keyword sets that match a table; capped at 1 unless told otherwise."""
-    per_word = stored(keyword_weights(set_words, tables, columns, weights), "weights")
+                 cap: bool = True, per_word: DataFrame | None = None) -> DataFrame:
+    """``set_id, table_name, score`` of keyword sets that match a table; capped at 1 unless told otherwise. ``per_word`` are the words'
+    weights where they are known already."""
+    per_word = stored(keyword_weights(set_words, tables, columns, weights), "weights") if per_word is None else per_word
     points = set_words.join(small_side(per_word), "keyword").groupBy("set_id", "table_name").agg(F.sum("points").alias("points"))
     score = F.col("points") / 100
     return points.select("set_id", "table_name", (F.least(score, F.lit(1.0)) if cap else score).alias("score"))
 
 
-def every_table(sets: DataFrame, tables: DataFrame, scores: DataFrame) -> DataFrame:
-    """All tables for each distinct keyword set, 0 where nothing matched: ``set_id, table_name, pos, score``.
+def candidates(sets: DataFrame, tables: DataFrame, scores: DataFrame, k: int, prior: Column | None = None, others: DataFrame | None = None) -> DataFrame:
+    """What can be among the best ``k`` tables of a set: ``set_id, table_name, pos, score``.
 
-    The catalogue is bounded, so it is attached to each set as an array instead of being crossed.
+    ``scores`` and ``others`` (``set_id, table_name``) name tables with something to say; the first ``k`` of the catalogue join them with
+    score 0. ``prior`` is what a table is worth to every set, and orders those first ``k``. Tables outside the catalogue are left out.
     """
-    listed = tables.agg(F.collect_list(F.struct("table_name", "pos")).alias("all")).scalar()
-    rows = sets.select("set_id").distinct().select("set_id", listed.alias("all")).select("set_id", F.inline("all"))
-    return rows.join(scores, ["set_id", "table_name"], "left").withColumn("score", F.coalesce("score", F.lit(0.0)))
+    worth = F.lit(0.0) if prior is None else prior
+    known = tables.select("table_name", "pos", worth.alias("_prior"))
+    head = [r["table_name"] for r in known.orderBy(F.desc("_prior"), "pos").limit(k).collect()]
+    listed = F.array(*map(F.lit, head)).cast("array<string>")
+    named = sets.select("set_id").distinct().select("set_id", F.explode(listed).alias("table_name")).unionByName(scores.select("set_id", "table_name"))
+    if others is not None:
+        named = named.unionByName(others.select("set_id", "table_name"))
+    rows = named.distinct().join(scores, ["set_id", "table_name"], "left").join(small_side(known), "table_name")
+    return rows.select("set_id", "table_name", "pos", (F.coalesce("score", F.lit(0.0)) + F.col("_prior")).alias("score"))
 
 
 def ranked(scores: DataFrame, k: int) -> DataFrame:
@@ -177,14 +186,18 @@ def similar_logs(set_words: DataFrame, logs: DataFrame, k: int = 3) -> DataFrame
 # --- linkers -------------------------------------------------------------------------------------------
 
 def forward_scores(set_words: DataFrame, tables: DataFrame, columns: DataFrame, glossary: DataFrame) -> DataFrame:
-    words = stored(expanded(set_words, synonyms(set_words, glossary)), "expanded")
-    return match_scores(words, tables, columns, FORWARD)
+    """Distinct keywords and synonyms meet the catalogue first; only synonyms that match a table are handed to the sets."""
+    found = stored(synonyms(set_words, glossary), "synonyms")
+    every = set_words.select("keyword").unionByName(found.select(F.col("synonym").alias("keyword"))).distinct()
+    per_word = stored(keyword_weights(every, tables, columns, FORWARD), "weights")
+    useful = found.join(small_side(per_word.select(F.col("keyword").alias("synonym")).distinct()), "synonym", "left_semi")
+    return match_scores(expanded(set_words, useful), tables, columns, FORWARD, per_word=per_word)
 
 
 def link_forward(questions: DataFrame, tables: DataFrame, columns: DataFrame, glossary: DataFrame, k: int = 5) -> DataFrame:
     sets = stored(keyword_sets(questions), "sets")
-    scores = forward_scores(stored(distinct_sets(sets), "keywords"), tables, columns, glossary)
-    return per_question(sets, ranked(every_table(sets, tables, scores), k))
+    scores = stored(forward_scores(stored(distinct_sets(sets), "keywords"), tables, columns, glossary), "scores")
+    return per_question(sets, ranked(candidates(sets, tables, scores, k), k))
 
 
 def draft_tables(set_words: DataFrame, sets: DataFrame, tables: DataFrame, edges: DataFrame,
@@ -195,18 +208,19 @@ def draft_tables(set_words: DataFrame, sets: DataFrame, tables: DataFrame, edges
     is the main table, the next two are joined if they share a column with it (the smallest name).  Without a match
     the first (allowed) table alone.
     """
-    hits = match_scores(set_words, tables, None, SEEDS).select("set_id", "table_name").withColumn("hit", F.lit(1))
-    rows = every_table(sets, tables, hits.withColumn("score", F.lit(1.0)).drop("hit"))
-    if allowed is not None:
-        rows = rows.join(allowed.select("set_id", "table_name"), ["set_id", "table_name"], "left_semi")
+    hits = stored(match_scores(set_words, tables, None, SEEDS).select("set_id", "table_name", F.lit(1.0).alias("score")), "hits")
+    if allowed is None:
+        rows = candidates(sets, tables, hits, 1)
+    else:
+        rows = allowed.select("set_id", "table_name").join(hits, ["set_id", "table_name"], "left").fillna(0.0, ["score"]).join(
+            small_side(tables.select("table_name", "pos")), "table_name")
     # Matches first, then catalogue order; unmatched rows only serve as the fallback.
-    order = F.struct(-F.col("score"), F.col("pos"))
-    main = first_per_key(rows.withColumn("o", order), ["set_id"], "o").select("set_id", F.col("table_name").alias("main"))
     chosen = top_k(rows, ["set_id"], [F.desc("score"), F.asc("pos")], 3, "at").filter((F.col("score") > 0) | (F.col("at") == 1))
-    chosen = chosen.select("set_id", "table_name", "at").join(main, "set_id")
+    chosen = stored(chosen.select("set_id", "table_name", "at"), "drafted")
+    main = chosen.filter("at = 1").select("set_id", F.col("table_name").alias("main"))
     shared = joinability.both_ways(edges).select(F.col("table_a").alias("main"), F.col("table_b").alias("table_name"),
                                                  F.element_at("join_columns", 1).alias("join_column"))
-    return chosen.join(F.broadcast(shared), ["main", "table_name"], "left").filter(
+    return chosen.join(main, "set_id").join(small_side(shared), ["main", "table_name"], "left").filter(
         (F.col("at") == 1) | F.col("join_column").isNotNull())
 
 
@@ -229,12 +243,12 @@ def link_bidirectional(questions: DataFrame, tables: DataFrame, columns: DataFra
     and adds a bonus to the tables found."""
     sets = stored(keyword_sets(questions), "sets")
     words = stored(distinct_sets(sets), "keywords")
-    forward = every_table(sets, tables, forward_scores(words, tables, columns, glossary))
-    drafted = draft_tables(words, sets, tables, edges).select("set_id", "table_name").withColumn("drafted", F.lit(1.0))
-    mixed = forward.join(drafted, ["set_id", "table_name"], "left").withColumn(
+    drafted = stored(draft_tables(words, sets, tables, edges).select("set_id", "table_name"), "draft")
+    forward = candidates(sets, tables, stored(forward_scores(words, tables, columns, glossary), "scores"), k + 2, others=drafted)
+    mixed = forward.join(drafted.withColumn("drafted", F.lit(1.0)), ["set_id", "table_name"], "left").withColumn(
         "score", forward_weight * F.col("score") + (1 - forward_weight) * F.coalesce("drafted", F.lit(0.0))).drop("drafted")
     if refine:
-        mixed = stored(mixed, "scores")
+        mixed = stored(mixed, "mixed")
         best = ranked(mixed, k + 2)
         again = draft_tables(words, sets, tables, edges, best).select("set_id", "table_name").withColumn("again", F.lit(BACKWARD_BONUS))
         mixed = mixed.join(again, ["set_id", "table_name"], "left").withColumn(
@@ -245,12 +259,14 @@ def link_bidirectional(questions: DataFrame, tables: DataFrame, columns: DataFra
 def link_joinability(questions: DataFrame, tables: DataFrame, edges: DataFrame, k: int = 5, seeds: int = 3) -> DataFrame:
     """Seed tables by keyword, boosted neighbours, scaled to the best score of the question."""
     sets = stored(keyword_sets(questions), "sets")
-    seed = every_table(sets, tables, match_scores(stored(distinct_sets(sets), "keywords"), tables, None, SEEDS, cap=False))
-    best = top_k(seed, ["set_id"], [F.desc("score"), F.asc("pos")], seeds).filter((F.col("score") > 0) | (F.col("rank") == 1))
+    seed = stored(match_scores(stored(distinct_sets(sets), "keywords"), tables, None, SEEDS, cap=False), "seed")
+    first = top_k(candidates(sets, tables, seed, 1), ["set_id"], [F.desc("score"), F.asc("pos")], seeds)
+    best = first.filter((F.col("score") > 0) | (F.col("rank") == 1))
     around = joinability.neighbours(edges).select("table_name", "other", F.col("score").alias("join_score"))
-    boost = (best.select("set_id", "table_name").join(F.broadcast(around), "table_name").groupBy("set_id", F.col("other").alias("table_name"))
-             .agg(F.sum(F.col("join_score") * JOIN_SHARE).alias("boost")))
-    total = seed.join(boost, ["set_id", "table_name"], "left").withColumn("score", F.col("score") + F.coalesce("boost", F.lit(0.0)))
+    boost = stored(best.select("set_id", "table_name").join(small_side(around), "table_name").groupBy("set_id", F.col("other").alias("table_name"))
+                   .agg(F.sum(F.col("join_score") * JOIN_SHARE).alias("boost")), "boost")
+    total = stored(candidates(sets, tables, seed, k, others=boost).join(boost, ["set_id", "table_name"], "left").withColumn(
+        "score", F.col("score") + F.coalesce("boost", F.lit(0.0))), "total")
     peak = total.groupBy("set_id").agg(F.max("score").alias("peak"))
     scaled = total.join(peak, "set_id").withColumn(
         "score", F.when(F.col("peak") > 0, F.least(F.col("score") / F.col("peak"), F.lit(1.0))).otherwise(F.col("score")))
@@ -264,11 +280,13 @@ def link_rag(questions: DataFrame, tables: DataFrame, columns: DataFrame, glossa
     words = stored(distinct_sets(sets), "keywords")
     if glossary is not None:
         words = stored(expanded(words, expansions(words, glossary)), "keywords")
-    scores = every_table(sets, tables, match_scores(words, tables, columns, RAG))
-    if logs is not None:
+    matched = stored(match_scores(words, tables, columns, RAG), "scores")
+    if logs is None:
+        scores = candidates(sets, tables, matched, k)
+    else:
         found = similar_logs(words, logs).select("set_id", F.explode("tables").alias("table_name"))
-        bonus = found.groupBy("set_id", "table_name").agg((F.count("*") * LOG_BONUS / 100).alias("bonus"))
-        scores = scores.join(bonus, ["set_id", "table_name"], "left").withColumn(
+        bonus = stored(found.groupBy("set_id", "table_name").agg((F.count("*") * LOG_BONUS / 100).alias("bonus")), "bonus")
+        scores = candidates(sets, tables, matched, k, others=bonus).join(bonus, ["set_id", "table_name"], "left").withColumn(
             "score", F.least(F.col("score") + F.coalesce("bonus", F.lit(0.0)), F.lit(1.0))).drop("bonus")
     return per_question(sets, ranked(scores, k))
 
@@ -278,12 +296,11 @@ def link_purpose(questions: DataFrame, tables: DataFrame, k: int = 5) -> DataFra
     sets = stored(keyword_sets(questions), "sets")
     known = tables.select("table_name", F.explode(F.array_distinct(K.keywords(
         F.concat_ws(" ", "table_name", "description", "purpose")))).alias("keyword"))
-    hits = distinct_sets(sets).join(F.broadcast(known), "keyword").groupBy("set_id", "table_name").agg(F.count("*").alias("n"))
+    hits = distinct_sets(sets).join(small_side(known), "keyword").groupBy("set_id", "table_name").agg(F.count("*").alias("n"))
     sizes = sets.select("set_id", F.greatest(F.size("words"), F.lit(1)).alias("size")).distinct()
     shares = hits.join(sizes, "set_id").select("set_id", "table_name", (F.col("n") / F.col("size")).alias("score"))
-    scores = every_table(sets, tables, shares)
     bonus = F.when(S.table_kind(F.col("table_name")) == "history", HISTORY_BONUS).otherwise(0.0)
-    return per_question(sets, ranked(scores.withColumn("score", F.col("score") + bonus), k))
+    return per_question(sets, ranked(candidates(sets, tables, stored(shares, "shares"), k, prior=bonus), k))
 
 
 def link_binary(questions: DataFrame, tables: DataFrame, k: int = 5, choice: str = "B") -> DataFrame:
@@ -294,10 +311,10 @@ def link_binary(questions: DataFrame, tables: DataFrame, k: int = 5, choice: str
     sets = stored(keyword_sets(questions), "sets")
     words = stored(distinct_sets(sets), "keywords")
     if choice == "B":
-        rows = match_scores(words, tables, None, REFINED, cap=False).join(F.broadcast(tables.select("table_name", "pos")), "table_name")
+        rows = match_scores(words, tables, None, REFINED, cap=False).join(small_side(tables.select("table_name", "pos")), "table_name")
         best = top_k(rows, ["set_id"], [F.desc("score"), F.asc("pos")], min(k, 5))
     else:
-        rows = every_table(sets, tables, match_scores(words, tables, None, SEEDS).withColumn("score", F.lit(1.0)))
+        rows = candidates(sets, tables, stored(match_scores(words, tables, None, SEEDS).withColumn("score", F.lit(1.0)), "scores"), 1)
         best = top_k(rows, ["set_id"], [F.desc("score"), F.asc("pos")], 1)
     score = 1 - (F.col("rank") - 1) * 0.1
     return per_question(sets, best.select("set_id", "table_name", score.alias("score"), "rank"))
@@ -309,15 +326,13 @@ def link_enriched(questions: DataFrame, tables: DataFrame, k: int = 5, notes: Co
     text = F.col("question") if notes is None else notes
     extra = F.concat(K.entities(text), K.topic_keywords(K.topics(text)))
     sets = stored(keyword_sets(questions, extra), "sets")
-    scores = match_scores(stored(distinct_sets(sets), "keywords"), tables, None, ENRICHED)
-    return per_question(sets, ranked(every_table(sets, tables, scores), k))
+    scores = stored(match_scores(stored(distinct_sets(sets), "keywords"), tables, None, ENRICHED), "scores")
+    return per_question(sets, ranked(candidates(sets, tables, scores, k), k))
 
 
-def rerank(scores: DataFrame, set_words: DataFrame, tables: DataFrame) -> DataFrame:
-    """Adds 0.1 per keyword contained in the table name, capped at 1."""
-    boost = match_scores(set_words, tables, None, BOOST, cap=False).withColumnRenamed("score", "boost")
-    return scores.join(boost, ["set_id", "table_name"], "left").withColumn(
-        "score", F.least(F.col("score") + F.coalesce("boost", F.lit(0.0)), F.lit(1.0))).drop("boost")
+def name_boosts(set_words: DataFrame, tables: DataFrame) -> DataFrame:
+    """``set_id, table_name, boost``: 0.1 per keyword contained in the table name."""
+    return match_scores(set_words, tables, None, BOOST, cap=False).withColumnRenamed("score", "boost")
 
 
 def link_hybrid(questions: DataFrame, tables: DataFrame, documents: DataFrame, vector_weight: float = R.VECTOR_WEIGHT,
@@ -332,8 +347,10 @@ def link_hybrid(questions: DataFrame, tables: DataFrame, documents: DataFrame, v
     fused = both.join(peak, "query").select(
         F.col("query").alias("set_id"), F.col("doc").alias("table_name"),
         (vector_weight * F.col("cosine") + (1 - vector_weight) * scaled).alias("score"))
-    scores = every_table(sets, tables, fused)
-    if use_rerank:
-        words = distinct.select("set_id", F.explode(F.array_distinct("words")).alias("keyword"))
-        scores = rerank(scores, words, tables)
+    fused = stored(fused, "fused")
+    if not use_rerank:
+        return per_question(sets, ranked(candidates(sets, tables, fused, k), k))
+    boost = stored(name_boosts(distinct.select("set_id", F.explode(F.array_distinct("words")).alias("keyword")), tables), "boosts")
+    scores = candidates(sets, tables, fused, k, others=boost).join(boost, ["set_id", "table_name"], "left").withColumn(
+        "score", F.least(F.col("score") + F.coalesce("boost", F.lit(0.0)), F.lit(1.0))).drop("boost")
     return per_question(sets, ranked(scores, k))
