@@ -11,6 +11,7 @@ from querylode.sources import catalog, derived, registry_json
 from workbook import duck as D, query
 from workbook.linking import EDGES
 from workbook.registry import _TABLES, JOIN_PATTERNS, REGISTRY
+from workbook.retrieval import BM25, TFIDF, top
 from workbook.sqltext import PREDICATES, rule_case
 
 _COUNTS = "counts AS (" + " UNION ALL ".join(
@@ -104,10 +105,12 @@ _FIRST = f"""firsts AS (SELECT * FROM (SELECT sql_id, exec_count, {D.mask('sql_t
   QUALIFY row_number() OVER (PARTITION BY template_id ORDER BY exec_count DESC, analytic DESC, sql_id) = 1)"""
 
 
-@query("t17_sql_prompts", D.with_(D.LOGS, D.CATALOG, _FIRST) + f"""
-, contexts AS (SELECT t.table_name, chr(10) || '테이블: ' || t.table_name || ' (' || t.description || ')' || chr(10) || '컬럼:' || chr(10)
+_CONTEXTS = """contexts AS (SELECT t.table_name, chr(10) || '테이블: ' || t.table_name || ' (' || t.description || ')' || chr(10) || '컬럼:' || chr(10)
   || string_agg('  - ' || k.column_name || ': ' || k.description, chr(10) ORDER BY k.pos) AS context
-  FROM cat_tables t JOIN cat_columns k USING (table_name) GROUP BY t.table_name, t.description)
+  FROM cat_tables t JOIN cat_columns k USING (table_name) GROUP BY t.table_name, t.description)"""
+
+
+@query("t17_sql_prompts", D.with_(D.LOGS, D.CATALOG, _FIRST, _CONTEXTS) + f"""
 SELECT template_id, '{prompts.CONTEXT_TITLE}' || coalesce(chr(10) || b.blocks, '') || chr(10) || chr(10) || '{prompts.DEFAULT_PROMPT.strip()}' || chr(10) || chr(10) || template_text AS prompt
 FROM firsts LEFT JOIN (SELECT template_id, string_agg(context, chr(10) ORDER BY place) AS blocks FROM (
   SELECT template_id, unnest(tables) AS table_name, generate_subscripts(tables, 1) AS place FROM firsts) JOIN contexts USING (table_name) GROUP BY template_id) b USING (template_id)""")
@@ -210,14 +213,20 @@ def _template_index(spark, d):
     return R.Index(_distinct(spark, d), "template_id", "template_text")
 
 
-@query("d20_stage_routing")
+@query("d20_stage_routing", D.with_(D.LOGS, _FIRST, "questions AS (SELECT DISTINCT lower(sql_text) AS question FROM sql_logs)", TEMPLATE_SEARCH, TFIDF, top("cosine", 1)) + """
+SELECT query, doc, round(coalesce(score, 0), 6) AS score, CASE WHEN round(coalesce(score, 0), 9) >= 0.8 THEN 'template' ELSE 'schema' END AS path
+FROM dq LEFT JOIN ranked USING (query)""")
 def d20(spark, d):
     asked = derived.sql_logs(spark, d).select(F.lower("sql_text").alias("question")).distinct()
     best = R.cosine_search(asked, "question", "question", _template_index(spark, d), 1)
     return R.route(best.select("query", "doc", "score"), questions=asked.select(F.col("question").alias("query"))).withColumn("score", F.round("score", 6))
 
 
-@query("d14_context_assembly")
+@query("d14_context_assembly", D.with_(D.LOGS, D.QUESTIONS, D.CATALOG, _FIRST, TEMPLATE_SEARCH, BM25, top("bm25", 3), _CONTEXTS) + """
+, texts AS (SELECT query, string_agg(template_text, chr(10) ORDER BY rank) AS t FROM ranked JOIN firsts ON doc = template_id GROUP BY query)
+, used AS (SELECT DISTINCT query, unnest(tables) AS table_name FROM ranked JOIN firsts ON doc = template_id)
+, blocks AS (SELECT query, string_agg(context, chr(10) ORDER BY table_name) AS c FROM used JOIN contexts USING (table_name) GROUP BY query)
+SELECT query, concat_ws(chr(10), t, c) AS context FROM dq LEFT JOIN texts USING (query) LEFT JOIN blocks USING (query)""")
 def d14(spark, d):
     found = _distinct(spark, d)
     asked = derived.questions(spark, d).select("question").distinct()

@@ -130,7 +130,17 @@ def d4(spark, d):
     return N.search_before_insert(new, old).withColumn("similarity", F.round("similarity", 6))
 
 
-@query("m3_document_links")
+_DOC_BANDS, _DOC_ROWS = N.bands_and_rows(0.8)
+DOC_LINKS = f"""items AS (SELECT min(doc_id) AS id, text FROM documents WHERE text IS NOT NULL GROUP BY text),
+toks AS (SELECT id, {D.tokens('text')} AS t FROM items),
+shingles AS (SELECT id, list_distinct(list_transform(range(1, greatest(len(t) - 5, 0) + 2), lambda i: array_to_string(t[i : i + 4], ' '))) AS s FROM toks WHERE len(t) > 0),
+{HASHES},
+{SIGNATURES},
+buckets AS (SELECT id, slot // {_DOC_ROWS} AS band, md5(string_agg(CAST(value AS VARCHAR), ',' ORDER BY slot)) AS bucket
+  FROM slots WHERE slot < {_DOC_BANDS * _DOC_ROWS} GROUP BY id, slot // {_DOC_ROWS}), {LINKS}"""
+
+
+@query("m3_document_links", D.with_(DOC_LINKS) + "SELECT id, leader FROM links")
 def m3_documents(spark, d):
     """Near copies among the documents by token shingles."""
     docs = N.distinct_texts(derived.table(spark, d, "documents"), "doc_id", "text")
