@@ -11,12 +11,13 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from querylode.functions import tokens as K
 from querylode.lineage import stored
 from querylode.operators.ordering import top_k
-from querylode.sizing import fits, salted_join
+from querylode.sizing import fits, salted_join, small_side, weighted_join
 
 # BM25 parameters and the fusion weight of the vector score.
 K1, B = 1.5, 0.75
@@ -56,6 +57,20 @@ def bm25_weight(tf: Column, length: Column, mean_length: float) -> Column:
     return tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / mean_length))
 
 
+def weighted(post: DataFrame, frequency: DataFrame, docs: int, mean_length: float) -> DataFrame:
+    """``doc, term, df, cosine, bm25`` of ``postings``, in ranges of (term, doc); ``frequency`` (stored) is ``term, df``. Only terms too
+    frequent for one task are salted."""
+    raw = weighted_join(post, frequency, ["term"], F.col("doc"), "df").withColumn("raw", F.col("tf") * tfidf_idf(F.lit(docs), F.col("df")))
+    norms = raw.groupBy("doc").agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("norm"))
+    rows = raw.join(norms, "doc").select("doc", "term", "df", (F.col("raw") / F.col("norm")).alias("cosine"),
+                                         bm25_weight(F.col("tf"), F.col("length"), mean_length).alias("bm25"))
+    return rows.repartitionByRange("term", "doc").sortWithinPartitions("term", "doc")
+
+
+def peaks(table: DataFrame) -> DataFrame:
+    return table.groupBy("term").agg(F.first("df").alias("df"), F.max("cosine").alias("peak_cosine"), F.max("bm25").alias("peak_bm25"))
+
+
 class Index:
     """Weighted postings of a document table, stored in the shared folder.
 
@@ -69,17 +84,16 @@ class Index:
         self.docs = docs.count()
         # A document's length is the sum of its term counts; documents without tokens count in the mean.
         self.mean_length = (post.agg(F.sum("tf")).first()[0] or 0) / self.docs if self.docs else 1.0
-        frequency = document_frequency(post)
-        raw = salted_join(post, frequency, ["term"], F.col("doc"), salts=8).withColumn(
-            "raw", F.col("tf") * tfidf_idf(F.lit(self.docs), F.col("df")))
-        norms = raw.groupBy("doc").agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("norm"))
-        weighted = raw.join(norms, "doc").select(
-            "doc", "term", "df", (F.col("raw") / F.col("norm")).alias("cosine"),
-            bm25_weight(F.col("tf"), F.col("length"), self.mean_length).alias("bm25"))
-        table = stored(weighted.repartitionByRange("term", "doc").sortWithinPartitions("term", "doc"), "postings")
+        table = stored(weighted(post, stored(document_frequency(post), "frequency"), self.docs, self.mean_length), "postings")
         self.weights = table.drop("df")
-        self.vocabulary = stored(table.groupBy("term").agg(
-            F.first("df").alias("df"), F.max("cosine").alias("peak_cosine"), F.max("bm25").alias("peak_bm25")), "vocabulary")
+        self.vocabulary = stored(peaks(table), "vocabulary")
+
+    @classmethod
+    def of(cls, table: DataFrame, vocabulary: DataFrame, docs: int, mean_length: float) -> "Index":
+        """An index over tables that are stored already."""
+        index = cls.__new__(cls)
+        index.docs, index.mean_length, index.weights, index.vocabulary = docs, mean_length, table.drop("df"), vocabulary
+        return index
 
     def terms(self, queries: DataFrame, query: str, text: str) -> DataFrame:
         """``query, term, q_cosine, q_bm25`` with the term peaks.  Tokens outside the corpus are dropped before the norm;
@@ -93,6 +107,96 @@ class Index:
             (F.col("qtf") * bm25_idf(n, F.col("df"))).alias("q_bm25"), "peak_cosine", "peak_bm25")
 
 
+class SegmentedIndex:
+    """An index in a folder that grows by segments and is opened, not rebuilt, by searches.
+
+    ``append`` counts one batch of documents and writes a segment: its postings, what it adds to the document frequencies, and last its
+    documents, which make it count. A document that comes again replaces its earlier version, ``remove`` takes documents out. ``open`` merges
+    the segments into weights once per state of the folder (idf, mean length and norms depend on all of them) and from then on reads
+    the stored ones. ``compact`` writes what is alive as one segment, so that reading does not get dearer with each batch.
+
+    Folder: ``postings``, ``frequency`` and ``documents`` by ``segment``; ``weights``, ``vocabulary`` and ``state`` by ``upto``, the last segment in them.
+    """
+
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        self.spark, self.path = spark, path.rstrip("/")
+
+    def _table(self, name: str) -> DataFrame | None:
+        try:
+            return self.spark.read.parquet(f"{self.path}/{name}")
+        except AnalysisException as missing:
+            if missing.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise
+            return None
+
+    def last_segment(self) -> int:
+        documents = self._table("documents")
+        return 0 if documents is None else documents.agg(F.max("segment")).first()[0] or 0
+
+    def _write(self, post: DataFrame, documents: DataFrame, base: bool) -> int:
+        n = self.last_segment() + 1
+        own = f"segment={n}"
+        post.repartitionByRange("term", "doc").sortWithinPartitions("term", "doc").write.mode("overwrite").parquet(f"{self.path}/postings/{own}")
+        counted = self.spark.read.parquet(f"{self.path}/postings/{own}")
+        document_frequency(counted).write.mode("overwrite").parquet(f"{self.path}/frequency/{own}")
+        lengths = counted.groupBy("doc").agg(F.first("length").alias("length"))
+        listed = documents.join(lengths, "doc", "left").select("doc", "alive", F.coalesce("length", F.lit(0)).alias("length"), F.lit(base).alias("base"))
+        listed.write.mode("overwrite").parquet(f"{self.path}/documents/{own}")
+        return n
+
+    def append(self, docs: DataFrame, doc: str, text: str) -> int:
+        """Adds ``docs``, whose ids differ from each other, as a segment and returns its number."""
+        return self._write(postings(docs, doc, text), docs.select(F.col(doc).alias("doc"), F.lit(True).alias("alive")), False)
+
+    def remove(self, ids: DataFrame, doc: str) -> int:
+        """Takes documents out: a segment without postings."""
+        gone = ids.select(F.col(doc).alias("doc"), F.lit(False).alias("alive")).distinct()
+        none = self.spark.read.parquet(f"{self.path}/postings").drop("segment").limit(0)
+        return self._write(none, gone, False)
+
+    def _live(self, upto: int) -> tuple[DataFrame, DataFrame, bool]:
+        """(documents alive, their postings, whether every listed document is alive in its only segment); from the last base segment on."""
+        documents = self._table("documents").where(F.col("segment") <= upto)
+        base = documents.agg(F.max(F.when(F.col("base"), F.col("segment")))).first()[0] or 0
+        documents = documents.where(F.col("segment") >= base)
+        latest = stored(documents.groupBy("doc").agg(F.max(F.struct("segment", "alive", "length")).alias("last"), F.count("*").alias("n")), "latest")
+        alive = latest.where("last.alive").select("doc", F.col("last.segment").alias("segment"), F.col("last.length").alias("length"))
+        post = self._table("postings").where(F.col("segment").between(base, upto))
+        plain = latest.where("n > 1 or not last.alive").isEmpty()
+        return alive, post.drop("segment") if plain else post.join(alive.select("doc", "segment"), ["doc", "segment"], "left_semi").drop("segment"), plain
+
+    def compact(self) -> int:
+        """Writes all that is alive as one segment, which reading then starts from."""
+        alive, post, _ = self._live(self.last_segment())
+        return self._write(stored(post, "alive-postings"), stored(alive.select("doc", F.lit(True).alias("alive")), "alive"), True)
+
+    def open(self) -> Index:
+        """The index over all segments; merges them if no earlier call did."""
+        n = self.last_segment()
+        state = self._table("state")
+        found = None if state is None else state.where(F.col("upto") == n).first()
+        if found is None:
+            found = self._merge(n)
+        return Index.of(self.spark.read.parquet(f"{self.path}/weights/upto={n}"), self.spark.read.parquet(f"{self.path}/vocabulary/upto={n}"),
+                        found["docs"], found["mean_length"])
+
+    def _merge(self, n: int):
+        alive, post, plain = self._live(n)
+        docs, total = alive.agg(F.count("*"), F.coalesce(F.sum("length"), F.lit(0))).first()
+        mean = total / docs if docs else 1.0
+        if plain:  # the segments' own counts add up
+            base = self._table("documents").agg(F.max(F.when(F.col("base"), F.col("segment")))).first()[0] or 0
+            frequency = self._table("frequency").where(F.col("segment").between(base, n)).groupBy("term").agg(F.sum("df").alias("df"))
+        else:
+            frequency = document_frequency(post)
+        table = weighted(post, stored(frequency, "frequency"), docs, mean)
+        table.write.mode("overwrite").parquet(f"{self.path}/weights/upto={n}")
+        peaks(self.spark.read.parquet(f"{self.path}/weights/upto={n}")).write.mode("overwrite").parquet(f"{self.path}/vocabulary/upto={n}")
+        state = self.spark.createDataFrame([(docs, float(mean))], "docs long, mean_length double")
+        state.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/state/upto={n}")
+        return state.first()
+
+
 # --- exact top k over postings ------------------------------------------------------------------------
 
 def _product(scores: list[str], factor: str) -> Column:

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
+from querylode import lineage
 from querylode.operators import containment, evaluation, retrieval as R
 from querylode.sources import derived
 from workbook import duck as D, query
@@ -78,6 +81,33 @@ def r4(spark, d):
     return _out(R.fused_search(_items(spark, d), "item_id", "text", _index(spark, d), 5)[R.VECTOR_WEIGHT])
 
 
+def _segmented(spark, d):
+    """The documents in three batches, the first of which also holds a half of the last as older versions, and some that are removed again."""
+    docs = derived.table(spark, d, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    part = F.pmod(F.xxhash64("doc_id"), F.lit(4))
+    index = R.SegmentedIndex(spark, f"{lineage.shared_dir(spark)}/segments-{uuid.uuid4().hex}")
+    older = docs.where(part == 3).withColumn("text", F.concat(F.lit("an older version "), "text"))
+    index.append(docs.where(part == 0).unionByName(older), "doc_id", "text")
+    index.open()
+    index.append(docs.where(part.isin(1, 2)).unionByName(docs.where(part == 0).withColumn("doc_id", -1 - F.col("doc_id"))), "doc_id", "text")
+    index.remove(docs.where(part == 0).select((-1 - F.col("doc_id")).alias("doc_id")), "doc_id")
+    index.append(docs.where(part == 3), "doc_id", "text")
+    return index
+
+
+@query("r3_segmented_search", D.with_(POSTINGS, BM25, top("bm25", 10)) + OUT)
+def r3_segmented(spark, d):
+    """Grown by appends, replacements and removals, the index answers as one that was built at once."""
+    return _out(R.bm25_search(_items(spark, d), "item_id", "text", _segmented(spark, d).open(), 10))
+
+
+@query("r2_compacted_search", D.with_(POSTINGS, TFIDF, top("cosine", 10)) + OUT)
+def r2_compacted(spark, d):
+    index = _segmented(spark, d)
+    index.compact()
+    return _out(R.cosine_search(_items(spark, d), "item_id", "text", index.open(), 10))
+
+
 def _centroids(vectors):
     long = vectors.select("label", F.posexplode("embedding").alias("pos", "x"))
     means = long.groupBy("label", "pos").agg(F.avg(F.col("x").cast("double")).alias("x"))
