@@ -302,8 +302,8 @@ def cosine(a: Column, b: Column) -> Column:
 _HITS = "query long, id long, distance double"
 
 
-def _nearest(queries: list[tuple[int, list[float]]], k: int, cells: dict[int, list[int]] | None = None):
-    """Per batch: the k nearest rows to each query by squared L2, optionally only for rows in its probed cells."""
+def _nearest(queries: list[tuple[int, list[float]]], k: int):
+    """Per batch: the k nearest rows to each query by squared L2."""
     ids = np.array([q for q, _ in queries])
     points = np.array([v for _, v in queries], dtype=np.float64)
 
@@ -314,10 +314,7 @@ def _nearest(queries: list[tuple[int, list[float]]], k: int, cells: dict[int, li
             x = np.stack(pdf["vector"].to_numpy()).astype(np.float64)
             out = []
             for i, p in zip(ids, points):
-                rows = np.arange(len(x))
-                if cells is not None:
-                    rows = rows[np.isin(pdf["cell"].to_numpy(), cells[int(i)])]
-                d = ((x[rows] - p) ** 2).sum(axis=1)
+                rows, d = np.arange(len(x)), ((x - p) ** 2).sum(axis=1)
                 if len(d) > k:
                     # Keep everything up to the k-th distance so that ties are settled by id later.
                     near = d <= np.partition(d, k - 1)[k - 1]
@@ -362,27 +359,83 @@ def vector_search(queries: DataFrame, vectors: DataFrame, k: int = 10, block: in
 NLIST, NPROBE = 128, 10
 
 
+#: Vectors of a cell that one task takes; larger cells are cut.
+CELL_ROWS = 50_000
+
+
+def _in_cells(centers: np.ndarray, probes: int):
+    """Rows with each of their ``probes`` nearest cells; the distances come from one matrix product per batch."""
+    size = (centers * centers).sum(axis=1)
+
+    def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if not len(batch):
+                continue
+            vectors = np.array(batch["vector"].tolist(), np.float64)
+            near = np.argsort(size[None, :] - 2 * vectors @ centers.T, axis=1, kind="stable")[:, :probes]
+            rows = np.repeat(np.arange(len(batch)), near.shape[1])
+            yield pd.DataFrame({"id": batch["id"].to_numpy()[rows], "vector": batch["vector"].to_numpy()[rows], "cell": near.ravel().astype(np.int32)})
+
+    return assign
+
+
+def _best_in_cell(k: int, block: int = 256):
+    """The ``k`` nearest vectors of a part of a cell to each query that probes it. A matrix product finds who can be among them, their
+    distances are then taken entry by entry, so that equal vectors are equally far."""
+
+    def best(queries: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        if len(queries) and len(rows):
+            ids, vectors = rows["id"].to_numpy(), np.array(rows["vector"].tolist(), np.float64)
+            size = (vectors * vectors).sum(axis=1)
+            for first in range(0, len(queries), block):
+                part = queries.iloc[first : first + block]
+                asked = np.array(part["vector"].tolist(), np.float64)
+                rough = size[None, :] - 2 * asked @ vectors.T + (asked * asked).sum(axis=1)[:, None]
+                limit = np.partition(rough, min(k, len(ids)) - 1, axis=1)[:, min(k, len(ids)) - 1]
+                slack = 1e-9 * (size.max() + (asked * asked).sum(axis=1))
+                for query, vector, line, most in zip(part["id"].tolist(), asked, rough, limit + slack):
+                    at = np.flatnonzero(line <= most)
+                    distance = ((vectors[at] - vector) ** 2).sum(axis=1)
+                    order = np.lexsort((ids[at], distance))[:k]
+                    out.append(pd.DataFrame({"query": query, "id": ids[at][order], "distance": distance[order]}))
+        return pd.concat(out) if out else pd.DataFrame({"query": pd.Series(dtype="int64"), "id": pd.Series(dtype="int64"), "distance": pd.Series(dtype="float64")})
+
+    return best
+
+
 class CellIndex:
-    """Vectors assigned to k-means cells; a query looks only into its nearest cells."""
-
-    def __init__(self, vectors: DataFrame, nlist: int = NLIST, seed: int = 7) -> None:
-        from pyspark.ml.clustering import KMeans
-        from pyspark.ml.functions import array_to_vector
-
-        rows = vectors.toDF("id", "vector").withColumn("features", array_to_vector(F.col("vector").cast("array<double>")))
-        model = KMeans(k=nlist, maxIter=10, seed=seed, initMode="random").fit(rows)
-        self.centers = np.array(model.clusterCenters())
-        self.rows = model.transform(rows).select("id", "vector", F.col("prediction").alias("cell"))
-
-    def search(self, queries: DataFrame, k: int = 10, nprobe: int = NPROBE, block: int = 4096) -> DataFrame:
-        hits = []
-        for b in _bounded(queries, block):
-            cells = {q: np.argsort(((self.centers - np.array(v)) ** 2).sum(axis=1))[:nprobe].tolist() for q, v in b}
-            probed = sorted({c for cs in cells.values() for c in cs})
-            # Partition the stored table by cell to make this filter skip files.
-            rows = self.rows.filter(F.col("cell").isin(probed))
-            hits.append(rows.mapInPandas(_nearest(b, k, cells), _HITS))
-        return top_k(reduce(DataFrame.unionByName, hits), ["query"], [F.asc("distance"), F.asc("id")], k)
+    """Vectors stored by k-means cell; a query looks only into its nearest cells.
+
+    ``centers`` (``cell, vector``, one row per cell) may be given, else they are trained on all vectors. A cell of more than
+    ``CELL_ROWS`` vectors is cut into parts by the hash of the id.
+    """
+
+    def __init__(self, vectors: DataFrame, nlist: int = NLIST, seed: int = 7, centers: DataFrame | None = None, cell_rows: int = CELL_ROWS) -> None:
+        rows = vectors.toDF("id", "vector").withColumn("vector", F.col("vector").cast("array<double>"))
+        if centers is None:
+            from pyspark.ml.clustering import KMeans
+            from pyspark.ml.functions import array_to_vector
+
+            featured = rows.withColumn("features", array_to_vector("vector"))
+            self.centers = np.array(KMeans(k=nlist, maxIter=10, seed=seed, initMode="random").fit(featured).clusterCenters())
+        else:
+            listed = sorted(centers.toDF("cell", "vector").collect(), key=lambda r: r["cell"])  # as many rows as there are cells
+            self.centers = np.array([list(r["vector"]) for r in listed], np.float64)
+        self.schema = f"id {rows.schema['id'].dataType.simpleString()}, vector array<double>, cell int"
+        placed = stored(rows.mapInPandas(_in_cells(self.centers, 1), self.schema), "cells")
+        self.parts = stored(placed.groupBy("cell").agg(F.ceil(F.count("*") / cell_rows).cast("int").alias("parts")), "cell-parts")
+        part = F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")
+        self.rows = placed.join(F.broadcast(self.parts), "cell").select("id", "vector", "cell", part.alias("part"))  # a row per cell
+
+    def search(self, queries: DataFrame, k: int = 10, nprobe: int = NPROBE) -> DataFrame:
+        """``query, id, distance, rank``: queries go to the parts of their cells, every part answers with its own k best."""
+        asked = queries.toDF("id", "vector").withColumn("vector", F.col("vector").cast("array<double>"))
+        sent = asked.mapInPandas(_in_cells(self.centers, nprobe), self.schema).join(F.broadcast(self.parts), "cell").select(
+            "id", "vector", "cell", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+        hits = sent.groupBy("cell", "part").cogroup(self.rows.groupBy("cell", "part")).applyInPandas(
+            lambda a, b: _best_in_cell(k)(a, b), _HITS)
+        return top_k(hits, ["query"], [F.asc("distance"), F.asc("id")], k)
 
 
 def recall(found: DataFrame, exact: DataFrame) -> DataFrame:
