@@ -35,7 +35,6 @@ _PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 
 DOC = "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, pieces binary"
 TABLE = "a binary, b binary, sizes binary, uses binary"
-_PAIRS: dict[tuple[str, str], "Pair"] = {}
 
 
 def _byte_alphabet() -> dict[str, int]:
@@ -160,10 +159,8 @@ class Aligned:
 
 
 def pair(a_path: str, b_path: str) -> Pair:
-    """One per worker and pair of vocabularies."""
-    if (a_path, b_path) not in _PAIRS:
-        _PAIRS[a_path, b_path] = Pair(a_path, b_path)
-    return _PAIRS[a_path, b_path]
+    """One per worker, as long as no other operator needs the room."""
+    return common.resident(("pair", a_path, b_path), lambda: Pair(a_path, b_path))
 
 
 class _Numbers(dict):

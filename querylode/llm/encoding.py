@@ -15,6 +15,8 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 
+from querylode.llm import common
+
 #: Pieces remembered per Python worker.
 PIECES = 600_000
 _CUT = re.compile(r" (?=\S)")
@@ -24,7 +26,6 @@ _ODD_SPACES = ("  ", " \n", "\n\n", *"\t\r\x0b\x0c\x1c\x1d\x1e\x1f")
 COMMA, STOP, BREAK, BARE = "\x01", "\x02", "\x03", "\x04"
 _WIDE_SPACES = "\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 _ODD_STOP = re.compile(r"[,.](?<![^\W_][,.])(?=[ \n])")
-_ENCODERS: dict[tuple[str, bool], "Encoder"] = {}
 
 
 class _Pieces(dict):
@@ -140,10 +141,8 @@ class Encoder:
 
 
 def encoder(path: str, plain: bool = False) -> Encoder:
-    """One encoder per worker, vocabulary and reading of special strings."""
-    if (path, plain) not in _ENCODERS:
-        _ENCODERS[path, plain] = Encoder(path, plain=plain)
-    return _ENCODERS[path, plain]
+    """One encoder per worker, as long as no other operator needs the room."""
+    return common.resident(("encoder", path, plain), lambda: Encoder(path, plain=plain))
 
 
 def slices(texts: pa.Array, size: int = 1 << 21) -> Iterator[tuple[int, list[str]]]:

@@ -47,7 +47,8 @@ SCOPE = frozenset(("td", "th", "caption", "table", "button", "html", "template")
 _TAG = re.compile(
     r"<(?:!--(?P<note>.*?)(?:--!?>|\Z)|(?P<odd>[!?][^>]*+)(?:>|\Z)|/(?P<end>[a-zA-Z][^\s/>]*+)[^>]*+(?:>|\Z)"
     r"|(?P<start>[a-zA-Z][^\s/>]*+)(?P<attrs>(?:[^>\"'=]|=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>\"']*+)|[\"'])*+)(?:>|\Z))", re.DOTALL)
-_UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
+_NO_BOX = re.compile(r"(?:^|;)\s*display\s*:\s*none", re.I)
+_SEEN = re.compile(r"(?:^|;)\s*visibility\s*:\s*(hidden|collapse|visible)", re.I)
 #: Attributes of a tag that is closed at once, where the grammar is that of XML.
 _EMPTY = re.compile(r"(?:^|[\s\"'])/$")
 _GAPS = re.compile(r"[ \t\n\r\f]+")
@@ -72,28 +73,31 @@ class Tree:
     def __init__(self) -> None:
         self.root = Node("html")
         self.stack, self.open = [self.root], Counter(("html",))
+        self.places: dict[str, list[int]] = {"html": [0]}  # where in the stack the open elements of a tag are
 
     def pop(self) -> None:
-        self.open[self.stack.pop().tag] -= 1
+        tag = self.stack.pop().tag
+        self.open[tag] -= 1
+        self.places[tag].pop()
 
     def push(self, node: Node) -> None:
         self.stack[-1].children.append(node)
+        self.places.setdefault(node.tag, []).append(len(self.stack))
         self.stack.append(node)
         self.open[node.tag] += 1
 
+    def nearest(self, tags: frozenset) -> int:
+        """Place of the innermost open element of ``tags``, 0 without any."""
+        return max((self.places[t][-1] for t in tags if self.open[t]), default=0)
+
     def close(self, tags: frozenset, within: frozenset) -> bool:
-        """Close up to the nearest open element of ``tags``, unless one of ``within`` comes first."""
-        if not any(self.open[t] for t in tags):
+        """Close up to the nearest open element of ``tags``, unless one of ``within`` stands inside it."""
+        at = self.nearest(tags)
+        if at == 0 or at < self.nearest(within):
             return False
-        for at in range(len(self.stack) - 1, 0, -1):
-            tag = self.stack[at].tag
-            if tag in tags:
-                while len(self.stack) > at:
-                    self.pop()
-                return True
-            if tag in within:
-                return False
-        return False
+        while len(self.stack) > at:
+            self.pop()
+        return True
 
     def start(self, tag: str, attrs: str) -> None:
         if self.open["head"] and tag not in HEAD:
@@ -151,14 +155,21 @@ def parse(page: str) -> Node:
     return tree.root
 
 
-def visible(node: Node) -> bool:
+def boxed(node: Node) -> bool:
+    """Whether an element takes part in the page at all; nothing inside another one does."""
     if node.tag in HIDDEN:
         return False
     if not node.attrs:
         return True
     if attribute(node.attrs, "hidden") is not None or node.tag == "input" and (attribute(node.attrs, "type") or "").lower() == "hidden":
         return False
-    return not ("style" in node.attrs.lower() and _UNSEEN.search(attribute(node.attrs, "style") or ""))
+    return not ("style" in node.attrs.lower() and _NO_BOX.search(attribute(node.attrs, "style") or ""))
+
+
+def seen(node: Node, around: bool) -> bool:
+    """Whether text in the element shows: as around it, unless its style says otherwise (the last time it says so)."""
+    said = _SEEN.findall(attribute(node.attrs, "style") or "") if "style" in node.attrs.lower() else []
+    return said[-1].lower() == "visible" if said else around
 
 
 class Sheet:
@@ -235,42 +246,47 @@ def placed(rows: list[list[tuple[str, int, int]] | None]) -> list[list[tuple[int
 
 
 def aligned(rows: list[list[tuple[int, str, int]]]) -> list[str]:
-    """Rows of (column, text, columns spanned) as lines whose columns line up."""
+    """Rows of (column, text, columns spanned) as lines whose columns line up; a cell of several lines makes its row as high."""
     width: dict[int, int] = {}
     for row in rows:
         for at, text, span in row:
             if span == 1:
-                width[at] = max(width.get(at, 0), len(text))
+                width[at] = max(width.get(at, 0), *map(len, text.split("\n")))
     out = []
     for row in rows:
-        end, cells = 0, []
-        for at, text, span in row:
-            cells += [" " * width.get(k, 0) for k in range(end, at)]
-            room = sum(width.get(at + k, 0) for k in range(span)) + 2 * (span - 1)
-            cells.append(text.ljust(room))
-            end = at + span
-        out.append("  ".join(cells).rstrip())
+        parts = [text.split("\n") for _, text, _ in row]
+        for i in range(max(map(len, parts), default=0)):
+            end, cells = 0, []
+            for (at, _, span), lines in zip(row, parts):
+                cells += [" " * width.get(k, 0) for k in range(end, at)]
+                room = sum(width.get(at + k, 0) for k in range(span)) + 2 * (span - 1)
+                cells.append((lines[i] if i < len(lines) else "").ljust(room))
+                end = at + span
+            out.append("  ".join(cells).rstrip())
     return out
 
 
 def render(root: Node) -> str:
     sheets, lists, tables, exact, foreign = [Sheet()], [], [], 0, Counter()
     todo: list[tuple[Node | str, bool]] = [(root, True)]
+    shows = [True]
     while todo:
         node, enter = todo.pop()
         sheet = sheets[-1]
         if isinstance(node, str):
-            sheet.exact(node) if exact else sheet.words(node)
+            if shows[-1]:
+                sheet.exact(node) if exact else sheet.words(node)
             continue
         tag = node.tag
         if enter:
-            if not visible(node) or any(n and tag in FOREIGN[name] for name, n in foreign.items()):
+            if not boxed(node) or any(n and tag in FOREIGN[name] for name, n in foreign.items()):
                 continue
             if tag in FOREIGN:
                 foreign[tag] += 1
             elif tag == "text" and foreign["svg"]:
                 sheet.stop(1)
             todo.append((node, False))
+            shows.append(seen(node, shows[-1]))
             shown = node.children
             if tag == "details" and attribute(node.attrs, "open") is None:
                 shown = [c for c in shown if isinstance(c, Node) and c.tag == "summary"][:1]
@@ -302,13 +318,14 @@ def render(root: Node) -> str:
                 elif tag in ("pre", "listing"):
                     exact += 1
             continue
+        shows.pop()
         if tag in FOREIGN:
             foreign[tag] -= 1
         elif tag == "text" and foreign["svg"]:
             sheet.stop(1)
         if tag in CELLS and tables:
             sheet.stop(0)
-            text = " ".join(line.strip() for line in sheet.lines if line.strip())
+            text = "\n".join(line.rstrip() for line in sheet.lines if line.strip())
             sheets.pop()
             span, down = (attribute(node.attrs, name) or "1" for name in ("colspan", "rowspan"))
             if tables[-1] and tables[-1][-1] is not None:

@@ -48,6 +48,7 @@ def _sets(size: int, percent: int, whole: bool):
     limit = _first_class(percent)
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common.release()
         for batch in batches:
             doc_ids = batch.column("doc_id").to_pylist()
             for first, texts in encoding.slices(batch.column("text"), SLICE):

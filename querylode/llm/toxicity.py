@@ -240,16 +240,9 @@ class Reader:
         return found
 
 
-_READERS: dict[bytes, Reader] = {}
-
-
 def reader_of(model: np.ndarray) -> Reader:
-    """One reader per worker: what one task has read serves the next ones and the other passes. A new model replaces it."""
-    key = hashlib.blake2b(model.tobytes(), digest_size=16).digest()
-    if key not in _READERS:
-        _READERS.clear()
-        _READERS[key] = Reader(model)
-    return _READERS[key]
+    """One reader per worker and model: what one task has read serves the next ones and the other passes."""
+    return common.resident(("reader", hashlib.blake2b(model.tobytes(), digest_size=16).digest()), lambda: Reader(model))
 
 
 def features(word: str) -> tuple[str, ...]:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+import time
+from itertools import product
 
 import numpy as np
 import pytest
@@ -200,6 +202,26 @@ def test_a_reader_forgets_without_changing_its_mind(disguised):
     assert toxicity.reader_of(model) is toxicity.reader_of(model.copy())
 
 
+def test_the_decoder_finds_the_cheapest_of_all_paths(disguised):
+    """Viterbi against every path of the lattice, costed letter by letter."""
+    model = toxicity.language_model(disguised[0])
+
+    def cost(path):
+        x = y = 0
+        total = 0.0
+        for _, classes, extra in path:
+            total += extra
+            for z in classes:
+                total, x, y = total + model[x, y, z], y, z
+        return total + model[x, y, 0]
+
+    rng = np.random.default_rng(9)
+    for _ in range(300):
+        word = "".join(rng.choice(list("1503$!ailost.-"), rng.integers(1, 7)))
+        every = {"".join(w for w, _, _ in path): cost(path) for path in sorted(product(*toxicity._readings(word)), key=cost, reverse=True)}
+        assert every[toxicity.restore(word, model)] == pytest.approx(min(every.values())), word
+
+
 def test_spaced_and_long_words_pass_the_reader(disguised):
     docs, _ = disguised
     more = docs.unionByName(docs.sparkSession.createDataFrame([(1000 + i, "you see a stupid tree") for i in range(60)], docs.schema))
@@ -210,3 +232,19 @@ def test_spaced_and_long_words_pass_the_reader(disguised):
         assert meant in reader.words(text), text[:60]
     assert "treelight" not in reader.words("tree light to it")
     assert not reader.words("1 2 3 4 5 6")
+
+
+@pytest.mark.parametrize("page, text", [
+    ('<div style="visibility:hidden">a<p style="visibility: visible">b</p>c</div>d', "b\n\nd"),
+    ('<div style="display:none">a<p style="visibility: visible">b</p></div>d', "d"),
+    ('x<span style="backface-visibility:hidden">y</span>', "xy"),
+    ("<table><tr><td>h<ul><li>x<li>y</ul><td>one<br>two<td>z<tr><td>q<td>r</table>", "h    one  z\n- x  two\n- y\nq    r"),
+])
+def test_visibility_and_lines_of_cells(page, text):
+    assert html_text.extract(page) == text
+
+
+def test_many_open_elements_take_linear_time():
+    started = time.time()
+    assert html_text.extract("<p><button>" + "<div>" * 100_000 + "x") == "x"
+    assert time.time() - started < 20
