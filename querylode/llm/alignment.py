@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from querylode import lineage
-from querylode.llm import common, encoding
+from querylode.llm import common, encoding, worker
 
 #: A chunk ends with the text that brings it to this many distinct pieces, or so many in all.
 CHUNK_PIECES, CHUNK_LENGTH = 150_000, 3_000_000
@@ -160,7 +160,7 @@ class Aligned:
 
 def pair(a_path: str, b_path: str) -> Pair:
     """One per worker, as long as no other operator needs the room."""
-    return common.resident(("pair", a_path, b_path), lambda: Pair(a_path, b_path))
+    return worker.resident(("pair", a_path, b_path), lambda: Pair(a_path, b_path))
 
 
 class _Numbers(dict):

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import ctypes
-import gc
-import sys
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -40,27 +37,6 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return df.select(*columns) if columns else df
 
 
-_RESIDENT: dict[tuple, object] = {}
-
-
-def resident(key: tuple, build: Callable[[], object]) -> object:
-    """What a worker keeps from task to task, one thing at a time: another key's goes first, so that memory does not add up over the
-    operators of a job."""
-    if key not in _RESIDENT:
-        release()
-        _RESIDENT[key] = build()
-    return _RESIDENT[key]
-
-
-def release() -> None:
-    """Frees what the worker keeps and gives the pages back."""
-    if _RESIDENT:
-        _RESIDENT.clear()
-        gc.collect()
-        if sys.platform == "linux":
-            ctypes.CDLL(None).malloc_trim(0)
-
-
 #: Keys found this often in one row in ``SAMPLE`` are counted apart from the others.
 SAMPLE, HOT = 64, 2_000
 

@@ -15,7 +15,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 
-from querylode.llm import common
+from querylode.llm import worker
 
 #: Pieces remembered per Python worker.
 PIECES = 600_000
@@ -142,7 +142,7 @@ class Encoder:
 
 def encoder(path: str, plain: bool = False) -> Encoder:
     """One encoder per worker, as long as no other operator needs the room."""
-    return common.resident(("encoder", path, plain), lambda: Encoder(path, plain=plain))
+    return worker.resident(("encoder", path, plain), lambda: Encoder(path, plain=plain))
 
 
 def slices(texts: pa.Array, size: int = 1 << 21) -> Iterator[tuple[int, list[str]]]:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from querylode import lineage, sizing
-from querylode.llm import common, encoding, shingles
+from querylode.llm import common, encoding, shingles, worker
 from querylode.operators import neardup
 
 #: Bytes of text whose words are hashed at a time; the arrays in between take 50 times as much.
@@ -48,7 +48,7 @@ def _sets(size: int, percent: int, whole: bool):
     limit = _first_class(percent)
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        common.release()
+        worker.release()
         for batch in batches:
             doc_ids = batch.column("doc_id").to_pylist()
             for first, texts in encoding.slices(batch.column("text"), SLICE):

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from querylode import lineage
-from querylode.llm import common, encoding
+from querylode.llm import common, encoding, worker
 
 #: Labelled documents the weights are fitted on, at most.
 FIT_ROWS = 20_000
@@ -242,7 +242,7 @@ class Reader:
 
 def reader_of(model: np.ndarray) -> Reader:
     """One reader per worker and model: what one task has read serves the next ones and the other passes."""
-    return common.resident(("reader", hashlib.blake2b(model.tobytes(), digest_size=16).digest()), lambda: Reader(model))
+    return worker.resident(("reader", hashlib.blake2b(model.tobytes(), digest_size=16).digest()), lambda: Reader(model))
 
 
 def features(word: str) -> tuple[str, ...]:
