@@ -39,6 +39,8 @@ LEET = {
 }
 #: Cost of reading a character as another, of reading a run of a letter as two, and of dropping a separator.
 SWAP_COST, DOUBLE_COST, DROP_COST = 1.0, 0.5, 1.0
+#: So many of one sign at the edge of a word decorate it; they may be letters only where the model finds that cheaper.
+DECORATION = 3
 #: Logit of a text without any word of evidence.
 LEAST = -4.0
 _EDGES = ".,;:!?\"'`()[]{}<>#%&*|$~^=+-_/\\…«»“”‘’¿¡"
@@ -217,9 +219,10 @@ class Reader:
         meant, plain, whole = self.word(raw), raw.strip(_EDGES), raw.strip(_OUTER)
         found = [meant, plain if _CLEAN.fullmatch(plain) else None]
         if plain and whole != plain and meant:
-            lattice = _readings(whole)
+            lattice, runs = _readings(whole), [m[0] for m in _RUNS.finditer(whole)]
             for at in (0, -1):
-                lattice[at] = tuple(w for w in lattice[at] if w[0]) or lattice[at]
+                if len(runs[at]) < DECORATION:
+                    lattice[at] = tuple(w for w in lattice[at] if w[0]) or lattice[at]
             found.append(_cheapest(lattice, self.model))
         return tuple(dict.fromkeys(w for w in found if w))
 
