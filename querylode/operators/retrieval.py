@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions
 from querylode.functions import tokens as K
 from querylode.lineage import stored
 from querylode.operators.ordering import top_k
-from querylode.sizing import fits, salted_join, small_side, weighted_join
+from querylode.sizing import fits, salted_join, weighted_join
 
 # BM25 parameters and the fusion weight of the vector score.
 K1, B = 1.5, 0.75
