@@ -300,7 +300,8 @@ def render(root: Node) -> str:
             elif tag == "tr" and tables:
                 tables[-1].append([])
             elif tag in BLOCKS:
-                sheet.stop(2 if tag in PARAGRAPHS and not (tag in ("ul", "ol", "menu") and lists) else 1)
+                if not (tag == "table" and tables):
+                    sheet.stop(2 if tag in PARAGRAPHS and not (tag in ("ul", "ol", "menu") and lists) else 1)
                 if tag in ("ul", "ol", "menu"):
                     first = attribute(node.attrs, "start") or "1"
                     lists.append(int(first) if tag == "ol" and re.fullmatch(r"-?\d{1,9}", first) else 1 if tag == "ol" else None)
@@ -335,6 +336,9 @@ def render(root: Node) -> str:
                 sheets[-1].words(text)
         elif tag in SECTIONS and tables:
             tables[-1].append(None)
+        elif tag == "table" and len(tables) > 1:  # a table in a cell goes on in the cell's line
+            inner = aligned([r for r in placed(tables.pop()) if any(t for _, t, _ in r)])
+            sheet.words(f" {' '.join(inner)} ")
         elif tag in BLOCKS:
             sheet.stop(2 if tag in PARAGRAPHS and not (tag in ("ul", "ol", "menu") and len(lists) > 1) else 1)
             if tag in ("ul", "ol", "menu"):
