@@ -15,7 +15,7 @@ from querylode.functions import sqltext as S
 from querylode.functions import tokens as K
 from querylode.lineage import cut, stored
 from querylode.operators.ordering import first_per_key, top_k
-from querylode.sizing import salted_join, weighted_join
+from querylode.sizing import fits, salted_join, sided, weighted_join
 
 # Permutations, threshold and shingle size of the statement comparison.
 NUM_PERM, THRESHOLD, SHINGLE = 128, 0.5, 3
@@ -163,16 +163,22 @@ def group_quality(signed: DataFrame, group: str, threshold: float = THRESHOLD) -
 def components(nodes: DataFrame, link: DataFrame) -> DataFrame:
     """``id, component`` (smallest id reachable): alternating neighbour minimum and pointer jumping until stable.
 
-    Both steps are equi-joins with partially aggregated minima; a node with very many links is salted.
+    Both steps are equi-joins with partially aggregated minima; a node with very many links is salted. Unless nodes and links are few,
+    no join may send a side to every task (see ``sizing.sided``).
     """
     edges = stored(link.select("id", "leader").union(link.select("leader", "id")).toDF("src", "dst"), "edges")
     labels = cut(nodes.select("id", F.col("id").alias("component")))
+    few = fits(labels) and fits(edges)
+
+    def side(df: DataFrame) -> DataFrame:
+        return df if few else df.hint("merge")
+
     while True:
-        offered = salted_join(edges, labels.toDF("src", "component"), ["src"], F.col("dst"), salts=8)
+        offered = salted_join(edges, side(labels.toDF("src", "component")), ["src"], F.col("dst"), salts=8)
         best = offered.groupBy(F.col("dst").alias("id")).agg(F.min("component").alias("offer"))
-        lowered = labels.join(best, "id", "left").select("id", F.col("component").alias("old"), F.least("component", "offer").alias("component"))
+        lowered = labels.join(side(best), "id", "left").select("id", F.col("component").alias("old"), F.least("component", "offer").alias("component"))
         roots = labels.select(F.col("id").alias("component"), F.col("component").alias("root"))
-        step = salted_join(lowered, roots, ["component"], F.col("id"), salts=8).select("id", "old", F.least("component", "root").alias("component"))
+        step = salted_join(lowered, side(roots), ["component"], F.col("id"), salts=8).select("id", "old", F.least("component", "root").alias("component"))
         step = cut(step)
         labels = step.select("id", "component")
         if step.filter("old <> component").isEmpty():
@@ -181,12 +187,12 @@ def components(nodes: DataFrame, link: DataFrame) -> DataFrame:
 
 def keep_representatives(items: DataFrame, labels: DataFrame) -> DataFrame:
     """Stage one: the smallest id of each cluster stays."""
-    return items.join(labels.filter("id = component").select("id"), "id", "left_semi")
+    return items.join(sided(labels.filter("id = component").select("id")), "id", "left_semi")
 
 
 def representatives(items: DataFrame, labels: DataFrame) -> DataFrame:
     """Most executed member of each cluster with the cluster size."""
-    rows = items.join(labels, "id")
+    rows = items.join(sided(labels), "id")
     best = first_per_key(rows.select("component", "id", "exec_count"), ["component"],
                          F.struct(-F.col("exec_count"), F.col("id")))
     sizes = rows.groupBy("component").agg(F.count("*").alias("members"), F.sum("exec_count").alias("total_exec_count"))
