@@ -8,6 +8,7 @@ from querylode.functions import sqltext as S
 from querylode.functions import tokens as K
 from querylode.operators import retrieval as R
 from querylode.operators.ordering import top_k
+from querylode.sizing import small_side
 
 
 def assemble(hits: DataFrame, templates: DataFrame, contexts: DataFrame, questions: DataFrame | None = None) -> DataFrame:
@@ -16,13 +17,16 @@ def assemble(hits: DataFrame, templates: DataFrame, contexts: DataFrame, questio
     ``hits`` is ``query, doc (template_id), rank``; ``contexts`` is ``table_name, context``.  At most k templates and
     their few tables meet in one row.  Of ``questions`` (query) those without a hit get an empty context.
     """
-    rows = hits.join(templates.select(F.col("template_id").alias("doc"), "template_text", "tables"), "doc")
-    texts = rows.groupBy("query").agg(F.array_sort(F.collect_list(F.struct("rank", "template_text"))).alias("t"))
-    used = rows.select("query", F.explode(F.array_distinct("tables")).alias("table_name")).distinct().join(contexts, "table_name")
-    blocks = used.groupBy("query").agg(F.array_sort(F.collect_list(F.struct("table_name", "context"))).alias("c"))
+    # Few templates and tables serve all queries, so they go to the queries; these stay where the search has left them.
+    rows = hits.join(small_side(templates.select(F.col("template_id").alias("doc"), "template_text", "tables")), "doc")
+    texts = rows.groupBy("query").agg(F.array_sort(F.collect_list(F.struct("rank", "template_text"))).alias("t"),
+                                      F.array_distinct(F.flatten(F.collect_list("tables"))).alias("names"))
+    used = texts.select("query", "t", F.explode_outer("names").alias("table_name")).join(small_side(contexts), "table_name", "left")
+    block = F.when(F.col("context").isNotNull(), F.struct("table_name", "context"))
+    found = used.groupBy("query").agg(F.first("t").alias("t"), F.array_sort(F.collect_list(block)).alias("c"))
     if questions is not None:
-        texts = questions.select("query").join(texts, "query", "left")
-    return texts.join(blocks, "query", "left").select("query", F.concat_ws("\n", F.col("t.template_text"), F.col("c.context")).alias("context"))
+        found = questions.select("query").join(found, "query", "left")
+    return found.select("query", F.concat_ws("\n", F.col("t.template_text"), F.col("c.context")).alias("context"))
 
 
 def glossary_search(queries: DataFrame, query: str, text: str, glossary: DataFrame, k: int = 5) -> DataFrame:

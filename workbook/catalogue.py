@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from querylode.functions import sqltext as S
+from querylode.lineage import stored
 from querylode.operators import context, graph, joinability, linking, profile, prompts, registry, retrieval as R, usage
 from querylode.plans import templates
 from querylode.sources import catalog, derived, registry_json
@@ -210,7 +211,7 @@ terms AS (SELECT query, term, count(*) AS qtf FROM (SELECT query, unnest({D.toke
 
 
 def _template_index(spark, d):
-    return R.Index(_distinct(spark, d), "template_id", "template_text")
+    return R.Index(stored(_distinct(spark, d), "templates"), "template_id", "template_text")
 
 
 @query("d20_stage_routing", D.with_(D.LOGS, _FIRST, "questions AS (SELECT DISTINCT lower(sql_text) AS question FROM sql_logs)", TEMPLATE_SEARCH, TFIDF, top("cosine", 1)) + """
@@ -228,7 +229,7 @@ def d20(spark, d):
 , blocks AS (SELECT query, string_agg(context, chr(10) ORDER BY table_name) AS c FROM used JOIN contexts USING (table_name) GROUP BY query)
 SELECT query, concat_ws(chr(10), t, c) AS context FROM dq LEFT JOIN texts USING (query) LEFT JOIN blocks USING (query)""")
 def d14(spark, d):
-    found = _distinct(spark, d)
+    found = stored(_distinct(spark, d), "templates")
     asked = derived.questions(spark, d).select("question").distinct()
     hits = R.bm25_search(asked, "question", "question", R.Index(found, "template_id", "template_text"), 3)
     blocks = prompts.table_context(catalog.star_tables(spark), _columns(spark, d))
