@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from querylode import sizing
-from querylode.operators import context, neardup, retrieval as R
+from querylode.operators import context, linking, neardup, retrieval as R
 
 
 def _plan(df) -> str:
@@ -87,3 +87,31 @@ def test_context_keeps_queries_where_they_are(spark):
     assert {tuple(r) for r in found.collect()} == {
         ("a", "SELECT 1\nSELECT 2\nabout x\nabout y"), ("b", "SELECT 1\nabout x\nabout y"), ("c", "")}
     assert "hashpartitioning(doc" not in _plan(found) and "hashpartitioning(table_name" not in _plan(found)
+
+
+def test_first_pieces_hold_every_log_a_gram_join_finds(spark, monkeypatch):
+    """Numbers share grams: one of 400 needles would meet dozens of the 1,000 words, and meets only what contains it."""
+    logs = spark.range(1000).selectExpr("lpad(cast(id as string), 5, '0') AS sql_id", "concat('SELECT ', 700000 + id * 37, ' FROM tmp_', id) AS sql_text")
+    words = spark.createDataFrame([(f"s{n}", str(n)) for n in range(0, 400)] + [("s1", "tmp_99"), ("s2", "70 0"), ("s3", "none")], "set_id string, keyword string")
+    monkeypatch.setattr(linking, "contains_join", None)  # a gram of three characters is no key for numbers
+    found = {(r["set_id"], r["sql_id"]) for r in linking.similar_logs(words, logs).collect()}
+    texts = {r["sql_id"]: r["sql_text"].lower() for r in logs.collect()}
+    wanted = {}
+    for s, w in {tuple(r) for r in words.collect()}:
+        wanted.setdefault(s, set()).update(sorted(i for i, t in texts.items() if w in t)[:3])
+    assert found == {(s, i) for s, ids in wanted.items() for i in sorted(ids)[:3]}
+
+
+def test_rag_hands_no_idle_synonyms_to_the_sets(spark, monkeypatch):
+    """A keyword that lies in every glossary entry must not bring all of them to every question that has it."""
+    tables = spark.createDataFrame([("part", "things", "buy", 0), ("blue_stock", "store", "keep", 1)], "table_name string, description string, purpose string, pos int")
+    columns = spark.createDataFrame([("part", "p_size", "", 0)], "table_name string, column_name string, description string, pos int")
+    glossary = spark.createDataFrame([(f"term{i}", None, "widget of some kind", None, i) for i in range(50)] + [("blue", None, "widget in blue", None, 60)],
+                                     "term string, korean_name string, description string, category string, pos long")
+    logs = spark.createDataFrame([("L1", "SELECT a FROM blue_stock"), ("L2", "SELECT term7 FROM part"), ("L3", "SELECT 1 FROM other")], "sql_id string, sql_text string")
+    questions = spark.createDataFrame([(i, f"widget {100 + i}") for i in range(20)], "question_id long, question string")
+    sizes, expanded = [], linking.expanded
+    monkeypatch.setattr(linking, "expanded", lambda words, found: (lambda out: sizes.append(out.count()) or out)(expanded(words, found)))
+    rows = linking.link_rag(questions, tables, columns, glossary, logs).collect()
+    assert {(r["table_name"], r["rank"], round(r["score"], 6)) for r in rows} == {("blue_stock", 1, 0.45), ("part", 2, 0.15)} and len(rows) == 40
+    assert sizes == [60]  # two keywords and the one synonym that names a table, for each question
