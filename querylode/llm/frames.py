@@ -17,7 +17,7 @@ HEAD = 7
 
 
 def _bits(values: np.ndarray) -> np.ndarray:
-    return np.where(values > 0, np.frexp(values.astype(np.float64))[1], 0)
+    return np.frexp(values.astype(np.float64))[1]  # 0 for 0
 
 
 def encode(values: np.ndarray, percentile: float = 0.9) -> bytes:
@@ -25,13 +25,14 @@ def encode(values: np.ndarray, percentile: float = 0.9) -> bytes:
     blocks = -(-n // BLOCK)
     if not n:
         return MAGIC + np.array([0, 0], "<u4").tobytes()
-    padded = np.full(blocks * BLOCK, values[-1], np.int64)
+    padded = np.full(blocks * BLOCK, values[-1], np.uint32)
     padded[:n] = values
     grid = padded.reshape(blocks, BLOCK)
     least = grid.min(axis=1)
     diff = grid - least[:, None]
     need = _bits(diff)
-    width = np.sort(need, axis=1)[:, min(BLOCK - 1, int(np.ceil(percentile * BLOCK)) - 1)]
+    place = min(BLOCK - 1, int(np.ceil(percentile * BLOCK)) - 1)
+    width = np.partition(need, place, axis=1)[:, place].astype(np.int64)
     at_block, at = np.nonzero(need > width[:, None])
     n_exc = np.bincount(at_block, minlength=blocks)
     packed = BLOCK // 8 * width
@@ -86,10 +87,14 @@ def decode(data: bytes, first: int = 0, stop: int | None = None) -> np.ndarray:
     out = np.zeros((high - low, BLOCK), np.int64)
     for w in np.unique(width[width > 0]):
         rows = np.flatnonzero(width == w)
-        flags = np.unpackbits(raw[(start[rows] + HEAD)[:, None] + np.arange(BLOCK // 8 * w)], axis=1, bitorder="little")
-        full = np.zeros((len(rows), BLOCK, 16 if w <= 16 else 32), np.uint8)
-        full[:, :, :w] = flags.reshape(len(rows), BLOCK, w)
-        out[rows] = np.packbits(full, axis=2, bitorder="little").view("<u2" if w <= 16 else "<u4")[:, :, 0]
+        packed = np.zeros((len(rows), BLOCK // 8 * w + 8), np.uint8)  # a value is read with the bytes behind it
+        packed[:, :-8] = raw[(start[rows] + HEAD)[:, None] + np.arange(BLOCK // 8 * w)]
+        at = np.arange(8) * w  # eight values fill w bytes, so each of the eight stands at the same bit in all groups of them
+        for i, (byte, bit) in enumerate(zip(at // 8, at % 8)):
+            column = np.zeros((len(rows), BLOCK // 8), np.uint64)
+            for more in range((bit + w + 7) // 8):
+                column |= packed[:, byte + more : byte + more + BLOCK // 8 * w : w].astype(np.uint64) << np.uint64(8 * more)
+            out[rows, i::8] = (column >> np.uint64(bit)) & np.uint64((1 << int(w)) - 1)
     if n_exc.any():
         of = np.repeat(np.arange(high - low), n_exc)
         rank = np.arange(len(of)) - np.repeat(np.cumsum(n_exc) - n_exc, n_exc)

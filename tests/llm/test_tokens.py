@@ -42,6 +42,33 @@ def test_pieces_give_the_ids_of_whole_texts(vocabulary, plain, as_text):
             assert ids[offsets[i] : offsets[i + 1]].tolist() == [*plain(text), 7], text
 
 
+def test_a_piece_is_looked_up_once_however_often_it_stands_in_the_texts(vocabulary, plain):
+    class Counting(type(encoding.Encoder(vocabulary).numbers)):
+        looked = 0
+
+        def __getitem__(self, piece):
+            self.looked += 1
+            return super().__getitem__(piece)
+
+    coder, texts = encoding.Encoder(vocabulary), ["one two, three. " * 500 + "four", "two  \n three one", "", "three\none" * 50]
+    numbers = Counting()
+    numbers.update(coder.numbers)
+    coder.numbers = numbers
+    ids, offsets = coder.encode(texts)
+    assert [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:])] == [plain(t).tolist() for t in texts]
+    assert numbers.looked < 30
+
+
+def test_special_tokens_stand_only_between_pieces_that_need_them(vocabulary, plain, monkeypatch):
+    coder, parted = encoding.Encoder(vocabulary), []
+    was = coder._parted
+    monkeypatch.setattr(coder, "_parted", lambda texts: parted.extend(texts) or was(texts))
+    texts = ["zero " + " ".join(f"w{i}é" for i in range(5000)), "\tx", *HARD]
+    ids, offsets = coder.encode(texts)
+    assert [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:])] == [plain(t).tolist() for t in texts]
+    assert len(parted) < 2 * len(texts)
+
+
 @pytest.mark.parametrize("n", [0, 1, 255, 256, 257, 4000])
 def test_packed_integers_come_back(n):
     values = (np.random.default_rng(n).zipf(1.3, n) % 50257).astype(np.uint32)
