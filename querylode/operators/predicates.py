@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from querylode.functions import clauses as C
 from querylode.functions import sqltext as S
+from querylode.functions import tokens as K
 from querylode.lineage import stored
 
 def _sql():
@@ -49,8 +50,8 @@ def literal_values(logs: DataFrame) -> DataFrame:
 # --- nested statements ---------------------------------------------------------------------------------
 
 def scanned(logs: DataFrame) -> DataFrame:
-    """``statement, clauses`` of each distinct statement; what follows reads a text once, however often it was logged."""
-    shapes = logs.select(_sql().alias("statement")).distinct()
+    """``statement, n, clauses`` of each distinct statement that was logged ``n`` times; what follows reads a text once."""
+    shapes = logs.groupBy(_sql().alias("statement")).agg(F.count("*").alias("n"))
     return stored(shapes.withColumn("clauses", C.clauses(F.col("statement"))), "clauses")
 
 
@@ -73,49 +74,49 @@ def nested_predicates(logs: DataFrame, *contexts: str) -> DataFrame:
     return _of_logs(logs, scanned(logs).select("statement", F.inline(C.comparisons(F.col("clauses"), *contexts))))
 
 
-def _owned(uses: DataFrame, named: DataFrame) -> DataFrame:
-    """``uses`` (statement, query, column) with the table a column belongs to.
+def _owner(use: Column, column: Column, named: Column) -> Column:
+    """The table that ``column``, which a SELECT (``use.query``) of a statement names, belongs to; ``named`` are the statement's sources.
 
     A qualifier is an alias of the column's own SELECT, else of the nearest earlier one that has it (correlated columns, CTEs); a column
-    without one belongs to the only table its SELECT reads by name. Others (of derived tables, of several tables) have none.
+    without one belongs to the only table its SELECT reads by name. Others (of derived tables, of several tables) have none: null.
     """
-    alone = named.groupBy("statement", "query").agg(F.min("table").alias("only"), F.count("*").alias("n")).where("n = 1").drop("n")
-    part = F.regexp_extract("column", r"([^.]*)\.[^.]*$", 1)
-    rows = uses.withColumn("alias", F.when(part != "", part))
-    above = named.select("statement", "alias", F.col("query").alias("_query"), "table")
-    found = rows.where("alias is not null").join(above, ["statement", "alias"]).where("_query <= query")
-    nearest = found.groupBy(*rows.columns).agg(F.max_by("table", "_query").alias("table_name"))
-    bare = rows.where("alias is null").join(alone, ["statement", "query"]).select(*rows.columns, F.col("only").alias("table_name"))
-    return nearest.unionByName(bare).drop("alias").withColumn("column_name", S.last_part(F.col("column")))
+    alias = F.regexp_extract(column, r"([^.]*)\.[^.]*$", 1)
+    above = F.filter(named, lambda s: (s["alias"] == alias) & (s["query"] <= use["query"]))
+    nearest = F.array_max(F.transform(above, lambda s: F.struct(s["query"].alias("query"), s["table"].alias("table"))))["table"]
+    own = F.filter(named, lambda s: s["query"] == use["query"])
+    return F.when(alias != "", nearest).when(F.size(own) == 1, F.get(own, F.lit(0))["table"])
 
 
 def nested_column_uses(logs: DataFrame) -> DataFrame:
-    """``table_name, column_name, context, n``: logs that use a table's column in a SELECT list, WHERE or join condition at any depth."""
-    read = scanned(logs)
-    named = read.select("statement", F.inline(C.sources(F.col("clauses"))))
-    owned = _owned(read.select("statement", F.inline(C.column_uses(F.col("clauses")))), named)
-    counts = logs.groupBy(_sql().alias("statement")).agg(F.count("*").alias("n"))
-    once = owned.select("statement", "table_name", "column_name", "context").distinct()
-    return once.join(counts, "statement").groupBy("table_name", "column_name", "context").agg(F.sum("n").alias("n"))
+    """``table_name, column_name, context, n``: logs that use a table's column in a SELECT list, WHERE or join condition at any depth.
+
+    A statement's sources and uses meet inside its row, so that statements are not joined to each other's parts by their text.
+    """
+    read = scanned(logs).select("n", C.sources(F.col("clauses")).alias("named"), C.column_uses(F.col("clauses")).alias("uses"))
+    owned = F.transform("uses", lambda u: F.struct(
+        _owner(u, u["column"], F.col("named")).alias("table_name"), S.last_part(u["column"]).alias("column_name"), u["context"].alias("context")))
+    once = read.select("n", F.array_distinct(F.filter(owned, lambda u: u["table_name"].isNotNull())).alias("once"))
+    return K.unnest(once, "once", "u").select("n", "u.*").groupBy("table_name", "column_name", "context").agg(F.sum("n").alias("n"))
 
 
 def nested_join_patterns(logs: DataFrame) -> DataFrame:
     """``table_name, target_table, join_column, join_count``, seen from both sides: equalities of two qualified columns in join conditions
     or in WHERE (of comma joins and correlated queries), and the shared columns of USING."""
-    read = scanned(logs)
-    named = stored(read.select("statement", F.inline(C.sources(F.col("clauses")))), "sources")
-    equal = read.select("statement", F.posexplode(C.comparisons(F.col("clauses"), "on", "where")).alias("pair", "p")).where("p.op = '='")
-    equal = equal.select("statement", "pair", "p.query", F.posexplode(F.array("p.left", "p.right")).alias("side", "column"))
-    sides = stored(_owned(equal.where(F.col("column").rlike(r"^\w+\.\w+$")), named), "sides")
-    mine = sides.select("statement", "pair", F.col("table_name"), F.col("column_name").alias("join_column"), "side")
-    other = sides.select("statement", "pair", F.col("table_name").alias("target_table"), (1 - F.col("side")).alias("side"))
-    met = mine.join(other, ["statement", "pair", "side"]).select("statement", "table_name", "target_table", "join_column")
-    tied = read.select("statement", F.inline(C.all_joins(F.col("clauses")))).where("how = 'USING'")
-    first = read.select("statement", F.explode("clauses").alias("r")).where("r.what = 'from'").select(
-        "statement", "r.query", F.regexp_extract("r.left", r"(?U)^(?:\w+\.)*([A-Za-z_]\w*)", 1).alias("main")).where("main <> ''")
-    shared = tied.join(first, ["statement", "query"]).select("statement", "main", "table", F.explode("shared").alias("join_column"))
-    both = shared.select("statement", F.inline(F.array(
-        F.struct(F.col("main").alias("table_name"), F.col("table").alias("target_table"), "join_column"),
-        F.struct(F.col("table").alias("table_name"), F.col("main").alias("target_table"), "join_column"))))
-    counts = logs.groupBy(_sql().alias("statement")).agg(F.count("*").alias("n"))
-    return met.unionByName(both).join(counts, "statement").groupBy("table_name", "target_table", "join_column").agg(F.sum("n").alias("join_count"))
+    found = F.col("clauses")
+    firsts = F.transform(F.filter(found, lambda r: r["what"] == "from"), lambda r: F.struct(
+        r["query"].alias("query"), F.regexp_extract(r["left"], r"(?U)^(?:\w+\.)*([A-Za-z_]\w*)", 1).alias("main")))
+    read = scanned(logs).select(
+        "n", C.sources(found).alias("named"), C.comparisons(found, "on", "where").alias("compared"), firsts.alias("firsts"), C.all_joins(found).alias("joins"))
+    qualified = r"^\w+\.\w+$"
+    equal = F.filter("compared", lambda p: (p["op"] == "=") & p["left"].rlike(qualified) & p["right"].rlike(qualified))
+    ends = F.transform(equal, lambda p: F.struct(
+        _owner(p, p["left"], F.col("named")).alias("a"), S.last_part(p["left"]).alias("a_column"),
+        _owner(p, p["right"], F.col("named")).alias("b"), S.last_part(p["right"]).alias("b_column")))
+    met = K.unnest(read.select("n", ends.alias("ends")), "ends", "e").where("e.a is not null and e.b is not null").select(
+        "n", F.col("e.a").alias("a"), F.col("e.b").alias("b"), F.col("e.a_column").alias("a_column"), F.col("e.b_column").alias("b_column"))
+    tied = K.unnest(read.select("n", "firsts", F.filter("joins", lambda j: j["how"] == "USING").alias("tied")), "tied", "j")
+    tied = tied.select("n", "j", F.explode("firsts").alias("f")).where("f.query = j.query and f.main <> ''")
+    shared = tied.select("n", F.col("f.main").alias("a"), F.col("j.table").alias("b"), F.explode("j.shared").alias("a_column")).withColumn("b_column", F.col("a_column"))
+    seen = F.array(*[F.struct(F.col(x).alias("table_name"), F.col(y).alias("target_table"), F.col(f"{x}_column").alias("join_column")) for x, y in (("a", "b"), ("b", "a"))])
+    both = met.unionByName(shared).select("n", F.inline(seen))
+    return both.groupBy("table_name", "target_table", "join_column").agg(F.sum("n").alias("join_count"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from querylode import sizing
-from querylode.operators import context, linking, neardup, retrieval as R
+from querylode.operators import context, linking, neardup, predicates, retrieval as R
 
 
 def _plan(df) -> str:
@@ -115,3 +115,20 @@ def test_rag_hands_no_idle_synonyms_to_the_sets(spark, monkeypatch):
     rows = linking.link_rag(questions, tables, columns, glossary, logs).collect()
     assert {(r["table_name"], r["rank"], round(r["score"], 6)) for r in rows} == {("blue_stock", 1, 0.45), ("part", 2, 0.15)} and len(rows) == 40
     assert sizes == [60]  # two keywords and the one synonym that names a table, for each question
+
+
+def test_parts_of_a_statement_meet_inside_its_row(spark):
+    """A column finds its table, and an equality its other side, without a join of statements by their text."""
+    texts = [
+        "SELECT a.x, y FROM t a WHERE EXISTS (SELECT 1 FROM u b WHERE b.k = a.k AND c.z = 1)",
+        "SELECT a.x FROM t a, (SELECT a.x FROM v a WHERE a.q = 2) d WHERE a.x = d.x",
+        "SELECT p FROM m JOIN n USING (i, j)", "SELECT 1", None,
+    ]
+    logs = spark.createDataFrame([(t,) for t in [*texts, texts[0]]], "sql_text string")
+    uses, patterns = predicates.nested_column_uses(logs), predicates.nested_join_patterns(logs)
+    assert {tuple(r) for r in uses.collect()} == {
+        ("t", "x", "select", 3), ("t", "y", "select", 2), ("u", "k", "where", 2), ("t", "k", "where", 2),
+        ("v", "x", "select", 1), ("v", "q", "where", 1), ("t", "x", "where", 1)}
+    assert {tuple(r) for r in patterns.collect()} == {
+        ("u", "t", "k", 2), ("t", "u", "k", 2), ("m", "n", "i", 1), ("n", "m", "i", 1), ("m", "n", "j", 1), ("n", "m", "j", 1)}
+    assert "Join" not in _plan(uses) and "Join" not in _plan(patterns)
