@@ -65,6 +65,8 @@ def _sets(size: int, percent: int, whole: bool):
                     counts = [np.bincount((s % np.uint64(PARTS)).astype(np.int64), minlength=PARTS) for s in found]
                     columns.append(pa.array(counts, pa.list_(pa.int32())))
                 yield pa.RecordBatch.from_arrays(columns, names=["row", "doc_id", "set", "n", "tokens", "counts"][: len(columns)])
+        batch = texts = found = kept = columns = counts = None
+        worker.release()  # idle workers stay beside the stages that need none
 
     return build
 
@@ -100,6 +102,8 @@ def _compared(percent: int):
                 if 100 * both >= percent * (len(x) + len(y) - both):
                     left.append(a.as_py()), right.append(b.as_py())
             yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
+        batch = None
+        worker.release()
 
     return compare
 

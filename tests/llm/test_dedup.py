@@ -8,10 +8,11 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from querylode.llm import exact_dedup, ngram_join, shingles, suffix_dedup
+from querylode.llm import exact_dedup, ngram_join, shingles, suffix_dedup, worker
 
 
 def test_exact_dedup_odd_rows(odd_docs, no_docs):
@@ -143,3 +144,15 @@ def test_removed_bytes_match_brute_force(spark):
 
 def test_removed_bytes_of_no_rows(no_docs):
     assert suffix_dedup.remove_repeats(no_docs).count() == 0
+
+
+def test_tasks_of_the_ngram_join_give_their_memory_back(monkeypatch):
+    """A worker that waits lies beside the stages that need none: the last thing a task does is to free what it took."""
+    left = []
+    monkeypatch.setattr(worker, "release", lambda: left.append("released"))
+    texts = pa.RecordBatch.from_pydict({"row": [1, 2], "doc_id": [1, 2], "text": ["a b c d", None]})
+    for whole in (False, True):
+        left.clear()
+        assert len([*ngram_join._sets(3, 90, whole)(iter([texts]))]) == 1 and left == ["released", "released"]
+    left.clear()
+    assert not [*ngram_join._compared(90)(iter([]))] and left == ["released"]
