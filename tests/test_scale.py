@@ -132,3 +132,26 @@ def test_parts_of_a_statement_meet_inside_its_row(spark):
     assert {tuple(r) for r in patterns.collect()} == {
         ("u", "t", "k", 2), ("t", "u", "k", 2), ("m", "n", "i", 1), ("n", "m", "i", 1), ("m", "n", "j", 1), ("n", "m", "j", 1)}
     assert "Join" not in _plan(uses) and "Join" not in _plan(patterns)
+
+
+def test_linkers_share_what_they_need_of_the_same_questions(spark, monkeypatch):
+    asked, matched = [], []
+    was, words = linking.synonyms, linking.keyword_sets
+    monkeypatch.setattr(linking, "synonyms", lambda *a: matched.append(1) or was(*a))
+    monkeypatch.setattr(linking, "keyword_sets", lambda *a: asked.append(1) or words(*a))
+    questions = spark.createDataFrame([(1, "price of each gadget"), (2, "who sells lamps"), (3, None), (4, "price of each gadget")], "question_id long, question string")
+    tables = spark.createDataFrame([("goods", "gadget price list", "prices", 1), ("shops", "who sells", "sellers", 2)], "table_name string, description string, purpose string, pos int")
+    columns = spark.createDataFrame([("goods", "price", "price", 1), ("shops", "name", "", 2)], "table_name string, column_name string, description string, pos int")
+    glossary = spark.createDataFrame([("lamps", "goods", "things", "c", 1)], "term string, korean_name string, description string, category string, pos long")
+    edges = spark.createDataFrame([], "table_a string, table_b string, join_columns array<string>, common long, jaccard double, join_type string")
+
+    def runs(**more):
+        return [{tuple(r) for r in df.collect()} for df in (
+            linking.link_forward(questions, tables, columns, glossary, **more), linking.link_purpose(questions, tables, **more))]
+
+    alone, shared = runs(), linking.Shared()
+    assert len(asked) == 2 and all(alone)
+    asked.clear(), matched.clear()
+    assert runs(shared=shared) == alone
+    linking.link_bidirectional(questions, tables, columns, glossary, edges, refine=False, shared=shared)
+    assert (len(asked), len(matched)) == (1, 1)
