@@ -8,15 +8,17 @@ order all tokens are put in. Three orders are used:
 * the second and third are ascending and descending hashes, of which stored sets are sorted slices.
 
 Pairs come from the buckets of the first order, must also meet under the other two, and are compared as whole sets. Buckets never
-emit all their pairs: members are first compared with a leader of their size band, the one whose tokens are most common; only
-members that end up in different components are paired with each other. Tokens that no other surviving node has bound the overlap
-of a node with anything, which removes nodes before pairs are made.
+emit all their pairs: members are first compared with a leader of their size band, the one whose tokens are most common; where many
+members then still are in different components, leaders of other components follow, as long as that joins them. Only members that
+end up in different components are paired with each other, and only if their sketches leave enough in common. Tokens that no
+other surviving node has bound the overlap of a node with anything, which removes nodes before pairs are made.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -28,8 +30,10 @@ from querylode.operators import neardup
 
 #: Bytes of text whose words are hashed at a time; the arrays in between take 50 times as much.
 SLICE = 1 << 19
-#: Parts of the hash range whose tokens are counted per set: sets that differ by d tokens differ by at most d in these counts.
-PARTS = 64
+#: Longs of a sketch. Each of its bits says whether an odd number of tokens has that hash: sets that differ by d tokens differ by at most d bits.
+SKETCH = 16
+#: Pairs of different components that a row of an open bucket may stand for on average before more leaders are tried.
+CROWD = 4
 
 
 def _least(n, percent: int):
@@ -42,6 +46,12 @@ def _first_class(percent: int) -> int:
     return (1 << 63) * min(100, 4 * (100 - percent)) // 100
 
 
+def _sketch(tokens: np.ndarray) -> np.ndarray:
+    """The parities of the numbers of tokens by hash, as ``SKETCH`` longs."""
+    odd = np.bincount((tokens % np.uint64(64 * SKETCH)).astype(np.int64), minlength=64 * SKETCH) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
+
+
 def _sets(size: int, percent: int, whole: bool):
     """row, doc_id, set (64 bits of the fingerprint), n, and the tokens: all of them, or those that the first order needs."""
 
@@ -62,10 +72,10 @@ def _sets(size: int, percent: int, whole: bool):
                 columns = [batch.column("row").slice(first, len(texts)), pa.array(doc_ids[first : first + len(texts)], pa.int64()), pa.array(ids, pa.int64()),
                            pa.array([len(s) for s in found], pa.int32()), pa.array(kept, pa.binary())]
                 if whole:
-                    counts = [np.bincount((s % np.uint64(PARTS)).astype(np.int64), minlength=PARTS) for s in found]
-                    columns.append(pa.array(counts, pa.list_(pa.int32())))
-                yield pa.RecordBatch.from_arrays(columns, names=["row", "doc_id", "set", "n", "tokens", "counts"][: len(columns)])
-        batch = texts = found = kept = columns = counts = None
+                    sketches = [_sketch(s) for s in found]
+                    columns.append(pa.array(sketches, pa.list_(pa.int64())))
+                yield pa.RecordBatch.from_arrays(columns, names=["row", "doc_id", "set", "n", "tokens", "sketch"][: len(columns)])
+        batch = texts = found = kept = columns = sketches = None
         worker.release()  # idle workers stay beside the stages that need none
 
     return build
@@ -122,10 +132,10 @@ def _room(n: Column, m: Column, percent: int) -> Column:
 
 
 def _may_link(a: str, b: str, percent: int) -> Column:
-    """Sizes, own tokens, places of the shared token and counts by part leave enough in common."""
+    """Sizes, own tokens, places of the shared token and sketches leave enough in common."""
     c = lambda side, name: F.col(f"{side}.{name}")
     fits = lambda s, o: F.greatest(c(s, "own"), c(s, "pos")) <= _room(c(s, "n"), c(o, "n"), percent)
-    apart = F.aggregate(F.zip_with(c(a, "counts"), c(b, "counts"), lambda x, y: F.abs(x - y)), F.lit(0), lambda x, y: x + y)
+    apart = reduce(lambda x, y: x + y, [F.bit_count(c(a, "sketch")[i].bitwiseXOR(c(b, "sketch")[i])) for i in range(SKETCH)])
     total = c(a, "n") + c(b, "n")
     return fits(a, b) & fits(b, a) & (apart <= total - 2 * F.ceil(total * percent / (100 + percent)))
 
@@ -173,34 +183,36 @@ def near_sets(docs: DataFrame, size: int = 3, percent: int = 90) -> tuple[DataFr
     first = lineage.stored(first.join(met, "token", "left_semi"), "met-prefixes")
 
     alive = sizing.small_side(lineage.stored(first.select("row", F.col("set").alias("alive")).distinct(), "alive"))
-    again = texts.join(alive, "row").select("row", "doc_id", "text").mapInArrow(_sets(size, percent, True), f"{schema}, counts array<int>")
+    again = texts.join(alive, "row").select("row", "doc_id", "text").mapInArrow(_sets(size, percent, True), f"{schema}, sketch array<long>")
     # Rows of one key may bring other texts along; and several texts may have the same set.
     full = again.join(alive.select("alive").distinct(), F.col("set") == F.col("alive"), "left_semi").groupBy("set").agg(
-        F.first("n").alias("n"), F.first("tokens").alias("tokens"), F.first("counts").alias("counts"))
+        F.first("n").alias("n"), F.first("tokens").alias("tokens"), F.first("sketch").alias("sketch"))
     full = lineage.stored(full, "alive-sets")
     shared = _frequent(full.select("set", "tokens").mapInArrow(_spread, "token long, set long"))
     kept = shared.groupBy("set").agg(F.count("*").alias("shared"), F.sum(F.least("df", F.lit(1 << 30))).alias("common"))
-    owned = full.select("set", "n", "counts").join(kept, "set", "left").withColumn("own", F.col("n") - F.coalesce("shared", F.lit(0)))
+    owned = full.select("set", "n", "sketch").join(kept, "set", "left").withColumn("own", F.col("n") - F.coalesce("shared", F.lit(0)))
     owned = owned.where(F.col("own") <= F.col("n") - F.ceil(F.col("n") * percent / 100))
-    owned = owned.select("set", "own", "counts", (-F.col("common") / F.col("n")).alias("remote"))
+    owned = owned.select("set", "own", "sketch", (-F.col("common") / F.col("n")).alias("remote"))
     first = first.drop("row").join(owned, "set")
     first = first.withColumn("band", F.floor(F.log(F.col("n").cast("double")) / -math.log(percent / 100)).cast("int"))
     first = lineage.stored(first.withColumn("own", F.col("own").cast("int")), "buckets")
 
     # A leader per token and size band; members of its band and of the next one meet it.
-    lead = first.groupBy("token", "band").agg(F.min(F.struct("remote", "own", "pos", "n", "set", "counts")).alias("l"))
-    lead = lead.select("token", F.explode(F.array("band", F.col("band") + 1)).alias("band"), "l.own", "l.pos", "l.n", "l.set", "l.counts")
-    stars = first.alias("x").join(lead.alias("y"), ["token", "band"]).where((F.col("x.set") != F.col("y.set")) & _may_link("x", "y", percent))
-    pairs = stars.select(F.least("x.set", "y.set").alias("a"), F.greatest("x.set", "y.set").alias("b")).distinct()
-    pairs = lineage.stored(pairs, "star-pairs")
+    pairs = lineage.stored(_stars(first, _leaders(first), percent), "star-pairs")
     links = lineage.stored(_linked(pairs, full, percent), "star-links")
 
     # What the leaders did not settle: pairs of different components that share a bucket.
-    label = _labels(links)
-    colour = first.join(label, F.col("set") == F.col("id"), "left").withColumn("part", F.coalesce("component", "set")).drop("id", "component")
-    colour = lineage.stored(colour, "coloured")
-    mixed = colour.groupBy("token").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high").select("token")
-    open_rows = lineage.stored(colour.join(mixed, "token", "left_semi"), "open-buckets")
+    open_rows, left = _open(first, links), None
+    while (rows := open_rows.count()) and (crossing := _crossing(open_rows)) > CROWD * rows and (left is None or 2 * crossing <= left):
+        left = crossing
+        again = _stars(open_rows, _other_leaders(open_rows), percent, F.col("x.part") != F.col("y.part"))
+        again = lineage.stored(again.join(pairs, ["a", "b"], "left_anti"), "star-pairs")
+        found = lineage.stored(_linked(again, full, percent), "star-links")
+        pairs = pairs.unionByName(again)
+        if found.isEmpty():
+            break
+        links = links.unionByName(found)
+        open_rows = _open(first, links)
     other = open_rows.alias("x").join(open_rows.alias("y"), F.col("x.token") == F.col("y.token")).where(
         (F.col("x.set") < F.col("y.set")) & (F.col("x.part") != F.col("y.part")) & _may_link("x", "y", percent))
     rest = other.select(F.col("x.set").alias("a"), F.col("y.set").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti")
@@ -208,6 +220,44 @@ def near_sets(docs: DataFrame, size: int = 3, percent: int = 90) -> tuple[DataFr
     return every.select("row", "doc_id", "set", "n"), links.unionByName(more)
 
 
+_LEADER = ("own", "pos", "n", "set", "sketch")
+
+
+def _leaders(first: DataFrame) -> DataFrame:
+    """Per token and size band the set whose tokens are most common."""
+    return first.groupBy("token", "band").agg(F.min(F.struct("remote", *_LEADER)).alias("l"))
+
+
+def _other_leaders(rows: DataFrame) -> DataFrame:
+    """The same among the sets of other components than that of the first choice."""
+    best = rows.groupBy("token", "band").agg(F.min(F.struct("remote", "set", "part")).alias("b")).select("token", "band", F.col("b.part").alias("taken"))
+    return rows.join(best, ["token", "band"]).where("part <> taken").groupBy("token", "band").agg(F.min(F.struct("remote", *_LEADER, "part")).alias("l"))
+
+
+def _stars(first: DataFrame, lead: DataFrame, percent: int, also: Column | None = None) -> DataFrame:
+    """Pairs (a, b) of sets with the leaders (token, band, l) of their own size band and of the one below."""
+    lead = lead.select("token", F.explode(F.array("band", F.col("band") + 1)).alias("band"), "l.*").drop("remote")
+    stars = first.alias("x").join(lead.alias("y"), ["token", "band"]).where((F.col("x.set") != F.col("y.set")) & _may_link("x", "y", percent))
+    stars = stars if also is None else stars.where(also)
+    return stars.select(F.least("x.set", "y.set").alias("a"), F.greatest("x.set", "y.set").alias("b")).distinct()
+
+
+def _open(first: DataFrame, links: DataFrame) -> DataFrame:
+    """Rows of the buckets that hold sets of several components, with their component (part)."""
+    label = _labels(links)
+    colour = first.join(label, F.col("set") == F.col("id"), "left").withColumn("part", F.coalesce("component", "set")).drop("id", "component")
+    colour = lineage.stored(colour, "coloured")
+    mixed = colour.groupBy("token").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high").select("token")
+    return lineage.stored(colour.join(mixed, "token", "left_semi"), "open-buckets")
+
+
+def _crossing(rows: DataFrame) -> float:
+    """Pairs of rows of one bucket and different components."""
+    parts = rows.groupBy("token", "part").agg(F.count("*").cast("double").alias("c"))
+    both = parts.groupBy("token").agg(F.sum("c").alias("c"), F.sum(F.col("c") * F.col("c")).alias("own"))
+    return both.agg(F.sum((F.col("c") * F.col("c") - F.col("own")) / 2)).first()[0] or 0.0
+
+
 def _labels(links: DataFrame) -> DataFrame:
     """id, component of every linked set."""
     ends = links.select(F.col("a").alias("id")).union(links.select(F.col("b").alias("id"))).distinct()

@@ -82,6 +82,54 @@ def test_near_duplicates_match_all_pairs(spark, size, percent):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute_components(docs, size, percent)
 
 
+def test_groups_that_do_not_link_are_not_compared_pair_by_pair(spark, monkeypatch):
+    """Copies of one text that are all just beyond the threshold, and a few within it."""
+    rnd, compared = random.Random(3), []
+    base = [f"w{i}" for i in range(150)]
+    docs = []
+    for i in range(120):
+        edited = list(base)
+        for at in rnd.sample(range(150), 2 if i % 30 == 0 else 5):
+            edited[at] = f"w{at}x{rnd.randint(0, 6)}"
+        docs.append((i, " ".join(edited)))
+    linked = ngram_join._linked
+
+    def counted(pairs, full, percent):
+        compared.append(pairs.count())
+        return linked(pairs, full, percent)
+
+    monkeypatch.setattr(ngram_join, "_linked", counted)
+    got = ngram_join.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), 5, 80).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute_components(docs, 5, 80)
+    assert sum(compared) < 3 * len(docs)
+
+
+def test_components_of_a_crowded_bucket_meet_through_other_leaders(spark, monkeypatch):
+    """Two families whose texts link across: a leader of the other component joins them, not all their pairs."""
+    rnd, compared = random.Random(5), []
+    base = [f"w{i}" for i in range(200)]
+    docs = []
+    for i in range(120):
+        edited = list(base)
+        edited[i % 10 * 20] = f"a{rnd.randint(0, 50)}"
+        if i % 2:
+            edited[5], edited[105] = "b", "c"
+        docs.append((i, " ".join(edited)))
+    linked, leaders = ngram_join._linked, ngram_join._leaders
+    monkeypatch.setattr(ngram_join, "_linked", lambda pairs, *a: (compared.append(pairs.count()), linked(pairs, *a))[1])
+    # First leaders that meet their own family only.
+    families = spark.createDataFrame([(d % 2, int.from_bytes(shingles.fingerprint(s)[:8], "little", signed=True))
+                                      for (d, t), s in zip(docs, shingles.shingle_sets([t for _, t in docs], 5))], "family int, set long").distinct()
+    monkeypatch.setattr(ngram_join, "_leaders", lambda first: leaders(first.join(families.where("family = 0"), "set")))
+    stars = ngram_join._stars
+    odd = [r["set"] for r in families.where("family = 1").collect()]
+    monkeypatch.setattr(ngram_join, "_stars", lambda first, lead, percent, also=None: stars(
+        first if also is not None else first.where(~F.col("set").isin(odd)), lead, percent, also))
+    got = ngram_join.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), 5, 80).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute_components(docs, 5, 80)
+    assert len(compared) > 2 and sum(compared) < 6 * len(docs)
+
+
 def test_near_duplicates_odd_rows(odd_docs, no_docs):
     rows = ngram_join.near_duplicates(odd_docs).collect()
     assert len(rows) == odd_docs.count()
