@@ -190,6 +190,27 @@ def test_removed_bytes_match_brute_force(spark):
     assert {hashlib.sha256(r.kept).hexdigest() for r in kept} == {r[4] for r in got}
 
 
+def test_planted_passages_go_whole_and_other_documents_stay(spark):
+    """At the lengths of the query: passages of over 50 words in two or three documents; those under 400 bytes stay, by contract."""
+    rnd = random.Random(8)
+
+    def words(n, longest):
+        return " ".join("".join(rnd.choice("abcdé") for _ in range(rnd.randint(2, longest))) for _ in range(n))
+
+    docs, planted = [(i, words(rnd.randint(60, 200), 9)) for i in range(60)], {}
+    for k in range(16):
+        passage = words(rnd.randint(51, 60), 5) if k % 4 == 0 else words(rnd.randint(51, 110), 12)
+        for i in range(3 * k, 3 * k + rnd.randint(2, 3)):
+            docs[i], planted[i] = (i, docs[i][1][:150] + "\n" + passage + "\n" + docs[i][1][150:]), len(passage.encode())
+    got = suffix_dedup.remove_repeats(spark.createDataFrame(docs, "doc_id long, text string").repartition(3)).collect()
+    assert sorted((tuple(r) for r in got), key=str) == brute_repeats(docs, suffix_dedup.LENGTH)
+    assert len({n < 400 for n in planted.values()}) == 2
+    for r in got:
+        n = planted.get(r.doc_id, 0)
+        assert r.n_removed >= n if n >= 400 else (r.n_removed, r.n_spans) == (0, 0)
+        assert r.n_bytes == len(docs[r.doc_id][1].encode())
+
+
 def test_removed_bytes_of_no_rows(no_docs):
     assert suffix_dedup.remove_repeats(no_docs).count() == 0
 
