@@ -2,16 +2,28 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import functions as F
 
 from querylode import sizing
-from querylode.operators import context, linking, neardup, predicates, retrieval as R
+from querylode.operators import containment, context, linking, neardup, predicates, retrieval as R
 
 
 def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+@contextmanager
+def _merging(spark):
+    """Joins are merge joins unless a side is sent on purpose."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        yield
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_components_broadcast_nothing_that_is_not_proven_small(spark, monkeypatch):
     """A star of links compresses to next to nothing; Spark would take its file size for the table's."""
     monkeypatch.setattr(neardup, "fits", lambda df: False, raising=False)
@@ -170,3 +182,47 @@ def test_linkers_share_what_they_need_of_the_same_questions(spark, monkeypatch):
     assert runs(shared=shared) == alone
     linking.link_bidirectional(questions, tables, columns, glossary, edges, refine=False, shared=shared)
     assert (len(asked), len(matched)) == (1, 1)
+
+
+def test_few_needles_travel_to_the_texts(spark, monkeypatch):
+    """A text of a hundred characters has some 300 grams; only those of a needle are counted and met, and no text is dealt by gram."""
+    texts = [(i, f"select large ring {i} from stock", f"k{i % 7}") for i in range(60)] + [(90, "x", "a"), (91, "", "b"), (92, None, "c"), (93, "Große Größe", "d")]
+    needles = ["large ring 5", "ri", "x", "", None, "Grö", "absent words", "k", "ring 5"]
+    made = spark.createDataFrame(texts, "id int, text string, other string")
+    asked = spark.createDataFrame([(i, n) for i, n in enumerate(needles)] + [(99, "ri")], "n int, needle string")
+    wanted = {(n, t[0]) for n, x in [*enumerate(needles), (99, "ri")] for t in texts if x and t[1] and x in t[1]}
+    with _merging(spark):
+        found = containment.contains_join(asked, "needle", made, "text")
+        assert "LeftSemi" in _plan(found) and "BroadcastHashJoin [_gram" in _plan(found)
+        assert {(r["n"], r["id"]) for r in found.collect()} == wanted
+    monkeypatch.setattr(containment, "fits", lambda df: False)
+    assert {(r["n"], r["id"]) for r in containment.contains_join(asked, "needle", made, "text").collect()} == wanted
+
+
+def test_only_wanted_pieces_of_words_become_rows(spark):
+    words = [(f"tmp_{i}", f"L{i:04d}") for i in range(300)] + [("größe", "L0001"), ("größe", "L0000"), ("", "L9"), ("주문번호", "L7"), ("a𝒳b", "L8")]
+    needles = ["tmp_2", "17", "9", "öß", "absent", "번호", "p_29", "𝒳b"]
+    made = spark.createDataFrame(words, "word string, sql_id string").repartition(5)
+    asked = spark.createDataFrame([(n,) for n in needles], "needle string")
+    rows = containment.first_pieces(made, "word", asked, "needle", sorted({len(n) for n in needles}), "sql_id", 3).collect()
+    found = {}
+    for r in rows:
+        found.setdefault(r["needle"], set()).add(r["sql_id"])
+    assert {n: found.get(n, set()) for n in needles} == {n: set(sorted({i for w, i in words if n in w})[:3]) for n in needles}
+    assert len(found) < len(needles) + 40  # of some 1,000 pieces of these lengths
+
+
+def test_sets_are_dealt_once(spark):
+    """Scores, bonuses and the first tables of the catalogue meet in one exchange by set; ranks and questions use the same one."""
+    sets = spark.createDataFrame([(1, b"a", ["x"]), (2, b"b", ["y"]), (3, b"a", ["x"]), (4, None, None)], "question_id long, set_id binary, words array<string>")
+    tables = spark.createDataFrame([(f"t{i}", "", "", i) for i in range(6)], "table_name string, description string, purpose string, pos int")
+    scores = spark.createDataFrame([(b"a", "t4", 0.5), (b"a", None, 0.9), (b"b", "elsewhere", 0.7)], "set_id binary, table_name string, score double")
+    bonus = spark.createDataFrame([(b"a", "t5", 0.6), (b"a", "t4", 0.2)], "set_id binary, table_name string, bonus double")
+    with _merging(spark):
+        rows = linking.candidates(sets, tables, scores, 2, others=bonus)
+        total = rows.withColumn("score", F.col("score") + F.coalesce("bonus", F.lit(0.0)))
+        found = linking.per_question(sets, linking.ranked(total, 2))
+        plan = _plan(found)
+    assert sum("Exchange hashpartitioning(" in line for line in plan.splitlines()) == 3  # distinct sets, what is known of them, questions
+    assert sorted((r["question_id"], r["table_name"], round(r["score"], 6), r["rank"]) for r in found.collect()) == [
+        (1, "t4", 0.7, 1), (1, "t5", 0.6, 2), (2, "t0", 0.0, 1), (2, "t1", 0.0, 2), (3, "t4", 0.7, 1), (3, "t5", 0.6, 2)]
