@@ -7,7 +7,7 @@ from contextlib import contextmanager
 from pyspark.sql import functions as F
 
 from querylode import sizing
-from querylode.operators import containment, context, linking, neardup, predicates, retrieval as R
+from querylode.operators import containment, context, evaluation, linking, neardup, predicates, retrieval as R
 
 
 def _plan(df) -> str:
@@ -226,3 +226,28 @@ def test_sets_are_dealt_once(spark):
     assert sum("Exchange hashpartitioning(" in line for line in plan.splitlines()) == 3  # distinct sets, what is known of them, questions
     assert sorted((r["question_id"], r["table_name"], round(r["score"], 6), r["rank"]) for r in found.collect()) == [
         (1, "t4", 0.7, 1), (1, "t5", 0.6, 2), (2, "t0", 0.0, 1), (2, "t1", 0.0, 2), (3, "t4", 0.7, 1), (3, "t5", 0.6, 2)]
+
+
+def test_a_sweep_deals_truth_and_runs_once(spark):
+    """Runs, truth and queries meet in one row per key: one exchange by key besides that of the distinct queries, and no join by key and item."""
+    make = spark.createDataFrame
+    asked = make([(1,), (2,), (2,), (3,), (4,), (None,)], "q long")
+    truth = make([(1, "a"), (1, "a"), (1, "b"), (2, "c"), (2, None), (4, None), (9, "a"), (None, "a")], "q long, t string")
+    runs = {"one": make([(1, "x", 1), (1, "a", 2), (1, "b", 3), (2, "c", 7), (4, None, 1), (9, "a", 1), (None, "a", 1)], "q long, t string, rank int"),
+            "two": make([(3, "a", 1), (1, "a", 1), (1, "a", 2)], "q long, t string, rank int"), "none": make([], "q long, t string, rank int")}
+    swept = evaluation.sweep(runs, asked, truth, "q", "t")
+    wanted = {}
+    for name, df in runs.items():
+        rows = []
+        for q in (1, 2, 3, 4, None):
+            right = {r.t for r in truth.collect() if r.q == q and q is not None and r.t is not None}
+            wants = len({r.t for r in truth.collect() if r.q == q and q is not None})
+            mine = [r for r in df.collect() if r.q == q and q is not None]
+            hits = [r.rank for r in mine if r.t in right]
+            p, r = len(hits) / len(mine) if mine else 0, len(hits) / wants if wants else 0
+            rows.append((1 if hits and min(hits) <= 5 else 0, 1 / min(hits) if hits else 0, p, r, 2 * p * r / (p + r) if p + r else 0))
+        wanted[name] = tuple(round(sum(x) / 5, 9) for x in zip(*rows)) + (5,)
+    assert {r["config"]: tuple(round(r[m], 9) for m in evaluation.METRICS) + (r["queries"],) for r in swept.collect()} == wanted
+    with _merging(spark):
+        plan = _plan(evaluation.sweep(runs, asked, truth, "q", "t"))
+    assert "Join" not in plan and plan.count("Exchange hashpartitioning(q") == 2
